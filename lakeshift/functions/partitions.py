@@ -50,7 +50,7 @@ def partition_value(part: Column | str, key: Column | str) -> Column:
     """Decoded value of one key, null when the key is absent (last occurrence wins)."""
     key = F.lit(key) if isinstance(key, str) else key
     hit = F.filter(_segments(col(part)), lambda s: _segment_key(s) == key)
-    return F.transform(F.slice(F.reverse(hit), 1, 1), _segment_value).getItem(0)
+    return _segment_value(F.try_element_at(hit, F.lit(-1)))
 
 
 def filter_terms(expr: str | None) -> list[str]:

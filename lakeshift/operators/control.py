@@ -139,42 +139,47 @@ def glob_pattern(token: Column) -> Column:
 PATTERNS_PER_LIST = 500
 
 
-def _pattern_lists(patterns: DataFrame, keys: list[str]) -> DataFrame:
-    """Patterns gathered into lists of about ``PATTERNS_PER_LIST``; a group may own several."""
+def _pattern_lists(patterns: DataFrame, keys: list[str], entry: Column) -> DataFrame:
+    """Patterns gathered into lists of about ``PATTERNS_PER_LIST``; a database may own several."""
     sizes = patterns.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / F.lit(PATTERNS_PER_LIST)).alias("_lists"))
     return (
         patterns.join(sizes, keys)
-        .groupBy(*keys, F.pmod(F.xxhash64("regex"), F.col("_lists")).alias("_list"))
-        .agg(F.sort_array(F.collect_list(F.struct("position", "regex"))).alias("_patterns"))
+        .groupBy(*keys, F.pmod(F.xxhash64("regex", "position"), F.col("_lists")).alias("_list"))
+        .agg(F.collect_list(entry).alias("_patterns"))
         .drop("_list")
     )
 
 
 def resolve_tokens(
-    tokens: DataFrame, tables: DataFrame, keys: Sequence[str] = ("source_database",), strict: bool = False
+    tokens: DataFrame,
+    tables: DataFrame,
+    keys: Sequence[str] = ("source_database",),
+    groups: Sequence[str] = (),
+    strict: bool = False,
 ) -> DataFrame:
-    """Tables each control group asks for: (keys, table_name, position of the first token).
+    """Tables each control group asks for: (keys, groups, table_name, position of the first token).
 
-    ``tokens`` has (keys, token, position), ``tables`` has (keys, table_name). Plain names are an
-    equi-join (or pass unchecked when not ``strict``). Wildcards are gathered into short lists per
-    group and joined on the keys, so a table row meets one list, not every pattern, and no
-    (token, table) pairs are emitted; AQE may split a hot database.
+    ``tokens`` has (keys, groups, token, position), ``tables`` has (keys, table_name). Plain names
+    are an equi-join (or pass unchecked when not ``strict``). Wildcards are gathered into short lists
+    per key and joined on it, so a table row meets a list, not every pattern, and only the pairs
+    that match are emitted; AQE may split a hot database.
     """
-    keys = list(keys)
+    keys, groups = list(keys), list(groups)
     magic = r"[*?\[]" if strict else r"[*]"
     plain = tokens.where(~F.col("token").rlike(magic))
     if strict:
         known = tables.select(*keys, F.col("table_name").alias("token"))
         plain = plain.join(known, [*keys, "token"], "left_semi")
-    plain = plain.select(*keys, F.col("token").alias("table_name"), "position")
+    plain = plain.select(*keys, *groups, F.col("token").alias("table_name"), "position")
 
     to_regex = glob_pattern if strict else like_pattern
     regex = F.when(F.col("token") == "*", F.lit("(?s)^.*$")).otherwise(to_regex(F.col("token")))
-    patterns = tokens.where(F.col("token").rlike(magic)).select(*keys, "position", regex.alias("regex"))
-    hits = tables.join(_pattern_lists(patterns, keys), keys).select(
-        *keys, "table_name", F.filter("_patterns", lambda p: F.col("table_name").rlike(p["regex"])).alias("_hit")
+    patterns = tokens.where(F.col("token").rlike(magic)).select(*keys, *groups, "position", regex.alias("regex"))
+    lists = _pattern_lists(patterns, keys, F.struct("position", "regex", *groups))
+    hits = tables.join(lists, keys).select(
+        *keys,
+        "table_name",
+        F.inline(F.filter("_patterns", lambda p: F.rlike(F.col("table_name"), p["regex"]))),
     )
-    wild = hits.where(F.size("_hit") > 0).select(
-        *keys, "table_name", F.col("_hit")[0]["position"].alias("position")
-    )
-    return distinct_first(plain.unionByName(wild), [*keys, "table_name"], "position")
+    wild = hits.select(*keys, *groups, "table_name", "position")
+    return distinct_first(plain.unionByName(wild), [*keys, *groups, "table_name"], "position")

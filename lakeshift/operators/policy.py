@@ -226,7 +226,7 @@ def merge_policy_roles(members: DataFrame, keys: Sequence[str] = KEYS) -> DataFr
             filters.alias("_filters"),
         )
         .withColumn("rowfilter_conflict", F.size("_filters") > 1)
-        .withColumn("rowfilter", F.when(F.size("_filters") == 1, F.col("_filters")[0]).otherwise(""))
+        .withColumn("rowfilter", F.when(F.size("_filters") == 1, F.get("_filters", F.lit(0))).otherwise(""))
         .drop("_filters")
     )
 
@@ -262,7 +262,7 @@ def policy_initial_status(members: DataFrame, keys: Sequence[str] = KEYS) -> Dat
         .withColumns(
             {
                 "policy_id": F.col("policy_name"),
-                "rowfilter": F.when(F.size(filters) == 1, filters[0]),
+                "rowfilter": F.when(F.size(filters) == 1, F.get(filters, F.lit(0))),
                 "status": F.lit("RUNNING"),
                 "error_message": F.lit(""),
             }

@@ -7,12 +7,13 @@ so each is compiled once per task. Only the optional Python syntax check leaves
 from __future__ import annotations
 
 import ast
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeshift.rules.model import CATEGORIES, SEVERITIES, Rule
 
@@ -38,26 +39,31 @@ def path_matches(path: Column, extensions: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [path.endswith(e) for e in extensions])
 
 
-@F.pandas_udf("array<boolean>")
-def _executable_lines(source: pd.Series) -> pd.Series:
-    """Per line, whether a syntax node covers it; null for no Python file or one that does not parse."""
-    return source.map(_line_flags)
+def executable_lines() -> Callable[[Column], Column]:
+    """Pandas UDF: per line, whether a syntax node covers it; null for a text that does not parse.
 
-
-def _line_flags(text: str | None) -> list[bool] | None:
-    if text is None:
-        return None
-    try:
-        tree = ast.parse(text)
-    except (SyntaxError, ValueError, RecursionError, MemoryError):
-        return None
-    flags = [False] * (len(text.splitlines()) + 1)
-    for node in ast.walk(tree):
-        first = getattr(node, "lineno", None)
-        if first is not None:
-            last = min(getattr(node, "end_lineno", None) or first, len(flags))
-            flags[first - 1 : last] = [True] * (last - first + 1)
-    return flags
+    The functions below are nested so that they travel to the workers by value and need no package
+    installed there.
+    """
+    def flags_of(text: str | None) -> list[bool] | None:
+        if text is None:
+            return None
+        try:
+            tree = ast.parse(text)
+        except (SyntaxError, ValueError, RecursionError, MemoryError):
+            return None
+        flags = [False] * (len(text.splitlines()) + 1)
+        for node in ast.walk(tree):
+            first = getattr(node, "lineno", None)
+            if first is not None:
+                last = min(getattr(node, "end_lineno", None) or first, len(flags))
+                flags[first - 1 : last] = [True] * (last - first + 1)
+        return flags
+
+    def parse(source: pd.Series) -> pd.Series:
+        return source.map(flags_of)
+
+    return F.pandas_udf(parse, T.ArrayType(T.BooleanType()))
 
 
 def _extension_gates(rules: Iterable[Rule]) -> dict[tuple[str, ...], Column]:
@@ -75,7 +81,7 @@ def scan_lines(corpus: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     unknown = F.array().cast("array<boolean>")
     flags = unknown
     if any(r.ast_aware for r in line_rules):
-        flags = F.coalesce(_executable_lines(F.when(F.col("path").endswith(".py"), F.col("content"))), unknown)
+        flags = F.coalesce(executable_lines()(F.when(F.col("path").endswith(".py"), F.col("content"))), unknown)
     lines = scanned.select("path", F.arrays_zip(split_lines("content").alias("line"), flags.alias("runs")).alias("z"))
     numbered = lines.select("path", F.posexplode("z").alias("pos", "z")).select(
         "path",
@@ -111,22 +117,26 @@ def scan_whole_text(corpus: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     )
     matched = corpus.where((F.octet_length("content") <= WHOLE_TEXT_LIMIT) & any_match).select("path", "content")
 
-    def locate(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
-        for batch in batches:
-            rows = [hit for path, content in zip(batch["path"], batch["content"]) for hit in _hits(path, content)]
-            yield pd.DataFrame(rows, columns=["path", "line_number", "rule_id", "line_text"])
+    # plain tuples and nested functions: nothing here needs this package on the workers
+    compiled = [(r.rule_id, r.extensions, r.python_pattern) for r in text_rules]
+    limit = TEXT_CHARS
 
-    def _hits(path: str, content: str) -> Iterable[tuple]:
-        for rule in text_rules:
-            if not path.endswith(rule.extensions):
+    def hits(path: str, content: str) -> Iterable[tuple]:
+        for rule_id, extensions, pattern in compiled:
+            if not path.endswith(extensions):
                 continue
             line, position, reported = 1, 0, 0
-            for match in rule.python_pattern.finditer(content):
+            for match in pattern.finditer(content):
                 line += content.count("\n", position, match.start())
                 position = match.start()
                 if line != reported:
                     reported = line
-                    yield path, line, rule.rule_id, match.group(0).replace("\n", " ")[:TEXT_CHARS]
+                    yield path, line, rule_id, match.group(0).replace("\n", " ")[:limit]
+
+    def locate(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
+        for batch in batches:
+            rows = [hit for path, content in zip(batch["path"], batch["content"]) for hit in hits(path, content)]
+            yield pd.DataFrame(rows, columns=["path", "line_number", "rule_id", "line_text"])
 
     return matched.mapInPandas(locate, schema)
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from urllib.parse import unquote, urlparse
 
 import pandas as pd
@@ -39,14 +39,18 @@ def file_manifest(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def _open(path: str):
-    from pyarrow import fs
+def _opener() -> Callable[[str], tuple]:
+    """Path -> (file system, path in it). Nested, so it reaches the workers by value."""
+    def open_path(path: str) -> tuple:
+        from pyarrow import fs
+
+        if path.startswith("file:"):
+            path = "file://" + unquote(urlparse(path).path)
+        elif "://" not in path:
+            path = "file://" + path
+        return fs.FileSystem.from_uri(path)
 
-    if path.startswith("file:"):
-        path = "file://" + unquote(urlparse(path).path)
-    elif "://" not in path:
-        path = "file://" + path
-    return fs.FileSystem.from_uri(path)
+    return open_path
 
 
 def copy_files(plan: DataFrame, source_root: str, dest_root: str, tasks: int | None = None) -> DataFrame:
@@ -59,17 +63,19 @@ def copy_files(plan: DataFrame, source_root: str, dest_root: str, tasks: int | N
     wanted = plan.where(F.col("action").isin("NEW", "CHANGED")).select("rel_path", F.col("source_length").alias("length"))
     spread = wanted.repartition(tasks or int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions")), "rel_path")
 
+    open_path, chunk_bytes = _opener(), CHUNK
+
     def run(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
         for batch in batches:
             done = []
             for rel in batch["rel_path"]:
-                src, src_path = _open(f"{source_root.rstrip('/')}/{rel}")
-                dst, dst_path = _open(f"{dest_root.rstrip('/')}/{rel}")
+                src, src_path = open_path(f"{source_root.rstrip('/')}/{rel}")
+                dst, dst_path = open_path(f"{dest_root.rstrip('/')}/{rel}")
                 parent, _, name = dst_path.rpartition("/")
                 dst.create_dir(parent, recursive=True)
                 temporary, size = f"{parent}/.{name}.{uuid.uuid4().hex}", 0
                 with src.open_input_stream(src_path) as reader, dst.open_output_stream(temporary) as writer:
-                    while chunk := reader.read(CHUNK):
+                    while chunk := reader.read(chunk_bytes):
                         writer.write(chunk)
                         size += len(chunk)
                 dst.move(temporary, dst_path)
@@ -83,12 +89,14 @@ def delete_extra(plan: DataFrame, dest_root: str) -> DataFrame:
     """Delete the EXTRA files of a plan (mirror copies only); returns the deleted paths."""
     extra = plan.where(F.col("action") == "EXTRA").select("rel_path")
 
+    open_path = _opener()
+
     def run(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
         from pyarrow import fs
 
         for batch in batches:
             for rel in batch["rel_path"]:
-                target, path = _open(f"{dest_root.rstrip('/')}/{rel}")
+                target, path = open_path(f"{dest_root.rstrip('/')}/{rel}")
                 if target.get_file_info(path).type != fs.FileType.NotFound:
                     target.delete_file(path)
             yield batch

@@ -35,12 +35,6 @@ def xlsx_available() -> bool:
     return True
 
 
-def _parse(content: bytes, fmt: str) -> pd.DataFrame:
-    if fmt == "xlsx":
-        return pd.read_excel(io.BytesIO(content), dtype=str, engine="openpyxl")
-    return pd.read_csv(io.BytesIO(content), dtype=str, keep_default_na=False)
-
-
 def read_control_sheet(
     spark: SparkSession, path: str, columns: Sequence[str], fmt: str = "csv", underscore: bool = True
 ) -> DataFrame:
@@ -63,10 +57,16 @@ def read_control_sheet(
         raise RuntimeError("reading xlsx sheets needs openpyxl")
     schema = ", ".join(["sheet_id string", "row_index bigint", *[f"`{c}` string" for c in wanted]])
 
+    # nested, so it reaches the workers by value
+    def parse(content: bytes) -> pd.DataFrame:
+        if fmt == "xlsx":
+            return pd.read_excel(io.BytesIO(content), dtype=str, engine="openpyxl")
+        return pd.read_csv(io.BytesIO(content), dtype=str, keep_default_na=False)
+
     def rows(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
         for batch in batches:
             for source, content in zip(batch["path"], batch["content"]):
-                sheet = _parse(content, fmt)
+                sheet = parse(content)
                 names = [str(c).strip().lower() for c in sheet.columns]
                 sheet.columns = [n.replace(" ", "_") if underscore else n for n in names]
                 out = sheet.reindex(columns=wanted).astype(object)

@@ -1,0 +1,17 @@
+"""Places for tables that a query writes and reads back."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import SparkSession
+
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder the session names for checkpoints.
+
+    Only a session without one, as in tests on a single machine, gets a temporary folder.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="run-")
+    return f"{shared.rstrip('/')}/lakeshift/{name}-{uuid.uuid4().hex}"

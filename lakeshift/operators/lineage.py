@@ -216,23 +216,17 @@ def policy_final_status(
 ) -> DataFrame:
     """Policy rows at the end of a run.
 
-    Status and message come from the latest object row of the policy or its companion, the id from
-    the policy's own row (its name when there is none). Groups are the roles that were applied.
-    ``applied`` / ``excluded`` are (policy_name, role).
+    Status and message come from the policy's own object row (a companion's only when there is no
+    other, since one companion serves all column policies of a table), the id from the own row too
+    (the name when there is none). Groups are the roles that were applied. ``applied`` /
+    ``excluded`` are (policy_name, role).
     """
     by = [*keys, "policy_name"]
     rows = objects.where(F.col("object_type") == POLICY)
-    latest = (
-        rows.groupBy(*keys, A.base_policy("object_name").alias("policy_name"))
-        .agg(
-            F.max(F.struct("sequence", "status", "error_message")).alias("_o"),
-            F.max(
-                F.when(
-                    ~F.col("object_name").endswith(A.ROWFILTER_SUFFIX),
-                    F.struct("sequence", F.coalesce("policy_id", F.lit("")).alias("policy_id")),
-                )
-            ).alias("_i"),
-        )
+    own = ~F.col("object_name").endswith(A.ROWFILTER_SUFFIX)
+    latest = rows.groupBy(*keys, A.base_policy("object_name").alias("policy_name")).agg(
+        F.max(F.struct(own.alias("own"), "sequence", "status", "error_message")).alias("_o"),
+        F.max(F.when(own, F.struct("sequence", F.coalesce("policy_id", F.lit("")).alias("policy_id")))).alias("_i"),
     )
 
     def names(df: DataFrame, alias: str) -> DataFrame:

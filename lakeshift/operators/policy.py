@@ -115,12 +115,15 @@ def skipped_rows(checked: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     return checked.select(*keys, "row_index", "role", "database", "url", F.explode("reasons").alias("reason"))
 
 
-def role_principals(checked: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Distinct (role, principal, type). Rows that only name users get one role per user."""
+def role_members(checked: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Distinct (role, principal, type); a role without principals has one row with null principal.
+
+    Rows that only name users get one role per user.
+    """
     usable = checked.where(F.col("resource_error").isNull() & F.col("binding_error").isNull())
+    own = F.when(F.col("role") != "", F.col("role"))
 
     def tagged(c: str, kind: str) -> Column:
-        own = F.when(F.col("role") != "", F.col("role"))
         return F.transform(
             c,
             lambda p: F.struct(
@@ -130,14 +133,22 @@ def role_principals(checked: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame
             ),
         )
 
-    both = F.concat(tagged("groups", "group"), tagged("users", "user"))
-    return usable.select(*keys, F.inline(both)).distinct()
+    bare = F.struct(
+        own.alias("role"), F.lit(None).cast("string").alias("principal"), F.lit(None).cast("string").alias("type")
+    )
+    rows = F.concat(tagged("groups", "group"), tagged("users", "user"), F.when(own.isNotNull(), F.array(bare)).otherwise(
+        F.array().cast("array<struct<role:string,principal:string,type:string>>")))
+    return usable.select(*keys, F.inline(rows)).distinct()
+
+
+def role_principals(members: DataFrame) -> DataFrame:
+    """The (role, principal, type) rows of :func:`role_members`."""
+    return members.where(F.col("principal").isNotNull())
 
 
-def roles(checked: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+def roles(members: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """Distinct roles, also those without any principal."""
-    named = checked.where(F.col("resource_error").isNull() & (F.col("role") != "")).select(*keys, "role")
-    return named.unionByName(role_principals(checked, keys).select(*keys, "role")).distinct()
+    return members.select(*keys, "role").distinct()
 
 
 def explode_resources(checked: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:

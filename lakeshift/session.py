@@ -20,6 +20,7 @@ def local_session(name: str, cores: str | None = None, **settings: str) -> Spark
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.log.level", "ERROR")
     )
     for key, value in settings.items():

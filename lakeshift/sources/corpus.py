@@ -14,11 +14,13 @@ from lakeshift.rules.rewrite import DAG_EXCLUDES
 
 def excluded(rel_path: Column, patterns: Sequence[str]) -> Column:
     """Some directory or the file itself carries an excluded name."""
-    parts = F.split(rel_path, "/")
-    hits = [
-        F.exists(parts, lambda p, pat=pat: p.endswith(pat[1:]) if pat.startswith("*") else p == pat) for pat in patterns
-    ]
-    return reduce(lambda a, b: a | b, hits)
+    names = [p for p in patterns if not p.startswith("*")]
+    endings = [p[1:] for p in patterns if p.startswith("*")]
+
+    def left_out(part: Column) -> Column:
+        return reduce(lambda a, b: a | b, [part.endswith(e) for e in endings], part.isin(names))
+
+    return F.exists(F.split(rel_path, "/"), left_out)
 
 
 def select_corpus(

@@ -5,9 +5,11 @@ from __future__ import annotations
 from lakeshift.workload import (  # noqa: F401  (each module registers its queries)
     cells,
     control,
+    corpora,
     files,
     ledgers,
     partitions,
+    policies,
     tables,
 )
 from lakeshift.workload.registry import ORACLES, QUERIES

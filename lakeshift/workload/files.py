@@ -8,6 +8,7 @@ from lakeshift.functions import measures as M
 from lakeshift.operators import files as ops
 from lakeshift.operators import partitions as part_ops
 from lakeshift.sources import tables as sink
+from lakeshift.sources.scratch import scratch_dir
 from lakeshift.workload import base as B
 from lakeshift.workload.registry import query
 
@@ -209,8 +210,6 @@ def copy_additive(spark, d):
 )
 def copy_partitions(spark, d):
     """Two partition-scoped copies into a fresh place; the second must leave the first alone."""
-    from lakeshift.workload.scratch import scratch_dir
-
     dest = scratch_dir(spark, "copy_partitions")
     lines = B.table(spark, d, "lineitem").withColumnsRenamed({"l_returnflag": "flag", "l_linestatus": "status"})
     sink.copy_partitions(lines.where("flag = 'A' OR (flag = 'R' AND status = 'F')"), dest, ["flag", "status"])

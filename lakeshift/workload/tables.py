@@ -9,6 +9,7 @@ from lakeshift.operators import reconcile as ops
 from lakeshift.operators import report, table_metadata
 from lakeshift.plans import conversion, copy_run
 from lakeshift.sources import tables as source
+from lakeshift.sources.scratch import scratch_dir
 from lakeshift.workload import base as B
 from lakeshift.workload.registry import query
 
@@ -131,8 +132,6 @@ def flagship_reconcile(spark, d):
 )
 def convert_snapshot(spark, d):
     """The conversion written out, read back and reconciled with its source per order status."""
-    from lakeshift.workload.scratch import scratch_dir
-
     orders = B.table(spark, d, "orders")
     path = scratch_dir(spark, "convert_snapshot")
     conversion.write_snapshot(orders, path, ["o_orderpriority"], "orc")

@@ -14,10 +14,12 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeshift.functions.text import matches
 from lakeshift.operators.scan import LINE_ENDS, LINE_WITH_END
 from lakeshift.rules import rewrite as R
 
 U = "(?Ud)"
+IMPORT_LINE = U + r"^from\s+airflow"
 
 
 class Check(NamedTuple):
@@ -32,7 +34,7 @@ class Check(NamedTuple):
 
 
 def _found(s: Column, pattern: str) -> Column:
-    return s.rlike(U + pattern)
+    return matches(s, U + pattern, pattern)
 
 
 def _renamed(s: Column, old: str, new: str) -> Column:
@@ -71,7 +73,7 @@ def import_finding(s: Column) -> Column:
         F.when(_found(s, import_pattern(R.IMPORT_RULES[0])), finding(R.IMPORT_RULES[0])),
     )
     # only import lines are worth the chain; the guard keeps it off all others
-    return F.when(_found(s, r"^from\s+airflow"), chain)
+    return F.when(s.rlike(IMPORT_LINE), chain)
 
 
 def line_checks(s: Column) -> list[Check]:
@@ -203,8 +205,8 @@ def code_line(c: Column) -> Column:
     return (s != "") & ~s.startswith("#")
 
 
-def _finding_array(s: Column) -> Column:
-    """Findings of a stripped line in report order, as an array of structs."""
+def _findings(s: Column) -> Column:
+    """Findings of a stripped line in report order, null where a check finds nothing."""
     others = [
         F.when(
             c.condition,
@@ -219,7 +221,20 @@ def _finding_array(s: Column) -> Column:
         for c in line_checks(s)
     ]
     imported = import_finding(s)
-    return F.array_compact(F.array(F.when(imported["new_code"] != s, imported), *others))
+    return F.array(F.when(imported["new_code"] != s, imported), *others)
+
+
+# Words of which at least one stands in every line some check is about.
+TRIGGERS = [
+    *R.DAG_PARAMETERS, "context", "kwargs", "TriggerRule", *R.OPERATOR_CLASSES, *R.CONNECTION_PARAMETERS,
+    "spark", "days_ago", "Dataset", "use_dill", "sla", "use_task_execution_date", "delegate_to", "get_hook", "Session",
+    "DagRun", "get_previous_dagrun",
+]
+
+
+def worth_checking(s: Column) -> Column:
+    """Cheap test that rules out most lines: one pass for all trigger words."""
+    return s.rlike(U + r"from\s+airflow|" + "|".join(re.escape(w) for w in TRIGGERS))
 
 
 def code_lines(corpus: DataFrame) -> DataFrame:
@@ -232,8 +247,18 @@ def code_lines(corpus: DataFrame) -> DataFrame:
 
 def rewrite_findings(corpus: DataFrame) -> DataFrame:
     """Findings per line: (path, line_number, finding_number, category, severity, old_code, new_code, ...)."""
-    found = code_lines(corpus).select(
-        "path", "line_number", "code", F.posexplode(_finding_array(F.col("code"))).alias("finding_number", "f")
+    # the higher-order function keeps the projection out of whole-stage code generation, so that its
+    # many checks become small methods the JIT compiles
+    marked = (
+        code_lines(corpus)
+        .where(worth_checking(F.col("code")))
+        .select("path", "line_number", F.transform(F.array("code"), lambda x: x).alias("kept"), _findings(F.col("code")).alias("found"))
+    )
+    found = marked.select(
+        "path",
+        "line_number",
+        F.get("kept", F.lit(0)).alias("code"),
+        F.posexplode(F.array_compact("found")).alias("finding_number", "f"),
     )
     return found.select(
         "path",
@@ -250,31 +275,29 @@ def rewrite_findings(corpus: DataFrame) -> DataFrame:
 
 def first_rule_per_line(corpus: DataFrame) -> DataFrame:
     """Lines an import rule fits, with the first such rule's new line."""
-    s = F.col("code")
-    return (
-        code_lines(corpus)
-        .withColumn("f", import_finding(s))
-        .where(F.col("f").isNotNull())
-        .select("path", "line_number", F.col("code").alias("old_code"), "f.new_code", "f.category", "f.severity")
+    imports = code_lines(corpus).where(F.col("code").rlike(IMPORT_LINE))
+    marked = imports.select(
+        "path", "line_number", F.transform(F.array("code"), lambda x: x).alias("kept"), import_finding(F.col("code")).alias("f")
     )
+    fitting = marked.select(
+        "path", "line_number", F.get("kept", F.lit(0)).alias("old_code"), F.inline(F.array_compact(F.array("f")))
+    )
+    return fitting.select("path", "line_number", "old_code", "new_code", "category", "severity")
 
 
-def rewritten_line(line: Column) -> Column:
-    """The line after its first effective automatic fix; indentation stays, other lines are unchanged.
+def rewritten_line(s: Column, indent: Column) -> Column:
+    """A stripped line after its first effective automatic fix, indented again; null when nothing changes.
 
     Only the first fix counts because later findings refer to the line as it was; a fix that leaves
     the line as it is does not stand in the way of the next.
     """
-    s = stripped(line)
-    imported = import_finding(s)
-    fixes = [F.when((imported["new_code"] != s), imported["new_code"])]
-    fixes += [
-        F.when(c.condition & (stripped(c.new_line) != s), c.new_line) for c in line_checks(s) if c.auto_fixable
-    ]
+    checks = [c for c in line_checks(s) if c.auto_fixable]
+    imported = import_finding(s)["new_code"]
+    fixes = [F.when(imported != s, imported)]
+    fixes += [F.when(c.condition & (stripped(c.new_line) != s), c.new_line) for c in checks]
     # fixes that may leave the code alone still rewrite the line without trailing blanks
-    fixes += [F.when(c.condition, s) for c in line_checks(s) if c.category in ("Removed Parameters", "AWS Provider")]
-    indent = F.regexp_extract(line, r"(?U)^(\s*)", 1)
-    return F.when(code_line(line), F.concat(indent, F.coalesce(*fixes)))
+    fixes += [F.when(c.condition, s) for c in checks if c.category in ("Removed Parameters", "AWS Provider")]
+    return F.when((s != "") & ~s.startswith("#") & worth_checking(s), F.concat(indent, F.coalesce(*fixes)))
 
 
 def apply_rewrites(corpus: DataFrame) -> DataFrame:
@@ -283,8 +306,15 @@ def apply_rewrites(corpus: DataFrame) -> DataFrame:
     lines = F.transform(
         F.regexp_extract_all("content", F.lit(LINE_WITH_END), F.lit(0)), lambda x: F.regexp_replace(x, ends, "")
     )
-    fixed = corpus.select("path", F.transform(lines, lambda x: F.struct(x.alias("old"), rewritten_line(x).alias("new"))).alias("z"))
-    return fixed.select(
+    # strip once per line: the checks below refer to the stripped text many times
+    parts = F.transform(
+        lines,
+        lambda x: F.struct(x.alias("old"), stripped(x).alias("code"), F.regexp_extract(x, r"(?U)^(\s*)", 1).alias("indent")),
+    )
+    fixed = F.transform(
+        parts, lambda x: F.struct(x["old"].alias("old"), rewritten_line(x["code"], x["indent"]).alias("new"))
+    )
+    return corpus.select("path", fixed.alias("z")).select(
         "path",
         F.size(F.filter("z", lambda x: x["new"].isNotNull())).alias("changed_lines"),
         F.concat(F.array_join(F.transform("z", lambda x: F.coalesce(x["new"], x["old"])), "\n"), F.lit("\n")).alias("content"),
@@ -307,7 +337,11 @@ def finding_summary(findings: DataFrame) -> DataFrame:
         )
     )
     counted = tagged.groupBy("measure", "label").agg(F.sum("n").alias("value"))
-    files = findings.agg(F.count_distinct("path").alias("value")).select(
-        F.lit("files_with_issues").alias("measure"), F.lit("").alias("label"), "value"
+    # every file with findings is one by_file row by now, so counting them needs no second scan
+    one_file = F.struct(F.lit("files_with_issues").alias("measure"), F.lit("").alias("label"), F.lit(1).cast("bigint").alias("value"))
+    rows = F.array(F.struct("measure", "label", "value"), F.when(F.col("measure") == "by_file", one_file))
+    return (
+        counted.select(F.inline(F.array_compact(rows)))
+        .groupBy("measure", "label")
+        .agg(F.sum("value").alias("value"))
     )
-    return counted.unionByName(files)

@@ -15,10 +15,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeshift.functions.text import folded, matches
 from lakeshift.rules.model import CATEGORIES, SEVERITIES, Rule
 
 TEXT_CHARS = 200
 WHOLE_TEXT_LIMIT = 1024 * 1024
+HITS = "path string, line_number int, rule_id string, line_text string"
 # Characters that end a line, as Python's str.splitlines sees them.
 LINE_ENDS = r"\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029"
 LINE_WITH_END = rf"[^{LINE_ENDS}]*(?:\r\n|[{LINE_ENDS}])|[^{LINE_ENDS}]+"
@@ -66,39 +68,69 @@ def executable_lines() -> Callable[[Column], Column]:
     return F.pandas_udf(parse, T.ArrayType(T.BooleanType()))
 
 
-def _extension_gates(rules: Iterable[Rule]) -> dict[tuple[str, ...], Column]:
-    return {r.extensions: path_matches(F.col("path"), r.extensions) for r in rules}
+def _gates(rules: Iterable[Rule]) -> dict[tuple[str, ...], str]:
+    """Column name per distinct set of extensions."""
+    return {e: f"_gate{i}" for i, e in enumerate(dict.fromkeys(r.extensions for r in rules))}
+
+
+def _gated(corpus: DataFrame, gates: dict[tuple[str, ...], str]) -> DataFrame:
+    """Files some rule looks at, with one flag per set of extensions, tested once per file."""
+    flagged = corpus.withColumns({name: path_matches(F.col("path"), e) for e, name in gates.items()})
+    return flagged.where(reduce(lambda a, b: a | b, [F.col(g) for g in gates.values()]))
 
 
 def scan_lines(corpus: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Line pass: (path, line_number, rule_id, line_text), at most one row per rule and line."""
     line_rules = [r for r in rules if not r.whole_text]
-    empty = "path string, line_number int, rule_id string, line_text string"
     if not line_rules:
-        return corpus.sparkSession.createDataFrame([], empty)
-    gates = _extension_gates(line_rules)
-    scanned = corpus.where(reduce(lambda a, b: a | b, gates.values()))
+        return corpus.sparkSession.createDataFrame([], HITS)
+    gates = _gates(line_rules)
+    names = list(gates.values())
     unknown = F.array().cast("array<boolean>")
     flags = unknown
     if any(r.ast_aware for r in line_rules):
         flags = F.coalesce(executable_lines()(F.when(F.col("path").endswith(".py"), F.col("content"))), unknown)
-    lines = scanned.select("path", F.arrays_zip(split_lines("content").alias("line"), flags.alias("runs")).alias("z"))
-    numbered = lines.select("path", F.posexplode("z").alias("pos", "z")).select(
-        "path",
-        (F.col("pos") + 1).alias("line_number"),
-        F.col("z.line").alias("line"),
-        F.coalesce(F.col("z.runs"), F.lit(True)).alias("runs"),
-    ).where(F.col("line").isNotNull())
+    zipped = F.arrays_zip(split_lines("content").alias("line"), flags.alias("runs"))
+    numbered = (
+        _gated(corpus, gates)
+        .select("path", *names, F.posexplode(zipped).alias("pos", "z"))
+        .where(F.col("z.line").isNotNull())
+        .select(
+            "path",
+            *names,
+            (F.col("pos") + 1).alias("line_number"),
+            F.col("z.line").alias("line"),
+            F.coalesce(F.col("z.runs"), F.lit(True)).alias("runs"),
+            folded(F.col("z.line")).alias("folded"),
+        )
+    )
 
     def hit(r: Rule) -> Column:
-        found = gates[r.extensions] & F.col("line").rlike(r.java_pattern)
+        found = F.col(gates[r.extensions]) & matches(
+            F.col("line"), r.java_pattern, r.pattern, "i" in r.flags, F.col("folded")
+        )
         return F.when(F.col("runs") & found if r.ast_aware else found, r.rule_id)
 
-    hits = numbered.select(
-        "path", "line_number", "line", F.explode(F.array_compact(F.array(*[hit(r) for r in line_rules]))).alias("rule_id")
+    return _exploded_hits(numbered, [hit(r) for r in line_rules])
+
+
+def _exploded_hits(numbered: DataFrame, hits: list[Column]) -> DataFrame:
+    """One row per rule id found in a line.
+
+    The line's text passes through a higher-order function, which keeps this projection out of
+    whole-stage code generation: hundreds of rule expressions then become many small methods that
+    the JIT compiles, where a single huge method would stay interpreted (measured 3 to 4 times
+    faster over all rules).
+    """
+    marked = numbered.select(
+        "path",
+        "line_number",
+        F.transform(F.array("line"), lambda x: F.left(F.regexp_replace(x, r"(?U)^\s+|\s+$", ""), F.lit(TEXT_CHARS))).alias("text"),
+        F.array(*hits).alias("hits"),
+    )
+    return marked.select(
+        "path", "line_number", F.explode(F.array_compact("hits")).alias("rule_id"), F.get("text", F.lit(0)).alias("line_text")
     )
-    text = F.left(F.regexp_replace("line", r"(?U)^\s+|\s+$", ""), F.lit(TEXT_CHARS))
-    return hits.select("path", "line_number", "rule_id", text.alias("line_text"))
 
 
 def scan_whole_text(corpus: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -108,15 +140,19 @@ def scan_whole_text(corpus: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     test runs in the JVM. Per rule and line the first match counts.
     """
     text_rules = [r for r in rules if r.whole_text]
-    schema = "path string, line_number int, rule_id string, line_text string"
     if not text_rules:
-        return corpus.sparkSession.createDataFrame([], schema)
-    gates = _extension_gates(text_rules)
+        return corpus.sparkSession.createDataFrame([], HITS)
+    gates = _gates(text_rules)
+    small = _gated(corpus.where(F.octet_length("content") <= WHOLE_TEXT_LIMIT), gates)
     any_match = reduce(
-        lambda a, b: a | b, [gates[r.extensions] & F.col("content").rlike(r.java_pattern) for r in text_rules]
+        lambda a, b: a | b,
+        [
+            F.col(gates[r.extensions])
+            & matches(F.col("content"), r.java_pattern, r.pattern, "i" in r.flags, F.col("_folded"))
+            for r in text_rules
+        ],
     )
-    matched = corpus.where((F.octet_length("content") <= WHOLE_TEXT_LIMIT) & any_match).select("path", "content")
-
+    matched = small.withColumn("_folded", folded(F.col("content"))).where(any_match).select("path", "content")
     # plain tuples and nested functions: nothing here needs this package on the workers
     compiled = [(r.rule_id, r.extensions, r.python_pattern) for r in text_rules]
     limit = TEXT_CHARS
@@ -138,7 +174,7 @@ def scan_whole_text(corpus: DataFrame, rules: Sequence[Rule]) -> DataFrame:
             rows = [hit for path, content in zip(batch["path"], batch["content"]) for hit in hits(path, content)]
             yield pd.DataFrame(rows, columns=["path", "line_number", "rule_id", "line_text"])
 
-    return matched.mapInPandas(locate, schema)
+    return matched.mapInPandas(locate, HITS)
 
 
 def rule_frame(spark, rules: Sequence[Rule]) -> DataFrame:

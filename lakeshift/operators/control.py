@@ -126,9 +126,11 @@ def like_pattern(token: Column) -> Column:
 
 
 def glob_pattern(token: Column) -> Column:
-    """Shell pattern (``*``, ``?``, ``[..]``, ``[!..]``) -> anchored regex."""
-    quoted = F.regexp_replace(token, r"([.+^${}()|\\])", r"\\$1")
-    negated = F.replace(quoted, F.lit("[!"), F.lit("[^"))
+    """Shell pattern (``*``, ``?``, ``[..]``, ``[!..]``) -> anchored regex; a lone ``[`` stands for itself."""
+    quoted = F.regexp_replace(token, r"([.+^$&{}()|\\])", r"\\$1")
+    bracket = F.replace(quoted, F.lit("[[]"), F.lit(r"\["))
+    closed = F.regexp_replace(bracket, r"(?<!\\)\[(?![^\]]*\])", r"\\[")
+    negated = F.replace(closed, F.lit("[!"), F.lit("[^"))
     return F.concat(
         F.lit("(?s)^"),
         F.replace(F.replace(negated, F.lit("*"), F.lit(".*")), F.lit("?"), F.lit(".")),

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeshift.functions import partitions as P
+from lakeshift.functions.cells import strip
 
 
 def apply_partition_filter(
@@ -52,7 +53,7 @@ def apply_control_filters(
     """
     wanted = control.select(*keys, F.col(expr).alias("_expr"))
     rows = df.join(wanted, list(keys), "inner")
-    terms = F.transform(F.split(F.col("_expr"), ","), F.trim)
+    terms = F.transform(F.split(F.col("_expr"), ","), strip)
     counts = F.transform(
         F.filter(terms, lambda t: t.rlike(P.LAST_N)), lambda t: F.regexp_extract(t, P.LAST_N, 1).cast("int")
     )

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeshift.functions.cells import detect_format
-from lakeshift.sources.tables import TEXT_DELIMITER, TEXT_ESCAPE, TEXT_NULL
+from lakeshift.sources.tables import TEXT_DELIMITER, TEXT_ESCAPE, TEXT_NULL, lakehouse_format, text_options
 
 TABLES = "database string, table_name string, table_type string, is_temporary boolean"
 COLUMNS = "database string, table_name string, column_name string, data_type string, ordinal int, is_partition boolean"
@@ -101,6 +101,38 @@ def row_format_clause(fmt: str, properties: Mapping[str, str] | None) -> tuple[s
     return row_format, table_properties
 
 
+def has_hive(spark: SparkSession) -> bool:
+    return spark.conf.get("spark.sql.catalogImplementation", "in-memory") == "hive"
+
+
+def external_table_ddl(
+    name: str,
+    schema: Sequence[Mapping[str, str]],
+    partitions: Sequence[str],
+    fmt: str,
+    location: str,
+    properties: Mapping[str, str] | None = None,
+    hive: bool = True,
+) -> str:
+    """Statement that declares files at ``location`` as a table, as a Hive or a Spark source table."""
+    columns, parts = ddl_columns(schema, partitions)
+    if hive:
+        row_format, table_properties = row_format_clause(fmt, properties)
+        split = f" PARTITIONED BY ({parts})" if parts else ""
+        return (
+            f"CREATE EXTERNAL TABLE IF NOT EXISTS {name} ({columns}){split} {row_format} STORED AS {fmt} "
+            f"LOCATION {text(location)} {table_properties}"
+        ).strip()
+    everything = ", ".join(x for x in (columns, parts) if x)
+    split = f" PARTITIONED BY ({', '.join(quote(p) for p in partitions)})" if partitions else ""
+    options = ""
+    if fmt.upper() == "TEXTFILE":
+        pairs = ", ".join(f"{text(k)} {text(v)}" for k, v in text_options(properties).items())
+        options = f" OPTIONS ({pairs})"
+    source = "csv" if fmt.upper() == "TEXTFILE" else fmt.lower()
+    return f"CREATE TABLE IF NOT EXISTS {name} ({everything}) USING {source}{options}{split} LOCATION {text(location)}"
+
+
 def create_external_table(
     spark: SparkSession,
     database: str,
@@ -112,14 +144,9 @@ def create_external_table(
     properties: Mapping[str, str] | None = None,
 ) -> bool:
     """Create the table unless it exists; returns whether it existed."""
-    name = f"{quote(database)}.{quote(table)}"
     existed = spark.catalog.tableExists(f"{database}.{table}")
-    columns, parts = ddl_columns(schema, partitions)
-    statement = f"CREATE EXTERNAL TABLE IF NOT EXISTS {name} ({columns})"
-    if parts:
-        statement += f" PARTITIONED BY ({parts})"
-    row_format, table_properties = row_format_clause(fmt, properties)
-    spark.sql(f"{statement} {row_format} STORED AS {fmt} LOCATION {text(location)} {table_properties}")
+    name = f"{quote(database)}.{quote(table)}"
+    spark.sql(external_table_ddl(name, schema, partitions, fmt, location, properties, has_hive(spark)))
     return existed
 
 
@@ -172,8 +199,6 @@ def register_table(spark: SparkSession, database: str, table: str, location: str
 
 def ensure_ledger(spark: SparkSession, database: str, schemas: Mapping[str, T.StructType], location: str | None = None) -> None:
     """Create the ledger database and its tables unless they exist; table ledgers split by database."""
-    from lakeshift.sources.tables import lakehouse_format
-
     ensure_databases(spark, [database], location)
     fmt = lakehouse_format(spark)
     for name, schema in schemas.items():

@@ -39,16 +39,20 @@ def file_manifest(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def _opener() -> Callable[[str], tuple]:
-    """Path -> (file system, path in it). Nested, so it reaches the workers by value."""
-    def open_path(path: str) -> tuple:
+def _opener(root: str) -> Callable[[str], tuple]:
+    """Relative path -> (file system, path in it). Nested, so it reaches the workers by value."""
+    opened = {}
+
+    def open_path(rel: str) -> tuple:
         from pyarrow import fs
 
-        if path.startswith("file:"):
-            path = "file://" + unquote(urlparse(path).path)
-        elif "://" not in path:
-            path = "file://" + path
-        return fs.FileSystem.from_uri(path)
+        if not opened:
+            if "://" in root and not root.startswith("file:"):
+                opened["fs"], opened["base"] = fs.FileSystem.from_uri(root.rstrip("/"))
+            else:
+                local = urlparse(root).path if root.startswith("file:") else root
+                opened["fs"], opened["base"] = fs.LocalFileSystem(), unquote(local)
+        return opened["fs"], f"{opened['base'].rstrip('/')}/{rel}"
 
     return open_path
 
@@ -63,14 +67,14 @@ def copy_files(plan: DataFrame, source_root: str, dest_root: str, tasks: int | N
     wanted = plan.where(F.col("action").isin("NEW", "CHANGED")).select("rel_path", F.col("source_length").alias("length"))
     spread = wanted.repartition(tasks or int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions")), "rel_path")
 
-    open_path, chunk_bytes = _opener(), CHUNK
+    open_source, open_dest, chunk_bytes = _opener(source_root), _opener(dest_root), CHUNK
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
         for batch in batches:
             done = []
             for rel in batch["rel_path"]:
-                src, src_path = open_path(f"{source_root.rstrip('/')}/{rel}")
-                dst, dst_path = open_path(f"{dest_root.rstrip('/')}/{rel}")
+                src, src_path = open_source(rel)
+                dst, dst_path = open_dest(rel)
                 parent, _, name = dst_path.rpartition("/")
                 dst.create_dir(parent, recursive=True)
                 temporary, size = f"{parent}/.{name}.{uuid.uuid4().hex}", 0
@@ -89,14 +93,14 @@ def delete_extra(plan: DataFrame, dest_root: str) -> DataFrame:
     """Delete the EXTRA files of a plan (mirror copies only); returns the deleted paths."""
     extra = plan.where(F.col("action") == "EXTRA").select("rel_path")
 
-    open_path = _opener()
+    open_path = _opener(dest_root)
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
         from pyarrow import fs
 
         for batch in batches:
             for rel in batch["rel_path"]:
-                target, path = open_path(f"{dest_root.rstrip('/')}/{rel}")
+                target, path = open_path(rel)
                 if target.get_file_info(path).type != fs.FileType.NotFound:
                     target.delete_file(path)
             yield batch

@@ -2,23 +2,39 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeshift.sources.scratch import stored
+
 # Text-table storage properties and their defaults.
 TEXT_DELIMITER, TEXT_ESCAPE, TEXT_NULL = "field.delim", "escape.delim", "null.format"
 
 
 def text_options(properties: Mapping[str, str] | None) -> dict[str, str]:
-    """Reader options of a delimited text table from its storage properties."""
+    """Reader options of a delimited text table; such files know no quotes."""
     properties = properties or {}
-    options = {"sep": properties.get(TEXT_DELIMITER, "\x01"), "nullValue": properties.get(TEXT_NULL, "\\N")}
-    if properties.get(TEXT_ESCAPE):
-        options["escape"] = properties[TEXT_ESCAPE]
-    return options
+    return {"sep": properties.get(TEXT_DELIMITER, "\x01"), "nullValue": properties.get(TEXT_NULL, "\\N"), "quote": ""}
+
+
+def _read_escaped_text(spark: SparkSession, path: str, schema: T.StructType, properties: Mapping[str, str]) -> DataFrame:
+    """Delimited text whose values may hold escaped delimiters, which the CSV reader keeps as they are."""
+    options = text_options(properties)
+    sep, esc = re.escape(options["sep"]), re.escape(properties[TEXT_ESCAPE])
+    line = F.concat(F.col("value"), F.lit(options["sep"]))
+    raw = F.regexp_extract_all(line, F.lit(rf"((?:[^{sep}{esc}]|{esc}.)*){sep}"), F.lit(1))
+    cells = spark.read.text(path).select(raw.alias("cells"))
+
+    def value(i: int, field: T.StructField):
+        cell = F.get("cells", F.lit(i))
+        plain = F.regexp_replace(cell, rf"{esc}(.)", "$1")
+        return F.when(cell != options["nullValue"], plain).try_cast(field.dataType).alias(field.name)
+
+    return cells.select(*[value(i, f) for i, f in enumerate(schema.fields)])
 
 
 def read_table_files(
@@ -31,6 +47,9 @@ def read_table_files(
     """Files of a table by storage format; the schema is inferred unless given."""
     fmt = fmt.upper()
     if fmt == "TEXTFILE":
+        if schema is not None and properties and properties.get(TEXT_ESCAPE):
+            known = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+            return _read_escaped_text(spark, path, known, properties)
         reader = spark.read.format("csv").options(**text_options(properties))
     elif fmt in ("PARQUET", "ORC"):
         reader = spark.read.format(fmt.lower())
@@ -109,20 +128,13 @@ def lakehouse_format(spark: SparkSession) -> str:
 def replace_table(df: DataFrame, table: str, partition_by: Sequence[str] = (), fmt: str | None = None) -> None:
     """Replace a catalog table with a DataFrame that may read that very table.
 
-    The new rows go to a second table first, then take over the name; the old files are dropped only
-    after the new ones are complete.
+    The new rows are first written out whole in the shared scratch folder, then the table is written
+    from there. Should the second write be lost, the complete rows still lie in the first.
     """
-    spark = df.sparkSession
-    fmt = fmt or lakehouse_format(spark)
-    staged, old = f"{table}__next", f"{table}__old"
-    for leftover in (staged, old):
-        spark.sql(f"DROP TABLE IF EXISTS {leftover}")
-    w = without_ntz(df).write.format(fmt).mode("overwrite")
-    (w.partitionBy(*partition_by) if partition_by else w).saveAsTable(staged)
-    if spark.catalog.tableExists(table):
-        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
-    spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
-    spark.sql(f"DROP TABLE IF EXISTS {old}")
+    fmt = fmt or lakehouse_format(df.sparkSession)
+    complete = stored(without_ntz(df), table.replace(".", "_"))
+    w = complete.write.format(fmt).mode("overwrite")
+    (w.partitionBy(*partition_by) if partition_by else w).saveAsTable(table)
 
 
 def convert_table(

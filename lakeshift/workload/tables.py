@@ -37,27 +37,30 @@ def inventory_counts(spark, d):
     return ops.inventory_counts({t: B.table(spark, d, t) for t in TPCH})
 
 
-def _changed_schema(schema: T.StructType) -> T.StructType:
-    """A destination schema that lacks a column, types one differently and has one of its own."""
-    fields = [f for f in schema.fields if f.name != "l_tax"]
-    fields = [T.StructField("L_COMMENT", T.StringType()) if f.name == "l_shipdate" else f for f in fields]
-    return T.StructType([T.StructField(f.name, T.StringType()) if f.name == "l_quantity" else f for f in fields])
+# column lists: a table per brand, a column per part name and size; the destination lost, retyped and gained some
+COLUMN_OF, TYPE_OF = "p_name || ' ' || p_size", "lower(p_type)"
+SOURCE_COLUMNS = f"SELECT p_brand AS table_name, {COLUMN_OF} AS column_name, min({TYPE_OF}) AS data_type FROM part GROUP BY ALL"
+DEST_TYPE = "CASE WHEN p_size > 40 THEN 'string' ELSE lower(p_type) END"
 
 
 @query(
     "schema_diff",
-    """SELECT 'lineitem' AS table_name, column_name, source_type, dest_type, difference, CAST(count(*) AS BIGINT) AS rows_affected FROM lineitem,
-    (VALUES ('l_tax', 'double', NULL, 'MISSING'), ('l_quantity', 'double', 'string', 'TYPE'),
-    ('l_shipdate', 'timestamp_ntz', NULL, 'MISSING'), ('l_comment', NULL, 'string', 'EXTRA'))
-    v(column_name, source_type, dest_type, difference) GROUP BY ALL""",
+    f"""WITH s AS ({SOURCE_COLUMNS}), t AS (SELECT p_brand AS table_name, {COLUMN_OF} AS column_name, min({DEST_TYPE}) AS data_type FROM part
+    WHERE p_size > 5 GROUP BY ALL UNION ALL SELECT DISTINCT p_brand, 'extra ' || p_size, 'int' FROM part WHERE p_size < 3)
+    SELECT coalesce(s.table_name, t.table_name) AS table_name, coalesce(s.column_name, t.column_name) AS column_name, s.data_type AS source_type, t.data_type AS dest_type,
+    CASE WHEN t.data_type IS NULL THEN 'MISSING' WHEN s.data_type IS NULL THEN 'EXTRA' ELSE 'TYPE' END AS difference
+    FROM s FULL OUTER JOIN t ON s.table_name = t.table_name AND s.column_name = t.column_name WHERE s.data_type IS DISTINCT FROM t.data_type""",
 )
 def schema_diff(spark, d):
-    lines = B.table(spark, d, "lineitem")
-    src = ops.schema_frame(spark, {"lineitem": lines.schema})
-    dst = ops.schema_frame(spark, {"lineitem": _changed_schema(lines.schema)})
-    diff = ops.schema_diff(src, dst, case_sensitive=False).drop("message")
-    affected = lines.agg(F.count(F.lit(1)).alias("rows_affected")).withColumn("table_name", F.lit("lineitem"))
-    return diff.join(affected, "table_name")
+    part = B.table(spark, d, "part")
+
+    def columns(df, data_type: str, upper: bool = False):
+        name = F.expr(f"upper({COLUMN_OF})" if upper else COLUMN_OF)
+        return df.groupBy(F.col("p_brand").alias("table_name"), name.alias("column_name")).agg(F.expr(f"min({data_type})").alias("data_type"))
+
+    extra = part.where("p_size < 3").selectExpr("p_brand AS table_name", "'EXTRA ' || p_size AS column_name", "'int' AS data_type").distinct()
+    dest = columns(part.where("p_size > 5"), DEST_TYPE, upper=True).unionByName(extra)
+    return ops.schema_diff(columns(part, TYPE_OF), dest, case_sensitive=False).drop("message")
 
 
 SIDES = f"""s AS (SELECT o_orderstatus AS k, o_orderpriority AS p, count(*) AS n FROM orders GROUP BY ALL),

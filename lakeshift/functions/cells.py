@@ -17,9 +17,13 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# The characters that Python's str.strip removes.
+WHITESPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
+
+
 def strip(c: Column | str) -> Column:
     """Trim all whitespace, not only blanks, so cells pasted with tabs or newlines match."""
-    return F.regexp_replace(col(c).cast("string"), r"(?U)^\s+|\s+$", "")
+    return F.btrim(col(c).cast("string"), F.lit(WHITESPACE))
 
 
 def null_like(c: Column | str) -> Column:

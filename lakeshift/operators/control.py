@@ -76,11 +76,18 @@ def control_tokens(df: DataFrame, keys: Sequence[str], cell: str = "table_cell",
     """One row per (group, token), first seen first; a group with ``*`` keeps only ``*``.
 
     Duplicates are removed by an aggregate on (group, token) before anything is brought
-    together per group, so a group repeated over millions of rows stays spread out.
+    together per group, so a group repeated over millions of rows stays spread out. Which groups
+    hold a ``*`` is an aggregate over the cells themselves.
     """
-    exploded = df.select(*keys, F.col(order).alias("_row"), F.posexplode(C.csv_array(cell)).alias("_pos", "token"))
+    cells = df.select(*keys, F.col(order).alias("_row"), C.csv_array(cell).alias("_tokens"))
+    exploded = cells.select(*keys, "_row", F.posexplode("_tokens").alias("_pos", "token"))
     first = exploded.groupBy(*keys, "token").agg(F.min(F.struct("_row", "_pos")).alias("position"))
-    starred = first.where(F.col("token") == "*").select(*keys).withColumn("_star", F.lit(True))
+    starred = (
+        df.where(F.col(cell).contains("*"))
+        .select(*keys, F.array_contains(C.csv_array(cell), "*").alias("_star"))
+        .where("_star")
+        .distinct()
+    )
     same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
     return (
         first.alias("a")

@@ -12,10 +12,16 @@ from pyspark.sql import types as T
 SHOWN_DIFFERENCES = 3
 
 
-def table_counts(df: DataFrame, predicate: Column | None = None, keys: Sequence[str] = ()) -> DataFrame:
-    """Rows in all and rows passing ``predicate``, in one pass."""
-    hit = F.lit(True) if predicate is None else predicate
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count"), F.count_if(hit).alias("filtered_row_count"))
+def table_counts(parts: DataFrame, keys: Sequence[str], matched: Column | None = None) -> DataFrame:
+    """Rows in all and rows of matched partitions per table, from :func:`partition_metrics`.
+
+    The filter is tested once per partition, not once per row.
+    """
+    hit = F.lit(True) if matched is None else matched
+    return parts.groupBy(*keys).agg(
+        F.sum("row_count").alias("row_count"),
+        F.coalesce(F.sum(F.when(hit, F.col("row_count"))), F.lit(0)).alias("filtered_row_count"),
+    )
 
 
 def inventory_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -14,6 +14,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeshift.functions.cells import WHITESPACE, strip
 from lakeshift.functions.text import matches
 from lakeshift.operators.scan import LINE_ENDS, LINE_WITH_END
 from lakeshift.rules import rewrite as R
@@ -51,7 +52,7 @@ def _import_line(s: Column, rule: R.ImportRule) -> Column:
         return F.lit(rule.target)
     if rule.new_name is not None:
         return F.lit(f"from {rule.target} import {rule.new_name}")
-    names = F.regexp_replace(F.regexp_extract(s, U + import_pattern(rule), 1), r"(?U)^\s+|\s+$", "")
+    names = strip(F.regexp_extract(s, U + import_pattern(rule), 1))
     return F.concat(F.lit(f"from {rule.target} import "), names)
 
 
@@ -195,13 +196,9 @@ def line_checks(s: Column) -> list[Check]:
     return checks
 
 
-def stripped(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
-
-
 def code_line(c: Column) -> Column:
     """False for blank lines and comment lines."""
-    s = stripped(c)
+    s = strip(c)
     return (s != "") & ~s.startswith("#")
 
 
@@ -241,7 +238,7 @@ def code_lines(corpus: DataFrame) -> DataFrame:
     """(path, line_number, code) of every line that is neither blank nor a comment."""
     lines = corpus.select("path", F.posexplode(F.regexp_extract_all("content", F.lit(LINE_WITH_END), F.lit(0))).alias("pos", "line"))
     return lines.where(code_line(F.col("line"))).select(
-        "path", (F.col("pos") + 1).alias("line_number"), stripped(F.col("line")).alias("code")
+        "path", (F.col("pos") + 1).alias("line_number"), strip(F.col("line")).alias("code")
     )
 
 
@@ -294,7 +291,7 @@ def rewritten_line(s: Column, indent: Column) -> Column:
     checks = [c for c in line_checks(s) if c.auto_fixable]
     imported = import_finding(s)["new_code"]
     fixes = [F.when(imported != s, imported)]
-    fixes += [F.when(c.condition & (stripped(c.new_line) != s), c.new_line) for c in checks]
+    fixes += [F.when(c.condition & (strip(c.new_line) != s), c.new_line) for c in checks]
     # fixes that may leave the code alone still rewrite the line without trailing blanks
     fixes += [F.when(c.condition, s) for c in checks if c.category in ("Removed Parameters", "AWS Provider")]
     return F.when((s != "") & ~s.startswith("#") & worth_checking(s), F.concat(indent, F.coalesce(*fixes)))
@@ -309,7 +306,7 @@ def apply_rewrites(corpus: DataFrame) -> DataFrame:
     # strip once per line: the checks below refer to the stripped text many times
     parts = F.transform(
         lines,
-        lambda x: F.struct(x.alias("old"), stripped(x).alias("code"), F.regexp_extract(x, r"(?U)^(\s*)", 1).alias("indent")),
+        lambda x: F.struct(x.alias("old"), strip(x).alias("code"), F.left(x, F.length(x) - F.length(F.ltrim(x, F.lit(WHITESPACE)))).alias("indent")),
     )
     fixed = F.transform(
         parts, lambda x: F.struct(x["old"].alias("old"), rewritten_line(x["code"], x["indent"]).alias("new"))

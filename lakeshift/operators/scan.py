@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeshift.functions.cells import strip
 from lakeshift.functions.text import folded, matches
 from lakeshift.rules.model import CATEGORIES, SEVERITIES, Rule
 
@@ -125,7 +126,7 @@ def _exploded_hits(numbered: DataFrame, hits: list[Column]) -> DataFrame:
     marked = numbered.select(
         "path",
         "line_number",
-        F.transform(F.array("line"), lambda x: F.left(F.regexp_replace(x, r"(?U)^\s+|\s+$", ""), F.lit(TEXT_CHARS))).alias("text"),
+        F.transform(F.array("line"), lambda x: F.left(strip(x), F.lit(TEXT_CHARS))).alias("text"),
         F.array(*hits).alias("hits"),
     )
     return marked.select(

@@ -82,7 +82,8 @@ def pf_control(spark, d):
         "'lineitem_' || l_returnflag AS source_table",
         "CASE l_returnflag WHEN 'A' THEN 'last_n_partitions=3, dt=1998-05-05' WHEN 'N' THEN 'dt>=2001-06-01' END AS partition_filter",
     )
-    days = lines.selectExpr(f"{B.TABLE_OF} AS source_table", f"{DAY} AS part").distinct()
+    # the partition string is an aggregate result, so filters on it run per partition, not per row
+    days = lines.groupBy(F.expr(B.TABLE_OF).alias("source_table"), "l_shipdate").agg(F.expr(f"max({DAY})").alias("part")).drop("l_shipdate")
     return ops.apply_control_filters(days, control, ["source_table"], "part")
 
 
@@ -136,11 +137,9 @@ def filter_active(spark, d):
     count(*) FILTER (WHERE year(l_shipdate) >= 2000) AS filtered_row_count FROM lineitem GROUP BY ALL""",
 )
 def filtered_row_count(spark, d):
-    lines = B.table(spark, d, "lineitem")
-    wanted = P.matches_filter(F.expr(B.MONTH_PART), "year>=2000")
-    return reconcile.table_counts(
-        lines.withColumn("source_table", F.expr(B.TABLE_OF)), wanted, ["source_table"]
-    )
+    lines = B.table(spark, d, "lineitem").withColumn("source_table", F.expr(B.TABLE_OF))
+    parts = reconcile.partition_metrics(lines, F.expr(B.MONTH_PART), ["source_table"])
+    return reconcile.table_counts(parts, ["source_table"], P.matches_filter("partition", "year>=2000"))
 
 
 @query(

@@ -509,11 +509,11 @@ OBJECT_ROWS: B.Columns = [
     ("policy_name", "CASE WHEN user_id % 23 = 0 THEN 'kept' WHEN user_id % 3 = 0 THEN '' END"),
     ("policy_id", "CASE WHEN user_id % 23 = 0 THEN 'kept_id' END"),
 ]
-OBJ = f"""obj AS (SELECT run_id, object_type, object_name, max(policy_name) AS policy_name, max(policy_id) AS policy_id FROM ({B.select_sql(OBJECT_ROWS, 'events')}) GROUP BY ALL)"""
+OBJ = f"""obj AS (SELECT run_id, object_type, object_name, max(policy_name) AS policy_name, max(policy_id) AS policy_id FROM ({B.select_sql(OBJECT_ROWS, B.KEYED_EVENTS)}) GROUP BY ALL)"""
 
 
 def _object_rows(spark, d):
-    rows = B.derive(B.table(spark, d, "events"), OBJECT_ROWS)
+    rows = B.derive(B.keyed_events(spark, d), OBJECT_ROWS)
     return rows.groupBy("run_id", "object_type", "object_name").agg(
         F.max("policy_name").alias("policy_name"), F.max("policy_id").alias("policy_id")
     )

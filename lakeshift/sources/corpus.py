@@ -50,7 +50,7 @@ def read_corpus(
     The path filter works on the file's metadata column, so left-out files are never opened.
     """
     base = root.rstrip("/")
-    raw = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").text(base)
+    raw = spark.read.format("text").option("wholetext", "true").option("recursiveFileLookup", "true").load(base)
     full = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     rel = F.ltrim(F.substr(full, F.instr(full, F.lit(base)) + F.lit(len(base))), F.lit("/"))
     named = raw.select(rel.alias("path"), F.col("value"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lakeshift.operators import control as ops
 from lakeshift.operators import windows
+from lakeshift.plans import metadata
 from lakeshift.workload import base as B
 from lakeshift.workload.cells import cell, nullish, s3a
 from lakeshift.workload.registry import query
@@ -151,3 +152,34 @@ GLOB = (
 )
 def resolve_tokens_strict(spark, d):
     return ops.resolve_tokens(_tokens(spark, d, GLOB), _catalog(spark, d), strict=True)
+
+
+GROUP_LIST = "dest_database, dest_bucket, source_s3_prefix, dest_s3_prefix"
+META = f"""SELECT row_index, trim(database) AS source_database, {cell('"table"', "'*'")} AS table_cell, {cell("dest_database", "trim(database)")} AS dest_database,
+    {s3a(cell("bucket", f"'{BUCKET}'"))} AS dest_bucket, {s3a(cell("source_s3_prefix", "''"))} AS source_s3_prefix,
+    {s3a(cell("dest_s3_prefix", "''"))} AS dest_s3_prefix, rtrim({s3a(cell("source_table_path", "''"))}, '/') AS location
+    FROM ({B.CONTROL_SQL}) WHERE NOT {nullish("database")}"""
+KNOWN = "SELECT DISTINCT 'db' || user_id AS source_database, event_type || '_t' AS table_name, 's3a://src-' || (user_id % 5) || '/wh/' || event_type AS location FROM events"
+
+
+@query(
+    "metadata_strategy",
+    f"""WITH m AS ({META}), k AS ({KNOWN}), tok AS (SELECT DISTINCT source_database, {GROUP_LIST},
+    unnest(list_transform(string_split(table_cell, ','), lambda x: trim(x))) AS token FROM m),
+    hive AS (SELECT DISTINCT k.source_database, k.table_name, {GROUP_LIST}, k.location, 'hive' AS strategy FROM k JOIN tok
+    ON k.source_database = tok.source_database AND (tok.token = '*' OR tok.token = k.table_name)
+    WHERE tok.token = '*' OR NOT EXISTS (SELECT 1 FROM tok s WHERE s.token = '*' AND s.source_database = tok.source_database AND s.dest_database = tok.dest_database
+      AND s.dest_bucket = tok.dest_bucket AND s.source_s3_prefix = tok.source_s3_prefix AND s.dest_s3_prefix = tok.dest_s3_prefix)),
+    both_kinds AS (SELECT * FROM hive UNION ALL SELECT source_database, table_cell, {GROUP_LIST}, location, 'iceberg' FROM m WHERE table_cell <> '*' AND location <> '')
+    SELECT source_database, table_name, dest_database, location, strategy,
+    CASE WHEN source_s3_prefix <> '' AND dest_s3_prefix <> '' AND starts_with(location, source_s3_prefix)
+    THEN rtrim(dest_s3_prefix, '/') || '/' || ltrim(substr(location, length(source_s3_prefix) + 1), '/')
+    ELSE rtrim(dest_bucket, '/') || '/' || dest_database || '/' || table_name END AS dest_path FROM both_kinds""",
+)
+def metadata_strategy(spark, d):
+    sheet = B.control(spark, d).withColumn("dest_bucket", F.col("bucket"))
+    known = B.table(spark, d, "events").selectExpr(
+        "'db' || user_id AS source_database", "event_type || '_t' AS table_name", "'s3a://src-' || (user_id % 5) || '/wh/' || event_type AS location"
+    )
+    hive = metadata.planned_tables("hive", sheet, BUCKET, known.distinct())
+    return hive.unionByName(metadata.planned_tables("iceberg", sheet, BUCKET))

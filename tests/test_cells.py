@@ -25,7 +25,7 @@ def test_normalize_s3(column):
 
 
 def test_names_of_paths(column):
-    assert column(C.basename, ["/a/b/", "maprfs:///x/y", "z"]) == ["b", "y", "z"]
+    assert column(C.basename, ["/a/b/", "hdfs:///x/y", "z"]) == ["b", "y", "z"]
     assert column(C.bucket_name, ["s3a://My-Bucket/x", "s3n://b", "plain/x"]) == ["my-bucket", "b", "plain"]
     assert column(C.endpoint_slug, ["https://S3.eu-1.x.com:9000/p", "minio.local", "host:9000"]) == [
         "S3_EU_1_X_COM", "MINIO_LOCAL", "HOST:9000",

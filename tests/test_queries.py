@@ -1,3 +1,5 @@
+import re
+
 import duckdb
 import pytest
 
@@ -32,7 +34,8 @@ def test_entry(spark):
 
 def test_registry():
     assert set(oracle_sql()) <= set(queries())
-    assert set(queries()) - set(oracle_sql()) == {"scan_code", "run_id_format"}
+    own = {name for name in set(queries()) - set(oracle_sql()) if not re.match(r"op\d+_|pipeline$", name)}
+    assert own == {"scan_code", "run_id_format"}
 
 
 PLANNED = [

@@ -6,7 +6,11 @@ from lakeshift.llm import (  # noqa: F401  (each module registers its query)
     decontaminate,
     exact,
     mixing,
+    ngram_join,
+    quality,
     sharding,
+    substring,
+    warc,
 )
 from lakeshift.llm.common import REGISTRY
 

@@ -64,11 +64,12 @@ LOWER = np.array([b + 32 if 0x41 <= b <= 0x5A else b for b in range(256)], np.ui
 
 @dataclass
 class Slab:
-    """Whole texts side by side. Word i is ``data[starts[i]:ends[i]]``; text d has the words
+    """Whole texts side by side; text d is ``data[begins[d]:begins[d + 1]]``. Word i is ``data[starts[i]:ends[i]]``; text d has the words
     ``first[d]`` to ``first[d + 1]``."""
 
     rows: slice
     data: np.ndarray
+    begins: np.ndarray
     starts: np.ndarray
     ends: np.ndarray
     first: np.ndarray
@@ -121,7 +122,7 @@ def _slab(rows: slice, data: np.ndarray, begins: np.ndarray, member: np.ndarray)
     starts = np.flatnonzero(inside & (~before | edge))
     ends = np.flatnonzero(before & (~inside | edge))
     first = np.searchsorted(starts, begins)
-    return Slab(rows, data, starts, ends, first, word_hashes(data, starts, ends))
+    return Slab(rows, data, begins, starts, ends, first, word_hashes(data, starts, ends))
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

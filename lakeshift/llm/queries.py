@@ -10,6 +10,8 @@ from lakeshift.llm import (  # noqa: F401  (each module registers its query)
     quality,
     sharding,
     substring,
+    suffixes,
+    surrogates,
     warc,
 )
 from lakeshift.llm.common import REGISTRY

@@ -151,6 +151,19 @@ def _windows(slab: Slab, size: int) -> tuple[np.ndarray, np.ndarray]:
     return window_hashes(slab.hashes, size), slab.left() >= size
 
 
+def packed_texts(rows: DataFrame, homes: int) -> DataFrame:
+    """home, id, uid, z: the texts, compressed for the shuffle, with the group that each belongs to."""
+
+    def run(batches):
+        squeeze = zstandard.ZstdCompressor(level=1)
+        for b in batches:
+            z = [squeeze.compress(t.as_buffer().to_pybytes()) for t in b["text"].cast(pa.large_binary())]
+            home = pa.array((np.asarray(b["uid"]).view(np.uint64) % np.uint64(homes)).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([home, b["id"], b["uid"], pa.array(z, pa.binary())], ["home", "id", "uid", "z"])
+
+    return rows.mapInArrow(run, "home int, id long, uid long, z binary")
+
+
 def _texts(rows: pa.Table) -> pa.Array:
     unpack = zstandard.ZstdDecompressor()
     return pa.array([unpack.decompress(z.as_buffer().to_pybytes()) for z in rows["z"].combine_chunks()] if len(rows) else [], pa.large_binary())
@@ -159,11 +172,23 @@ def _texts(rows: pa.Table) -> pa.Array:
 def _repeated(slab: Slab, uid: np.ndarray, marks: np.ndarray, size: int, last: bool) -> np.ndarray:
     """Which windows of the slab's texts have been marked."""
     h, whole = _windows(slab, size)
-    return whole & np.isin(_mark(_narrow(h, last), uid[slab.rows][slab.text_of()]), marks)
+    return whole & contained(_mark(_narrow(h, last), uid[slab.rows][slab.text_of()]), marks)
+
+
+def contained(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+    """Which values are in an ordered array. Sorted values walk through it in memory order."""
+    if not len(ordered):
+        return np.zeros(len(values), bool)
+    order = np.argsort(values)
+    at = np.searchsorted(ordered, values[order])
+    out = np.empty(len(values), bool)
+    out[order] = ordered[np.minimum(at, len(ordered) - 1)] == values[order]
+    return out
 
 
 def _marks_of(rows: pa.Table) -> np.ndarray:
-    return np.frombuffer(b"".join(rows["marks"].to_pylist()), np.uint64)
+    """The marks that came to a group, in order."""
+    return np.unique(np.frombuffer(b"".join(rows["marks"].to_pylist()), np.uint64))
 
 
 def without_repeats(docs: DataFrame, length: int = WINDOW, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -189,13 +214,6 @@ def without_repeats(docs: DataFrame, length: int = WINDOW, key: str = "doc_id",
                 yield from pack.add(h[whole], slab.text_of()[whole], uids[slab.rows], ids[slab.rows])
         yield from pack.flush()
 
-    def packed(batches):
-        squeeze = zstandard.ZstdCompressor(level=1)
-        for b in batches:
-            z = [squeeze.compress(t.as_buffer().to_pybytes()) for t in b["text"].cast(pa.large_binary())]
-            home = pa.array((np.asarray(b["uid"]).view(np.uint64) % np.uint64(n)).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([home, b["id"], b["uid"], pa.array(z, pa.binary())], ["home", "id", "uid", "z"])
-
     def longer(size: int, half: int, last: bool):
         def run(key, texts, found):
             pack, marks, out = Packer(n, n, last), _marks_of(found), []
@@ -232,7 +250,7 @@ def without_repeats(docs: DataFrame, length: int = WINDOW, key: str = "doc_id",
         return pa.table({"id": texts["id"], "n_words": pa.array(words_, pa.int64()), "n_removed": pa.array(removed, pa.int64()), "kept_text": pa.array(kept_, pa.binary()).cast(pa.string())})
 
     packs = rows.mapInArrow(first, "bucket int, pack binary")
-    homes = rows.mapInArrow(packed, "home int, id long, uid long, z binary")
+    homes = packed_texts(rows, n)
     for at, size in enumerate(levels):
         last = at == len(levels) - 1
         marks = packs.groupBy("bucket").applyInArrow(_meet(n, n, last), "home int, marks binary")

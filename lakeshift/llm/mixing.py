@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakeshift.llm.common import REGISTRY, ranked, table, word_count
+from lakeshift.llm.common import REGISTRY, kept, ranked, table, word_count
 
 #: Weights of the sources in code point order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -61,9 +61,10 @@ def systematic(rows: DataFrame, source: str = "source", key: str = "doc_id", siz
         F.coalesce(F.col(size), F.lit(0)).alias("_size"),
         F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit("")))).alias("_hash"),
     )
+    df = kept(df)  # sizes are counted once, though ranks, sums and rows all ask for them
     sums = df.groupBy("_source").agg(F.sum("_size").alias("_sum"), F.count(F.lit(1)).alias("_rows"))
     wanted = targets(sums, "_source", "_sum", **law).select(F.col("_source").alias("_name"), "source_size", "target")
-    cells = max(1, rows.count() // CELL_ROWS)
+    cells = max(1, df.count() // CELL_ROWS)
     cell = F.pmod(F.conv(F.substring("_hash", 1, 8), 16, 10).cast("long"), F.lit(cells))
     order = [F.col("_hash"), F.xxhash64(*names.values())]
     df = ranked(df.withColumn("_cell", cell), ["_source"], ["_size", "_cell"], order, "_rank")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeshift.llm import decontaminate, mixing, ngram_join, quality, sharding
-from lakeshift.llm.common import kept, table, word_count
+from lakeshift.llm.common import kept, table, unused, word_count
 from lakeshift.sources.scratch import stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -31,28 +31,31 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Of rows that repeat an id and a text one stays. Rows without an id stay.
     """
     groups = ngram_join.linked(docs.select("doc_id", "text"), n=5, num=80, den=100)
-    go = kept(groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_id")).distinct())
-    left = docs.join(go, F.col("doc_id") == F.col("_id"), "left_anti")
-    again = F.row_number().over(Window.partitionBy("doc_id", _print()).orderBy(F.lit(0)))
-    return left.withColumn("_again", again).where("_again = 1 or doc_id is null").drop("_again")
+    gone, again = unused(docs, "_gone", "_again")
+    go = kept(groups.where("doc_id <> component_id").select(F.col("doc_id").alias(gone)).distinct())
+    left = docs.join(go, F.col("doc_id") == F.col(gone), "left_anti")
+    first = F.row_number().over(Window.partitionBy("doc_id", _print()).orderBy(F.lit(0))) == 1
+    return left.withColumn(again, first).where(F.col(again) | F.col("doc_id").isNull()).drop(again)
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any benchmark window. Rows of equal id share their fate."""
     hits = decontaminate.hits(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
-    found = kept(hits.where("n_hit > 0").select(F.col("doc_id").alias("_id")).distinct())
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+    (hit,) = unused(docs, "_hit")
+    found = kept(hits.where("n_hit > 0").select(F.col("doc_id").alias(hit)).distinct())
+    return docs.join(found, F.col("doc_id").eqNullSafe(F.col(hit)), "left_anti")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """As many copies of each document as the mix takes; those not taken go. Rows that agree in id, text and source are counted as copies of one."""
-    rows = docs.select("doc_id", "source", word_count("text").alias("size"), _print().alias("_print"))
-    taken = mixing.systematic(rows).groupBy("doc_id", "source", "_print").agg(F.sum("copies").alias("_copies")).where("_copies > 0")
-    taken = taken.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("_print").alias("_p"), "_copies")
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) & (_print() == F.col("_p"))
-    one = F.row_number().over(Window.partitionBy("_id", "_source", "_p").orderBy(F.lit(0)))
-    out = docs.join(taken, same).withColumn("_one", one).where("_one = 1")
-    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*docs.columns)
+    rows = docs.select("doc_id", "source", word_count("text").alias("size"), _print().alias("print"))
+    key, source, text, copies, one = unused(docs, "_key", "_source", "_print", "_copies", "_one")
+    taken = mixing.systematic(rows).groupBy("doc_id", "source", "print").agg(F.sum("copies").alias("copies")).where("copies > 0")
+    taken = taken.toDF(key, source, text, copies)
+    same = F.col("doc_id").eqNullSafe(F.col(key)) & F.col("source").eqNullSafe(F.col(source)) & (_print() == F.col(text))
+    first = F.row_number().over(Window.partitionBy(key, source, text).orderBy(F.lit(0))) == 1
+    out = docs.join(taken, same).withColumn(one, first).where(F.col(one))
+    return out.withColumn(one, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies)))).select(*docs.columns)
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

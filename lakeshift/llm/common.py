@@ -75,6 +75,17 @@ def _null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str) ->
     return joined.drop(*[f"_r_{c}" for c in keys])
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Names like these that no column of ``df`` has, whatever its case."""
+    have = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in have:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def word_count(text: str) -> Column:
     """Number of words `[^\\x20\\x09-\\x0D]+`; null has none."""
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")

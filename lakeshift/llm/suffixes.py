@@ -126,7 +126,7 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
     """One row per repeated passage of a document: key, start_word, end_word (exclusive), n_words, first_id.
 
     A passage is a run of at least ``length`` words that a document of a smaller key has too; first_id is
-    the smallest such document met. Words are `[^\\x20\\x09-\\x0D]+`; keys are integers. Documents without
+    the smallest such document among the suffix's neighbours. Words are `[^\\x20\\x09-\\x0D]+`; keys are integers. Documents without
     repeated passages have no rows. Nulls: a null text has no words; a null key is greater than any
     other, so it is never a first_id while another is. Rows of equal key do not repeat each other; rows
     equal in key and text are reported once. Empty tables give no rows. Other columns are not looked at.

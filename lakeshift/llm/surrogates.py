@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakeshift.llm.common import REGISTRY, kept, table
+from lakeshift.llm.common import REGISTRY, kept, table, unused
 
 #: Honorifics before a name and the gender they show. Fixed values.
 HONORIFICS = {
@@ -181,6 +181,7 @@ def pseudonymised(docs: DataFrame, secret: str, key: str = "doc_id", text: str =
     docs = docs.drop("n_replaced")
     pattern = F.lit(_pattern())
     has = F.col("text").rlike(HINT)
+    of_key, of_print, new_, n_ = unused(docs, "_key", "_print", "_new", "_n")
     ids = docs.select(F.col(key).cast("string").alias("key"), F.xxhash64(text).alias("print"), F.col(text).alias("text"))
     found = ids.where(has).select("key", "print", F.posexplode(F.regexp_extract_all("text", pattern, F.lit(0))).alias("at", "mention")).distinct()
     found = found.withColumn("kind", _kind(F.col("mention"))).withColumn("normal", _normal(F.col("kind"), F.col("mention")))
@@ -190,14 +191,14 @@ def pseudonymised(docs: DataFrame, secret: str, key: str = "doc_id", text: str =
     surrogates = surrogate_table(kept(found.where("kind <> 'none'").select("kind", "normal").distinct()), secret)
     new = F.coalesce(_shown(F.col("kind"), F.col("mention"), F.col("surrogate")), F.col("mention"))
     shown = found.join(surrogates, ["kind", "normal"], "left").select("key", "print", "at", new.alias("new"), F.col("surrogate").isNotNull().cast("long").alias("n"))
-    lists = shown.groupBy("key", "print").agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "new"))), lambda s: s["new"]).alias("_new"), F.sum("n").alias("_n"))
-    lists = lists.select(F.col("key").alias("_key"), F.col("print").alias("_print"), "_new", "_n")
-    out = docs.join(lists, F.col(key).cast("string").eqNullSafe(F.col("_key")) & (F.xxhash64(text) == F.col("_print")), "left")
+    lists = shown.groupBy("key", "print").agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "new"))), lambda s: s["new"]).alias(new_), F.sum("n").alias(n_))
+    lists = lists.select(F.col("key").alias(of_key), F.col("print").alias(of_print), new_, n_)
+    out = docs.join(lists, F.col(key).cast("string").eqNullSafe(F.col(of_key)) & (F.xxhash64(text) == F.col(of_print)), "left")
     pieces = F.split(F.col(text), _pattern(), -1)
-    whole = F.array_join(F.flatten(F.transform(pieces, lambda p, i: F.when(i == 0, F.array(p)).otherwise(F.array(F.get("_new", i - 1), p)))), "")
-    replaced = F.when(F.col("_new").isNull(), F.col(text)).otherwise(whole)
+    whole = F.array_join(F.flatten(F.transform(pieces, lambda p, i: F.when(i == 0, F.array(p)).otherwise(F.array(F.get(new_, i - 1), p)))), "")
+    replaced = F.when(F.col(new_).isNull(), F.col(text)).otherwise(whole)
     kept_columns = [replaced.alias(text) if c == text else F.col(c) for c in docs.columns]
-    return out.select(*kept_columns, F.coalesce("_n", F.lit(0)).cast("long").alias("n_replaced"))
+    return out.select(*kept_columns, F.coalesce(n_, F.lit(0)).cast("long").alias("n_replaced"))
 
 
 @REGISTRY.query("op1_surrogates")

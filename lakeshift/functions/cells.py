@@ -57,13 +57,20 @@ def csv_array(c: Column | str) -> Column:
     )
 
 
+def last_of_key(entries: Column) -> Column:
+    """An array of (key, value) without the entries whose key comes again later."""
+    later = lambda e, i: F.exists(F.slice(entries, i + 2, F.size(entries)), lambda x: x["key"] == e["key"])
+    return F.filter(entries, lambda e, i: ~later(e, i))
+
+
 def clip(c: Column | str, n: int) -> Column:
     return F.substring(col(c), 1, n)
 
 
-def slugify(c: Column | str, n: int = 40) -> Column:
-    """Keep letters, digits, ``_`` and ``-``; replace the rest by ``_``; cut to ``n``."""
-    return clip(F.regexp_replace(col(c), "[^a-zA-Z0-9_-]", "_"), n)
+def slugify(c: Column | str, n: int | None = None) -> Column:
+    """Keep letters, digits, ``_`` and ``-``; replace the rest by ``_``; cut to ``n`` where it is given."""
+    slug = F.regexp_replace(col(c), "[^a-zA-Z0-9_-]", "_")
+    return slug if n is None else clip(slug, n)
 
 
 def normalize_s3(c: Column | str) -> Column:
@@ -145,4 +152,4 @@ def serde_properties(c: Column | str) -> Column:
             strip(F.substring_index(x, "=", 1)).alias("key"), strip(F.substr(x, F.instr(x, "=") + 1)).alias("value")
         ),
     )
-    return F.map_from_entries(F.filter(pairs, lambda p: p["key"].isin(SERDE_KEYS)))
+    return F.map_from_entries(last_of_key(F.filter(pairs, lambda p: p["key"].isin(SERDE_KEYS))))

@@ -10,7 +10,7 @@ from urllib.parse import unquote
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lakeshift.functions.cells import col, strip
+from lakeshift.functions.cells import col, last_of_key, strip
 
 # Fixed formats of the filter language.
 LAST_N = r"^last_n_partitions=([0-9]+)$"
@@ -37,13 +37,12 @@ def _segment_value(s: Column) -> Column:
 
 
 def partition_map(part: Column | str) -> Column:
-    """Partition string -> map of decoded values (the first ``=`` of a segment splits)."""
-    return F.map_from_entries(
-        F.transform(
-            _segments(col(part)),
-            lambda s: F.struct(_segment_key(s).alias("key"), _segment_value(s).alias("value")),
-        )
+    """Partition string -> map of decoded values (the first ``=`` of a segment splits; the last of equal keys wins)."""
+    entries = F.transform(
+        _segments(col(part)),
+        lambda s: F.struct(_segment_key(s).alias("key"), _segment_value(s).alias("value")),
     )
+    return F.map_from_entries(last_of_key(entries))
 
 
 def partition_value(part: Column | str, key: Column | str) -> Column:

@@ -19,7 +19,11 @@ FOLD_FROM, FOLD_TO = "İıſK", "iisk"
 
 
 def required_literals(pattern: str, flags: int = 0) -> list[str]:
-    """Texts of which at least one occurs in every match; empty when the pattern promises none."""
+    """Texts of which at least one occurs in every match; empty when the pattern promises none.
+
+    A pattern that turns ignore-case on for itself or a part of it promises none unless ``flags`` say so too."""
+    if not flags & re.IGNORECASE and re.search(r"\(\?[a-zA-Z]*i", pattern):
+        return []
     return _required(parser.parse(pattern, flags)) or []
 
 

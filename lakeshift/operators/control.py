@@ -128,8 +128,9 @@ def distinct_endpoints(df: DataFrame, bucket: str = "dest_bucket", endpoint: str
 
 
 def like_pattern(token: Column) -> Column:
-    """Catalog pattern (``*`` any text, ``|`` alternatives) -> anchored, case-blind regex."""
-    return F.concat(F.lit("(?i)^(?:"), F.replace(token, F.lit("*"), F.lit(".*")), F.lit(")$"))
+    """Catalog pattern (``*`` any text, ``|`` alternatives) -> anchored, case-blind regex; all else stands for itself."""
+    parts = F.transform(F.split(token, r"\|"), lambda p: F.regexp_replace(F.btrim(p), r"([^\w*])", r"\\$1"))
+    return F.concat(F.lit("(?i)^(?:"), F.replace(F.array_join(parts, "|"), F.lit("*"), F.lit(".*")), F.lit(")$"))
 
 
 def glob_pattern(token: Column) -> Column:

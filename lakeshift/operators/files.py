@@ -97,7 +97,7 @@ def data_presence(inventory: DataFrame, summary: DataFrame, path: str = "dest_pa
     )
     message = (
         F.when(no_path, "no destination path computed")
-        .when(F.col("_error").isNotNull(), F.left("_error", F.lit(1000)))
+        .when(F.col("_error").isNotNull(), F.col("_error"))
         .when(F.col("_root").isNull(), F.concat(F.lit("destination path does not exist: "), F.col(path)))
         .when(F.col("_files") == 0, F.concat(F.lit("destination path holds no files: "), F.col(path)))
     )

@@ -33,7 +33,6 @@ CONVERSION_NAMES = {
     "source_partition_count": "source_hive_partition_count",
     "dest_partition_count": "dest_iceberg_partition_count",
 }
-MESSAGE_CHARS = 2000
 HIT = "_hit"
 
 
@@ -42,9 +41,11 @@ def merge_upsert(
 ) -> DataFrame:
     """Update matched rows in ``update_cols`` (default: all other source columns), insert the rest.
 
-    Source keys must be unique, as MERGE demands; see :func:`duplicate_keys`.
+    Source keys must be unique, as MERGE demands: a repeated one fails the job. :func:`duplicate_keys`
+    lists them.
     """
     keys = list(keys)
+    source = unique_rows(source, keys)
     values = [c for c in source.columns if c not in keys]
     update_cols = values if update_cols is None else list(update_cols)
     t = target.withColumn("_t", F.lit(True))
@@ -67,6 +68,21 @@ def duplicate_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     return source.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count")).where(F.col("row_count") > 1)
 
 
+def unique_rows(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The same rows; a key that occurs twice fails the job when its row is used.
+
+    Groups by the keys of the join that follows, so no exchange is added.
+    """
+    keys = list(keys)
+    values = [c for c in source.columns if c not in keys]
+    if not values:
+        return source.distinct()
+    text = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in keys])
+    rows = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.any_value(F.struct(*values)).alias("_v"))
+    rows = rows.withColumn("_v", F.when(F.col("_n") > 1, F.raise_error(F.concat(F.lit("key occurs more than once: "), text))).otherwise(F.col("_v")))
+    return rows.select(*keys, "_v.*").select(*source.columns)
+
+
 def replace_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Delete target rows whose key occurs in ``source``, then add the source rows."""
     kept = target.join(source.select(*keys).distinct(), list(keys), "left_anti")
@@ -78,6 +94,7 @@ def apply_results(
 ) -> DataFrame:
     """Left-join results (columns prefixed ``r_``) and set ``changes`` on matched rows only."""
     keys = list(keys)
+    results = unique_rows(results, keys)
     r = results.select(
         *keys, *[F.col(c).alias(f"r_{c}") for c in results.columns if c not in keys], F.lit(True).alias(HIT)
     )
@@ -94,7 +111,7 @@ def apply_results(
 
 
 def _error() -> Column:
-    return F.left(F.coalesce("r_error", F.lit("")), F.lit(MESSAGE_CHARS))
+    return F.coalesce("r_error", F.lit(""))
 
 
 def _error_if_failed() -> Column:
@@ -185,7 +202,7 @@ def advance_presence(
 def validation_message(variant: str) -> Column:
     """Null when valid; the mismatch text when there is one; else the message already there."""
     valid = validation_status(variant, "r_row_count_match", "r_partition_count_match", "r_schema_match") == "VALIDATED"
-    text = F.left("r_error", F.lit(MESSAGE_CHARS))
+    text = F.col("r_error")
     if variant == "metadata":
         return F.when(valid, F.lit(None)).otherwise(F.coalesce(text, F.lit("")))
     return F.when(valid, F.lit(None)).otherwise(F.coalesce(F.nullif(text, F.lit("")), F.col("error_message")))
@@ -207,7 +224,7 @@ def advance_validate(
         "row_count_match": F.coalesce("r_row_count_match", F.lit(False)),
         "partition_count_match": F.coalesce("r_partition_count_match", F.lit(False)),
         "schema_match": F.coalesce("r_schema_match", F.lit(False)),
-        "schema_differences": F.left(F.coalesce("r_schema_differences", F.lit("")), F.lit(MESSAGE_CHARS)),
+        "schema_differences": F.coalesce("r_schema_differences", F.lit("")),
         "overall_status": F.when(failed, overall).otherwise(state),
         "error_message": F.when(failed, F.col("error_message")).otherwise(validation_message(variant)),
     }
@@ -222,7 +239,7 @@ def advance_folder(
     ledger: DataFrame, results: DataFrame, keys: Sequence[str] = ("run_id", "source_path", "dest_bucket", "dest_path")
 ) -> DataFrame:
     """Folder-validation results; a non-empty error replaces the message."""
-    error = F.left(F.coalesce("r_validation_error", F.lit("")), F.lit(MESSAGE_CHARS))
+    error = F.coalesce("r_validation_error", F.lit(""))
     return apply_results(
         ledger,
         results,
@@ -332,8 +349,12 @@ def copy_gate(tables: DataFrame, copies: DataFrame, order: str) -> DataFrame:
 
 
 def presence_gate(tables: DataFrame, presence: DataFrame, keys: Sequence[str] = ("source_database", "source_table")) -> DataFrame:
-    """Only tables whose data is CONFIRMED at the destination go on to creation."""
-    p = presence.select(*keys, F.col("status").alias("_presence"))
+    """Only tables whose data is CONFIRMED at the destination go on to creation.
+
+    Of several results for a table, any other than CONFIRMED decides.
+    """
+    bad = F.min(F.when(F.col("status") != "CONFIRMED", F.col("status")))
+    p = presence.groupBy(*keys).agg(F.coalesce(bad, F.min("status")).alias("_presence"))
     status = F.coalesce("_presence", F.lit("UNKNOWN"))
     blocked = status != "CONFIRMED"
     return tables.join(p, list(keys), "left").select(
@@ -363,7 +384,7 @@ def validation_gate(
         )
         reason = F.concat(F.lit("upstream failure: "), F.coalesce("error_message", F.lit("")))
     # the verdict is taken on the ledger side; a table without a ledger row has nothing against it
-    verdict = ledger.select(*keys, F.when(blocked, reason).alias("_reason"))
+    verdict = ledger.groupBy(*keys).agg(F.min(F.when(blocked, reason)).alias("_reason"))
     return tables.join(verdict, list(keys), "left").select(
         *tables.columns,
         F.when(F.col("_reason").isNotNull(), "SKIPPED").otherwise("READY").alias("gate"),

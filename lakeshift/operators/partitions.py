@@ -44,33 +44,43 @@ def apply_partition_filter(
 
 
 def apply_control_filters(
-    df: DataFrame, control: DataFrame, keys: Sequence[str], part: str = "partition", expr: str = "partition_filter"
+    df: DataFrame,
+    control: DataFrame,
+    keys: Sequence[str],
+    part: str = "partition",
+    expr: str = "partition_filter",
+    groups: Sequence[str] = (),
 ) -> DataFrame:
-    """Each table filtered by its own control-sheet expression (null or blank keeps everything).
+    """Each control row's table filtered by the row's own expression (null or blank keeps everything).
 
-    One equi-join on the table keys; the per-table ``last_n`` bound is data, so it is a ranked
-    window over distinct partitions of the tables that ask for it.
+    ``groups`` are the columns of the control sheet that tell rows of one table apart, such as its
+    destination; they are returned with the partitions. Rows that agree in keys, groups and filter
+    count once. One equi-join on the table keys; the ``last_n`` bound is data, so it is a ranked window
+    over the distinct partitions of the rows that ask for it.
     """
-    wanted = control.select(*keys, F.col(expr).alias("_expr"))
+    groups = list(groups)
+    wanted = control.select(*keys, *groups, F.col(expr).alias("_expr")).distinct()
+    own = [*keys, *groups, "_expr"]
     rows = df.join(wanted, list(keys), "inner")
     terms = F.transform(F.split(F.col("_expr"), ","), strip)
     counts = F.transform(
         F.filter(terms, lambda t: t.rlike(P.LAST_N)), lambda t: F.regexp_extract(t, P.LAST_N, 1).cast("int")
     )
-    order = Window.partitionBy(*keys).orderBy(F.col(part).desc())
+    order = Window.partitionBy(*own).orderBy(F.col(part).desc())
     newest = (
         rows.withColumn("_n", F.array_max(counts))
         .where(F.col("_n") > 0)
-        .select(*keys, part, "_n")
+        .select(*own, part, "_n")
         .distinct()
         .withColumn("_rank", F.row_number().over(order))
         .where(F.col("_rank") <= F.col("_n"))
-        .select(*keys, part, F.lit(True).alias("_newest"))
+        .select(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(own)], F.col(part).alias("_part"), F.lit(True).alias("_newest"))
     )
+    same = [F.col(c).eqNullSafe(F.col(f"_o{i}")) for i, c in enumerate(own)]
     return (
-        rows.join(newest, [*keys, part], "left")
+        rows.join(newest, reduce(lambda a, b: a & b, same) & (F.col(part) == F.col("_part")), "left")
         .where(P.matches_filter(part, F.col("_expr")) | F.col("_newest").isNotNull())
-        .select(*df.columns)
+        .select(*df.columns, *groups)
     )
 
 

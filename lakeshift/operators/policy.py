@@ -58,6 +58,7 @@ URL_ROWFILTER = "row filters do not apply to url policies"
 ROWFILTER_IGNORED = "row filter ignored: only allow items may carry one"
 GROUPS_WITHOUT_ROLE = "groups need a role"
 NO_ROLE_BINDING = "row defines no role binding"
+UNSAFE_ROWFILTER = "row filter holds a statement end or a line break"
 
 
 def check_rows(filled: DataFrame) -> DataFrame:
@@ -85,7 +86,9 @@ def check_rows(filled: DataFrame) -> DataFrame:
     any_filter = F.col("rowfilter") != ""
     ignored = any_filter & (F.col("item_type") != "allow")
     resource_error = (
-        F.when(F.col("has_db") == F.col("has_url"), BOTH_OR_NEITHER).when(F.col("has_url") & any_filter, URL_ROWFILTER)
+        F.when(F.col("has_db") == F.col("has_url"), BOTH_OR_NEITHER)
+        .when(F.col("has_url") & any_filter, URL_ROWFILTER)
+        .when(~A.rowfilter_valid("rowfilter"), UNSAFE_ROWFILTER)
     )
     no_role = F.col("role") == ""
     binding_error = F.when(no_role & (F.size("groups") > 0), GROUPS_WITHOUT_ROLE).when(

@@ -9,8 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SHOWN_DIFFERENCES = 3
-
 
 def table_counts(parts: DataFrame, keys: Sequence[str], matched: Column | None = None) -> DataFrame:
     """Rows in all and rows of matched partitions per table, from :func:`partition_metrics`.
@@ -165,7 +163,7 @@ def with_verdict(df: DataFrame) -> DataFrame:
                     ~schema_ok,
                     F.concat(
                         F.lit("Schema differences: "),
-                        F.array_join(F.slice("schema_messages", 1, SHOWN_DIFFERENCES), "; "),
+                        F.array_join("schema_messages", "; "),
                     ),
                 ),
             ),

@@ -19,8 +19,6 @@ from lakeshift.functions.cells import strip
 from lakeshift.functions.text import folded, matches
 from lakeshift.rules.model import CATEGORIES, SEVERITIES, Rule
 
-TEXT_CHARS = 200
-WHOLE_TEXT_LIMIT = 1024 * 1024
 HITS = "path string, line_number int, rule_id string, line_text string"
 # Characters that end a line, as Python's str.splitlines sees them.
 LINE_ENDS = r"\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029"
@@ -126,7 +124,7 @@ def _exploded_hits(numbered: DataFrame, hits: list[Column]) -> DataFrame:
     marked = numbered.select(
         "path",
         "line_number",
-        F.transform(F.array("line"), lambda x: F.left(strip(x), F.lit(TEXT_CHARS))).alias("text"),
+        F.transform(F.array("line"), strip).alias("text"),
         F.array(*hits).alias("hits"),
     )
     return marked.select(
@@ -134,8 +132,8 @@ def _exploded_hits(numbered: DataFrame, hits: list[Column]) -> DataFrame:
     )
 
 
-def scan_whole_text(corpus: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Whole-text pass for patterns that may span lines; texts over 1 MiB are left out of it.
+def scan_whole_text(corpus: DataFrame, rules: Sequence[Rule], max_bytes: int | None = None) -> DataFrame:
+    """Whole-text pass for patterns that may span lines, over texts of any size unless ``max_bytes`` is given.
 
     A text goes to Python, where match offsets exist, only when some rule matches it at all; that
     test runs in the JVM. Per rule and line the first match counts.
@@ -144,7 +142,8 @@ def scan_whole_text(corpus: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     if not text_rules:
         return corpus.sparkSession.createDataFrame([], HITS)
     gates = _gates(text_rules)
-    small = _gated(corpus.where(F.octet_length("content") <= WHOLE_TEXT_LIMIT), gates)
+    sized = corpus if max_bytes is None else corpus.where(F.octet_length("content") <= max_bytes)
+    texts = _gated(sized, gates)
     any_match = reduce(
         lambda a, b: a | b,
         [
@@ -153,10 +152,9 @@ def scan_whole_text(corpus: DataFrame, rules: Sequence[Rule]) -> DataFrame:
             for r in text_rules
         ],
     )
-    matched = small.withColumn("_folded", folded(F.col("content"))).where(any_match).select("path", "content")
+    matched = texts.withColumn("_folded", folded(F.col("content"))).where(any_match).select("path", "content")
     # plain tuples and nested functions: nothing here needs this package on the workers
     compiled = [(r.rule_id, r.extensions, r.python_pattern) for r in text_rules]
-    limit = TEXT_CHARS
 
     def hits(path: str, content: str) -> Iterable[tuple]:
         for rule_id, extensions, pattern in compiled:
@@ -168,7 +166,7 @@ def scan_whole_text(corpus: DataFrame, rules: Sequence[Rule]) -> DataFrame:
                 position = match.start()
                 if line != reported:
                     reported = line
-                    yield path, line, rule_id, match.group(0).replace("\n", " ")[:limit]
+                    yield path, line, rule_id, match.group(0).replace("\n", " ")
 
     def locate(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
         for batch in batches:

@@ -19,12 +19,12 @@ def planned_tables(sheet: DataFrame, tables: DataFrame, default_bucket: str) ->
 
 
 def planned_partitions(planned: DataFrame, registered: DataFrame) -> DataFrame:
-    """Partitions each planned table has to copy, by its own filter.
+    """Partitions that each planned copy has to move, by its own filter, with its destination.
 
     ``registered`` is (source_database, table_name, partition).
     """
     return partitions.apply_control_filters(
-        registered, planned.select("source_database", "table_name", "partition_filter"), ["source_database", "table_name"]
+        registered, planned, ["source_database", "table_name"], groups=["dest_database", "dest_bucket", "dest_endpoint"]
     )
 
 

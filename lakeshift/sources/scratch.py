@@ -2,18 +2,28 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder the session names for checkpoints.
+def shared_dir(spark: SparkSession) -> str:
+    """The shared folder that ``spark.checkpoint.dir`` names.
 
-    Only a session without one, as in tests on a single machine, gets a temporary folder.
+    Without that setting a session on one machine gets a temporary folder; on a cluster, where
+    executors would not see it, the job is refused.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="run-")
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master) is None:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return named or tempfile.mkdtemp(prefix="run-")
+
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder."""
+    shared = shared_dir(spark)
     return f"{shared.rstrip('/')}/lakeshift/{name}-{uuid.uuid4().hex}"
 
 

@@ -82,9 +82,9 @@ def copy_table(
 ) -> None:
     """Write ``source`` to ``dest``.
 
-    ``mirror`` replaces the destination. ``additive`` keeps destination rows whose ``keys`` the
-    source does not have; it appends only the rows that are new or changed and rewrites nothing else
-    when no key changed.
+    ``mirror`` replaces the destination. ``additive`` replaces the destination by all source rows and
+    those of its own rows whose ``keys`` the source does not have; the new state is stored in the shared
+    folder first, since it is read from the place that it replaces.
     """
     def writer(df: DataFrame, how: str):
         w = df.write.format(fmt).mode(how)
@@ -94,8 +94,7 @@ def copy_table(
         writer(source, "overwrite").save(dest)
     elif mode == "additive":
         existing = source.sparkSession.read.format(fmt).load(dest)
-        new = source.join(existing.select(*keys).distinct(), list(keys), "left_anti")
-        writer(new, "append").save(dest)
+        writer(stored(additive_rows(source, existing, keys), "additive"), "overwrite").save(dest)
     else:
         raise ValueError(f"unknown copy mode: {mode}")
 

@@ -187,11 +187,11 @@ def endpoint_slug(spark, d):
 
 @query(
     "slugify",
-    "SELECT p_partkey, left(regexp_replace(p_name || ' / ' || p_brand, '[^a-zA-Z0-9_-]', '_', 'g'), 16) AS slug FROM part",
+    "SELECT p_partkey, regexp_replace(p_name || ' / ' || p_brand, '[^a-zA-Z0-9_-]', '_', 'g') AS slug FROM part",
 )
 def slugify(spark, d):
     return B.table(spark, d, "part").select(
-        "p_partkey", C.slugify(F.concat("p_name", F.lit(" / "), "p_brand"), 16).alias("slug")
+        "p_partkey", C.slugify(F.concat("p_name", F.lit(" / "), "p_brand")).alias("slug")
     )
 
 

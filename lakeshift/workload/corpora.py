@@ -16,7 +16,7 @@ from lakeshift.workload import base as B
 from lakeshift.workload.registry import query
 
 # text corpus: every document, page and conversation turn is a file
-DOC_PATH = "lang || '/' || source || '/doc_' || doc_id || CASE lang WHEN 'en' THEN '.py' WHEN 'fr' THEN '.sql' WHEN 'es' THEN '.conf' ELSE '.md' END"
+DOC_PATH = "lang || '/' || source || '/doc_' || doc_id || CASE lang WHEN 'en' THEN '.py' WHEN 'fr' THEN '.sql' WHEN 'es' THEN '.conf' ELSE CASE WHEN doc_id % 16 = 0 THEN '.md' ELSE '.properties' END END"
 PAGE_PATH = "'pages/' || page_id || '.xml'"
 TURN_PATH = "'talks/' || conv_id || '/' || turn || '.yaml'"
 TEXTS = f"""SELECT {DOC_PATH} AS path, text AS content FROM documents UNION ALL SELECT {PAGE_PATH}, html FROM pages
@@ -65,7 +65,7 @@ def lines_sql(files: str) -> str:
 
 def line_hits(files: str, rules: Sequence[Rule]) -> str:
     return f"WITH lines AS ({lines_sql(files)}) " + " UNION ALL ".join(
-        f"SELECT path, line_number, '{r.rule_id}' AS rule_id, left({STRIPPED.format('line')}, 200) AS line_text FROM lines "
+        f"SELECT path, line_number, '{r.rule_id}' AS rule_id, {STRIPPED.format('line')} AS line_text FROM lines "
         f"WHERE {ext_sql(r.extensions)} AND regexp_matches(line, {lit(r.pattern)}, '{'i' if 'i' in r.flags else 'c'}')"
         for r in rules
     )
@@ -81,12 +81,12 @@ def text_hits(files: str, rules: Sequence[Rule]) -> str:
     for r in rules:
         p = lit("(?s)" + r.pattern)
         parts.append(
-            f"""SELECT path, rule_id, line_number, left(replace(arg_min(m, k), chr(10), ' '), 200) AS line_text FROM (
+            f"""SELECT path, rule_id, line_number, replace(arg_min(m, k), chr(10), ' ') AS line_text FROM (
             SELECT path, '{r.rule_id}' AS rule_id, m, k, CAST(1 + list_sum(list_transform(gaps[1:k], lambda x: {newlines("x")}))
             + coalesce(list_sum(list_transform(found[1:k-1], lambda x: {newlines("x")})), 0) AS INT) AS line_number FROM (
             SELECT path, gaps, found, unnest(found) AS m, generate_subscripts(found, 1) AS k FROM (
             SELECT path, regexp_split_to_array(content, {p}) AS gaps, regexp_extract_all(content, {p}) AS found FROM files
-            WHERE {ext_sql(r.extensions)} AND strlen(content) <= 1048576))) GROUP BY ALL"""
+            WHERE {ext_sql(r.extensions)}))) GROUP BY ALL"""
         )
     return f"WITH files AS ({files}) " + " UNION ALL ".join(parts)
 

@@ -54,7 +54,7 @@ def _join(changes: dict[str, str], where: str = "TRUE", ledger: str = L, result:
     return f"SELECT {cols} FROM ({ledger}) l LEFT JOIN (SELECT * FROM ({result}) WHERE {where}) r ON {on}"
 
 
-ERR = "left(coalesce(r.error, ''), 2000)"
+ERR = "coalesce(r.error, '')"
 FAILED_ERR = f"CASE WHEN r.status = 'FAILED' THEN {ERR} ELSE l.error_message END"
 
 

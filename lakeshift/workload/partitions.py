@@ -73,18 +73,25 @@ DAY = "'dt=' || substr(CAST(l_shipdate AS STRING), 1, 10)"
     f"""WITH c AS (SELECT DISTINCT 'lineitem_' || l_returnflag AS source_table, l_returnflag AS f FROM lineitem),
     p AS (SELECT *, row_number() OVER (PARTITION BY source_table ORDER BY part DESC) AS r FROM
       (SELECT DISTINCT {B.TABLE_OF} AS source_table, {DAY} AS part FROM lineitem))
-    SELECT source_table, part FROM p JOIN c USING (source_table) WHERE (f = 'A' AND (r <= 3 OR part = 'dt=1998-05-05'))
-    OR (f = 'N' AND part >= 'dt=2001-06-01') OR f = 'R'""",
+    SELECT source_table, part, 'main' AS dest FROM p JOIN c USING (source_table) WHERE (f = 'A' AND (r <= 3 OR part = 'dt=1998-05-05'))
+    OR (f = 'N' AND part >= 'dt=2001-06-01') OR f = 'R'
+    UNION ALL SELECT source_table, part, 'second' FROM p JOIN c USING (source_table) WHERE f = 'A' AND r <= 5
+    UNION ALL SELECT source_table, part, 'third' FROM p JOIN c USING (source_table) WHERE f = 'A' AND part < 'dt=1994-01-01'""",
 )
 def pf_control(spark, d):
     lines = B.table(spark, d, "lineitem")
     control = lines.select("l_returnflag").distinct().selectExpr(
         "'lineitem_' || l_returnflag AS source_table",
         "CASE l_returnflag WHEN 'A' THEN 'last_n_partitions=3, dt=1998-05-05' WHEN 'N' THEN 'dt>=2001-06-01' END AS partition_filter",
+        "'main' AS dest",
     )
+    # one table copied to three places by three filters
+    again = control.where("source_table = 'lineitem_A'").select("source_table")
+    for dest, expr in (("second", "last_n_partitions=5"), ("third", "dt<1994-01-01")):
+        control = control.unionByName(again.selectExpr("source_table", f"'{expr}' AS partition_filter", f"'{dest}' AS dest"))
     # the partition string is an aggregate result, so filters on it run per partition, not per row
     days = lines.groupBy(F.expr(B.TABLE_OF).alias("source_table"), "l_shipdate").agg(F.expr(f"max({DAY})").alias("part")).drop("l_shipdate")
-    return ops.apply_control_filters(days, control, ["source_table"], "part")
+    return ops.apply_control_filters(days, control, ["source_table"], "part", groups=["dest"])
 
 
 WANTED = ["flag=A/status=F", "flag=N/status=O", "flag=R/status=O"]

@@ -99,7 +99,7 @@ def test_reconcile_message(spark):
     b = spark.createDataFrame([("t", "a", "int"), ("t", "b", "string"), ("t", "z", "int")], cols)
     row = reconcile.reconcile_tables(src, dst, reconcile.schema_verdict(reconcile.schema_diff(a, b))).first()
     assert row.error == (
-        "Row count mismatch: source=10, dest=9; Schema differences: Type mismatch for b: int vs string; Missing column: c; Missing column: d"
+        "Row count mismatch: source=10, dest=9; Schema differences: Type mismatch for b: int vs string; Missing column: c; Missing column: d; Extra column in dest: z"
     )
     assert row.schema_differences.endswith("Extra column in dest: z") and not row.schema_match
     upper = spark.createDataFrame([("t", "A", "INT")], cols)

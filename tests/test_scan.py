@@ -102,10 +102,19 @@ def test_required_literals():
     assert required_literals(r"(?:abc)+x") == ["abc"]
 
 
-def test_big_texts_skip_the_whole_text_pass(spark):
+def test_big_texts_take_part_unless_a_limit_is_given(spark):
     rule = Rule("X", "low", "Configuration Changes", "t", "a.b", whole_text=True)
     df = spark.createDataFrame([("x.sql", "a\nb" + " " * (1024 * 1024)), ("y.sql", "a\nb")], "path string, content string")
-    assert [r.path for r in ops.scan_whole_text(df, [rule]).collect()] == ["y.sql"]
+    assert sorted(r.path for r in ops.scan_whole_text(df, [rule]).collect()) == ["x.sql", "y.sql"]
+    assert [r.path for r in ops.scan_whole_text(df, [rule], max_bytes=1024 * 1024).collect()] == ["y.sql"]
+
+
+def test_inline_flags_lose_no_hits(spark):
+    rules = [Rule(f"X{i}", "low", "Configuration Changes", "t", p) for i, p in enumerate(["(?i)license", "a (?i:license)", "license"])]
+    df = spark.createDataFrame([("x.sql", "a LICENSE\na license" + " " * 500 + "end")], "path string, content string")
+    hits = ops.scan_lines(df, rules).collect()
+    assert sorted((r.rule_id, r.line_number) for r in hits) == [("X0", 1), ("X0", 2), ("X1", 1), ("X1", 2), ("X2", 2)]
+    assert any(r.line_text.endswith("end") for r in hits)
 
 
 def test_rule_selection():

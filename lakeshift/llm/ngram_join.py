@@ -14,9 +14,9 @@ at once; the overlap with a shared beginning is counted once for all sets below
 left when the elements that remain cannot reach the overlap asked for, or when all of it is known to
 be in the walker's component already. Links are decided on whole sets.
 
-Clusters of more than ``BLOCK`` sets are cut into blocks, each joined by itself; then the blocks'
+Clusters of more than ``BLOCK`` sets are cut into blocks of sets of like size, each joined by itself; then the blocks'
 largest components are joined through one set of each; and whatever still stands apart from its
-cluster's largest component is walked through the tries of all blocks. So the result is exact, a group
+cluster's largest component is walked through the tries of all blocks of sizes that it could link with. So the result is exact, a group
 of near copies that holds a third of the table costs a few walks per set, and no task holds more than
 a block.
 """
@@ -79,8 +79,8 @@ def schemes(num: int, den: int) -> list[tuple[int, int, int, float]]:
     long_run = max(1, int(np.ceil(ratio - 1e-9)))
     floor = int(long_run * (long_run - 1) / t) + 1
     short_run = max(1, int(np.ceil(ratio / 2 - 1e-9)))
-    r_long, r_short = max(1, (long_run + 1) // 3), max(1, min(short_run, 2 + short_run // 4))
-    return [(r_long, long_run - r_long + 1, floor, np.inf), (r_short, short_run - r_short + 1, long_run, floor / t)]
+    r_long = long_run if long_run <= 4 else (long_run + 1) // 2  # long enough that a shared passage alone seldom makes one
+    return [(r_long, long_run - r_long + 1, floor, np.inf), (short_run, 1, long_run, floor / t)]
 
 
 def signatures(sets: list[np.ndarray], num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
@@ -126,7 +126,12 @@ def _emit(sets, ids, buckets, num, den):
     if len(a):
         yield _edge_batch(a, b)
     bucket = (mixed(h) % np.uint64(buckets)).astype(np.int64)
-    rows = [(i, h[at].astype(np.uint32).tobytes() + sid[at].tobytes()) for i, at in enumerate(split_by(bucket, buckets)) if len(at)]
+    order = np.lexsort((sid, bucket))
+    h, sid, cuts, rows = h[order].astype(np.uint32), sid[order], np.searchsorted(bucket[order], np.arange(buckets + 1)), []
+    for i, (lo, hi) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
+        if hi > lo:
+            names, sizes = np.unique(sid[lo:hi], return_counts=True)
+            rows.append((i, np.int64(len(names)).tobytes() + names.tobytes() + sizes.astype(np.uint32).tobytes() + h[lo:hi].tobytes()))
     yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int32()), pa.array([p for _, p in rows], pa.binary())], ["bucket", "pack"])
 
 
@@ -136,8 +141,12 @@ def _cluster_edges(key, rows):
         pairs = np.unique(np.concatenate([np.frombuffer(p, np.int64).reshape(-1, 2) for p in packs]), axis=0)
         a, b = pairs[:, 0], pairs[:, 1]
     else:
-        h = np.concatenate([np.frombuffer(p, np.uint32, len(p) // 12) for p in packs])
-        sid = np.concatenate([np.frombuffer(p, np.int64, -1, len(p) // 12 * 4) for p in packs])
+        hashes, ids = [], []
+        for p in packs:
+            n = int(np.frombuffer(p, np.int64, 1)[0])
+            hashes.append(np.frombuffer(p, np.uint32, -1, 8 + 12 * n))
+            ids.append(np.repeat(np.frombuffer(p, np.int64, n, 8), np.frombuffer(p, np.uint32, n, 8 + 8 * n)))
+        h, sid = np.concatenate(hashes), np.concatenate(ids)
         a, b, _, _ = _stars(h, sid)
         pairs = np.unique(np.stack([a, b], 1), axis=0)
         a, b = pairs[:, 0], pairs[:, 1]
@@ -303,22 +312,26 @@ def linked(docs: DataFrame, n: int, num: int, den: int, key: str = "doc_id", tex
     clusters = components(edges)
 
     sized = clusters.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
-    blocks = F.ceil(F.col("size") / block).cast("int")
-    firsts = measured.where("sid is not null").groupBy("sid").agg(F.min("key").alias("key"))
-    members = clusters.join(sized, "root").select(F.col("node").alias("sid"), F.col("root").alias("cluster"), blocks.alias("blocks"))
-    wanted = members.join(firsts, "sid").withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
-    wanted = kept(wanted.select("sid", "cluster", "blocks", "block", F.col("key").alias("_key")))
+    firsts = measured.where("sid is not null").groupBy("sid").agg(F.min("key").alias("key"), F.min("n_shingles").alias("n_shingles"))
+    # classes of sizes a little wider than the ratio that links can span, so a link reaches the next class at most
+    of_size = F.floor(F.log(F.col("n_shingles")) / float(np.log(den / num)) * 0.999).cast("int") if num < den else F.col("n_shingles").cast("int")
+    members = clusters.join(sized, "root").select(F.col("node").alias("sid"), F.col("root").alias("cluster"), (F.col("size") > block).alias("large"))
+    members = members.join(firsts, "sid").withColumn("class", F.when(F.col("large"), of_size).otherwise(F.lit(0)))
+    counts = members.groupBy("cluster", "class").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    wanted = members.join(counts, ["cluster", "class"]).withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
+    wanted = kept(wanted.select("sid", "cluster", "large", "class", "blocks", "block", F.col("key").alias("_key")))
 
     def squeeze(batches):
         z = zstandard.ZstdCompressor(level=1)
         for b in batches:
             ids = [set_id(s) if len(s) else None for s in text_sets(b["text"], n)]
             texts = [z.compress(t.as_buffer().to_pybytes()) for t in b["text"].cast(pa.large_binary())]
-            out = pa.RecordBatch.from_arrays([b["sid"], b["cluster"], b["blocks"], b["block"], pa.array(texts, pa.binary())], ["sid", "cluster", "blocks", "block", "z"])
+            names = ["sid", "cluster", "large", "class", "blocks", "block"]
+            out = pa.RecordBatch.from_arrays([*(b[c] for c in names), pa.array(texts, pa.binary())], [*names, "z"])
             yield out.filter(pa.array([i == s for i, s in zip(ids, b["sid"].to_pylist())], pa.bool_()))
 
-    held = rows.join(wanted, F.col("key").eqNullSafe(F.col("_key"))).select("text", "sid", "cluster", "blocks", "block")
-    held = kept(held.mapInArrow(squeeze, "sid long, cluster long, blocks int, block int, z binary"))
+    held = rows.join(wanted, F.col("key").eqNullSafe(F.col("_key"))).select("text", "sid", "cluster", "large", "class", "blocks", "block")
+    held = kept(held.mapInArrow(squeeze, "sid long, cluster long, large boolean, class int, blocks int, block int, z binary"))
 
     def sets_of(rows_) -> list[np.ndarray]:
         z = zstandard.ZstdDecompressor()
@@ -346,16 +359,16 @@ def linked(docs: DataFrame, n: int, num: int, den: int, key: str = "doc_id", tex
 
         return run
 
-    place = F.pmod(F.xxhash64("cluster", "block"), F.lit(groups)).cast("int")
+    place = F.pmod(F.xxhash64("cluster", "class", "block"), F.lit(groups)).cast("int")
     shape = "cluster long, sid long, root long"
-    inner = held.withColumn("place", place).groupBy("place").applyInArrow(join_blocks(("cluster", "block")), shape)
+    inner = held.withColumn("place", place).groupBy("place").applyInArrow(join_blocks(("cluster", "class", "block")), shape)
     inner = kept(inner)
     links = inner.select(F.col("sid").alias("a"), F.col("root").alias("b")).where("a <> b")
 
-    if wanted.where("blocks > 1").limit(1).count():
-        large = held.where("blocks > 1")
-        count = inner.join(large.select("sid", "block").distinct(), "sid").groupBy("cluster", "block", "root").agg(F.count(F.lit(1)).alias("n"))
-        best = count.groupBy("cluster", "block").agg(F.max(F.struct("n", "root"))["root"].alias("sid"))
+    if wanted.where("large").limit(1).count():
+        large = held.where("large")
+        count = inner.join(large.select("sid", "class", "block").distinct(), "sid").groupBy("cluster", "class", "block", "root").agg(F.count(F.lit(1)).alias("n"))
+        best = count.groupBy("cluster", "class", "block").agg(F.max(F.struct("n", "root"))["root"].alias("sid"))
         heads = large.join(best.select("sid"), "sid", "left_semi").withColumn("place", F.pmod(F.xxhash64("cluster"), F.lit(groups)).cast("int"))
         across = heads.groupBy("place").applyInArrow(join_blocks(("cluster",)), shape)
         links = kept(links.unionByName(across.select(F.col("sid").alias("a"), F.col("root").alias("b")).where("a <> b")))
@@ -365,13 +378,14 @@ def linked(docs: DataFrame, n: int, num: int, den: int, key: str = "doc_id", tex
         weight = tagged.groupBy("cluster", "root").agg(F.count(F.lit(1)).alias("n"))
         main = weight.groupBy("cluster").agg(F.max(F.struct("n", "root"))["root"].alias("main"), F.count(F.lit(1)).alias("kinds"))
         tagged = kept(tagged.join(main.where("kinds > 1"), "cluster"))
-        walkers = tagged.where("root <> main").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        walkers = tagged.where("root <> main").drop("blocks", "block").withColumn("class", F.explode(F.array(F.col("class") - 1, F.col("class"), F.col("class") + 1)))
+        walkers = walkers.join(counts, ["cluster", "class"]).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         both = tagged.withColumn("walks", F.lit(False)).unionByName(walkers.withColumn("walks", F.lit(True)))
 
         def walk(key, rows_):
             at: dict[tuple, list[list[int]]] = {}
             walks, sid, root = (rows_[c].to_pylist() for c in ("walks", "sid", "root"))
-            for i, k in enumerate(zip(rows_["cluster"].to_pylist(), rows_["block"].to_pylist())):
+            for i, k in enumerate(zip(*(rows_[c].to_pylist() for c in ("cluster", "class", "block")))):
                 at.setdefault(k, [[], []])[walks[i]].append(i)
             sets, a, b = sets_of(rows_), [], []
             for stay, move in at.values():

@@ -94,18 +94,21 @@ def backfill(objects: DataFrame, source: DataFrame, types: list[str], key: Colum
     """Fill policy name and id on open objects of ``types``.
 
     ``source`` is (run_id, name, policy_name, policy_id), unique per (run_id, name); ``key`` says
-    what of the object must equal ``name`` (default: the object name).
+    what of the object must equal ``name`` (default: the object name). Objects of other types have no
+    key and find nothing; the hash of their names spreads them over the tasks of the join.
     """
     key = F.col("object_name") if key is None else key
     s = source.select(
         "run_id",
         F.col("name").alias("_key"),
+        F.xxhash64("name").alias("_spread"),
         F.col("policy_name").alias("_policy_name"),
         F.col("policy_id").alias("_policy_id"),
     )
     target = objects.withColumn("_key", F.when(F.col("object_type").isin(types), key))
+    target = target.withColumn("_spread", F.xxhash64(F.coalesce("_key", "object_name")))
     fill = _open() & F.col("_policy_name").isNotNull()
-    return target.join(s, ["run_id", "_key"], "left").select(
+    return target.join(s, ["run_id", "_key", "_spread"], "left").select(
         *[
             F.when(fill, F.col(f"_{c}")).otherwise(F.col(c)).alias(c) if c in ("policy_name", "policy_id") else F.col(c)
             for c in objects.columns

@@ -229,7 +229,10 @@ def _sorted_values(kind: str) -> Column:
 
 
 def merge_policy_roles(members: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    """One row per (policy, role, item_type) with sorted permission, group and user lists."""
+    """One row per (policy, role, item_type) with sorted permission, group and user lists.
+
+    A role with several row filters is granted nothing: no one of them may be left out.
+    """
     filters = _sorted_values("rowfilter")
     return (
         members.groupBy(*keys, *ROLE)
@@ -240,6 +243,7 @@ def merge_policy_roles(members: DataFrame, keys: Sequence[str] = KEYS) -> DataFr
             filters.alias("_filters"),
         )
         .withColumn("rowfilter_conflict", F.size("_filters") > 1)
+        .withColumn("permissions", F.when(~F.col("rowfilter_conflict"), F.col("permissions")).otherwise(F.array().cast("array<string>")))
         .withColumn("rowfilter", F.when(F.size("_filters") == 1, F.get("_filters", F.lit(0))).otherwise(""))
         .drop("_filters")
     )
@@ -258,6 +262,11 @@ def rowfilter_conflicts(members: DataFrame, keys: Sequence[str] = KEYS, level: s
     )
 
 
+def conflicting_policies(members: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Policies in which some role has more than one row filter; they are not synchronised."""
+    return rowfilter_conflicts(members, keys).select(*keys, "policy_name").distinct()
+
+
 def policy_initial_status(members: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """RUNNING row per policy: users, groups (its roles), permissions and the row filter."""
     roles_of = members.select(*keys, "policy_name", F.lit("role").alias("kind"), F.col("role").alias("value"))
@@ -320,9 +329,11 @@ def policy_items(
 ) -> DataFrame:
     """Access items per policy: one row per (target policy, list, role, access).
 
-    Row filters of allow items become select items of the table-level companion policy.
+    Row filters of allow items become select items of the table-level companion policy. A policy
+    with conflicting row filters has no items: without its filter it would grant every row.
     """
     facts = headers.select(*keys, "policy_name", "policy_type", "schema_name", "table_name")
+    facts = facts.join(conflicting_policies(members, keys), [*keys, "policy_name"], "left_anti")
     typed = members.where(F.col("kind").isin("permission", "rowfilter") & A.valid_role("role")).join(
         facts, [*keys, "policy_name"]
     )
@@ -351,21 +362,24 @@ def policy_items(
 
 
 def policy_sync_plan(
-    headers: DataFrame, items: DataFrame, existing: DataFrame, keys: Sequence[str] = KEYS
+    headers: DataFrame, items: DataFrame, existing: DataFrame, conflicts: DataFrame, keys: Sequence[str] = KEYS
 ) -> DataFrame:
     """created / updated / failed per desired policy.
 
     A policy needs at least one allow or deny item; otherwise it fails. ``existing`` holds
-    (policy_name, policy_id) of the service.
+    (policy_name, policy_id) of the service, ``conflicts`` comes from :func:`conflicting_policies`
+    over the members that ``items`` were made from.
     """
     facts = items.groupBy(*keys, "policy_name").agg(
         F.count_if(F.col("item_list").isin("allow", "deny")).alias("_grants"),
         F.max(F.when(F.col("item_list") == "rowfilter", F.col("target_policy"))).alias("rowfilter_policy_name"),
     )
     have = existing.select("policy_name", F.col("policy_id").alias("_id"))
-    failed = F.coalesce("_grants", F.lit(0)) == 0
+    clash = F.col("_conflict").isNotNull()
+    failed = clash | (F.coalesce("_grants", F.lit(0)) == 0)
     return (
         headers.join(facts, [*keys, "policy_name"], "left")
+        .join(conflicts.select(*keys, "policy_name", F.lit(True).alias("_conflict")), [*keys, "policy_name"], "left")
         .join(have, "policy_name", "left")
         .select(
             *keys,
@@ -374,7 +388,7 @@ def policy_sync_plan(
             F.when(failed, "failed").when(F.col("_id").isNotNull(), "updated").otherwise("created").alias("action"),
             F.when(~failed, F.col("_id")).alias("policy_id"),
             F.when(~failed, F.col("rowfilter_policy_name")).alias("rowfilter_policy_name"),
-            F.when(failed, "no supported access types remain").alias("error"),
+            F.when(clash, "conflicting row filters").when(failed, "no supported access types remain").alias("error"),
         )
     )
 

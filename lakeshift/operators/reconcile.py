@@ -116,6 +116,16 @@ def schema_verdict(diff: DataFrame, keys: Sequence[str] = ("table_name",)) -> Da
     )
 
 
+def with_schema_verdict(tables: DataFrame, schema_differences: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``schema_match`` and ``schema_differences`` of each table, from :func:`schema_verdict`."""
+    messages = F.coalesce("schema_messages", F.array().cast("array<string>"))
+    return (
+        tables.join(schema_differences, list(keys), "left")
+        .withColumns({"schema_match": F.size(messages) == 0, "schema_differences": F.array_join(messages, "; ")})
+        .drop("schema_messages")
+    )
+
+
 def reconcile_tables(
     source: DataFrame, dest: DataFrame, schema_differences: DataFrame | None = None, keys: Sequence[str] = ("table_name",)
 ) -> DataFrame:

@@ -17,8 +17,13 @@ def write_snapshot(source: DataFrame, path: str, partition_by: Sequence[str], fm
     (writer.partitionBy(*partition_by) if partition_by else writer).save(path)
 
 
-def reconcile_conversion(source: DataFrame, converted: DataFrame, partition: str, table: Column) -> DataFrame:
-    """Row and partition counts of both formats per table, with the conversion verdict."""
+def reconcile_conversion(
+    source: DataFrame, converted: DataFrame, partition: str, table: Column, schema_differences: DataFrame
+) -> DataFrame:
+    """Row and partition counts of both formats per table, with the conversion verdict.
+
+    ``schema_differences`` is what :func:`reconcile.schema_verdict` says per source_table.
+    """
     def counted(df: DataFrame) -> DataFrame:
         return reconcile.partition_metrics(df.withColumn("source_table", table), F.col(partition), ["source_table"])
 
@@ -33,8 +38,7 @@ def reconcile_conversion(source: DataFrame, converted: DataFrame, partition: str
         {
             "row_count_match": F.col("source_hive_row_count") == F.col("destination_iceberg_row_count"),
             "partition_count_match": F.col("source_hive_partition_count") == F.col("dest_iceberg_partition_count"),
-            "_schema_match": F.lit(True),
         }
     )
-    status = reconcile.validation_status("convert", schema_ok="_schema_match")
-    return flagged.withColumn("status", status).drop("_schema_match")
+    checked = reconcile.with_schema_verdict(flagged, schema_differences, ["source_table"])
+    return checked.withColumn("status", reconcile.validation_status("convert"))

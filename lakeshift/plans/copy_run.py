@@ -28,9 +28,12 @@ def planned_partitions(planned: DataFrame, registered: DataFrame) -> DataFrame:
     )
 
 
-def reconcile_copies(source: DataFrame, dest: DataFrame) -> DataFrame:
+def reconcile_copies(source: DataFrame, dest: DataFrame, schema_differences: DataFrame) -> DataFrame:
     """Verdict per table over two copies given as (source_table, partition) rows.
 
+    ``schema_differences`` is what :func:`reconcile.schema_verdict` says per source_table; a table
+    without differences has no row there.
+
     Both sides are counted per partition first, so what is shuffled is one row per partition and
     task, not the data; the partition counts then give the table figures without another scan.
     """
@@ -51,11 +54,10 @@ def reconcile_copies(source: DataFrame, dest: DataFrame) -> DataFrame:
         {
             "row_count_match": F.col("source_row_count") == F.col("dest_row_count"),
             "partition_count_match": F.col("source_partition_count") == F.col("dest_partition_count"),
-            "_schema_match": F.lit(True),
         }
     )
-    status = reconcile.validation_status("copy", schema_ok="_schema_match")
-    return flagged.withColumn("overall_status", status).drop("_schema_match")
+    checked = reconcile.with_schema_verdict(flagged, schema_differences, keys)
+    return checked.withColumn("overall_status", reconcile.validation_status("copy"))
 
 
 def advance(

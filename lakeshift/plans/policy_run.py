@@ -45,7 +45,8 @@ def sync_plan(
     """What a sync would create, update or fail, with principals that could not be mapped left out."""
     applied = policy.apply_principal_mapping(compiled.members, mappings, compiled.keys)
     items = policy.policy_items(applied, compiled.headers, supported, compiled.keys)
-    return policy.policy_sync_plan(compiled.headers, items, existing, compiled.keys)
+    conflicts = policy.conflicting_policies(applied, compiled.keys)
+    return policy.policy_sync_plan(compiled.headers, items, existing, conflicts, compiled.keys)
 
 
 def object_statuses(plan: DataFrame, identity: DataFrame, run_id: str) -> DataFrame:

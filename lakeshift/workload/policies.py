@@ -40,7 +40,8 @@ clean AS (SELECT sheet_id, row_index, database, url, tables, "columns", policy_l
   CASE WHEN lower(trim(item_type)) IN ('allow', 'allow_exception', 'deny', 'deny_exception') THEN lower(trim(item_type)) ELSE 'allow' END AS item_type,
   NOT {nullish("database")} AS has_db, NOT {nullish("url")} AND url NOT IN ('-', '*') AS has_url FROM filled),
 r1 AS (SELECT *, CASE WHEN has_db = has_url THEN 'row needs either a database or a url'
-  WHEN has_url AND rowfilter <> '' THEN 'row filters do not apply to url policies' END AS e1 FROM clean),
+  WHEN has_url AND rowfilter <> '' THEN 'row filters do not apply to url policies'
+  WHEN contains(rowfilter, ';') OR contains(rowfilter, chr(10)) OR contains(rowfilter, chr(13)) THEN 'row filter holds a statement end or a line break' END AS e1 FROM clean),
 checked AS (SELECT *, CASE WHEN e1 IS NULL AND rowfilter <> '' AND item_type <> 'allow' THEN 'row filter ignored: only allow items may carry one' END AS e2,
   CASE WHEN e1 IS NULL AND role = '' AND len("groups") > 0 THEN 'groups need a role'
   WHEN e1 IS NULL AND role = '' AND len("users") = 0 THEN 'row defines no role binding' END AS e3 FROM r1)"""
@@ -145,7 +146,7 @@ def _list(kind: str) -> str:
     "policy_compile",
     f"""WITH {MEMBERS}, m AS (SELECT sheet_id, policy_name, role, item_type, {_list("permission")} AS permissions, {_list("group")} AS groups_list,
     {_list("user")} AS users_list, count(*) FILTER (WHERE kind = 'rowfilter') AS n, max(value) FILTER (WHERE kind = 'rowfilter') AS f FROM members GROUP BY ALL)
-    SELECT m.* EXCLUDE (n, f), n > 1 AS rowfilter_conflict, CASE WHEN n = 1 THEN f ELSE '' END AS rowfilter, policy_type, schema_name,
+    SELECT m.* EXCLUDE (n, f, permissions), CASE WHEN n > 1 THEN '' ELSE permissions END AS permissions, n > 1 AS rowfilter_conflict, CASE WHEN n = 1 THEN f ELSE '' END AS rowfilter, policy_type, schema_name,
     array_to_string(labels, ',') AS labels FROM m JOIN headers USING (sheet_id, policy_name)""",
 )
 def policy_compile(spark, d):
@@ -231,7 +232,9 @@ def principal_excluded(spark, d):
 
 SUPPORTED = ["select", "insert", "use", "show", "write", "read"]
 ITEMS = f"""{MAPPING},
-typed AS (SELECT a.*, policy_type, schema_name, table_name FROM applied a JOIN headers USING (sheet_id, policy_name)),
+clashes AS (SELECT sheet_id, policy_name, role, item_type FROM applied WHERE kind = 'rowfilter' GROUP BY ALL HAVING count(DISTINCT value) > 1),
+typed AS (SELECT a.*, policy_type, schema_name, table_name FROM applied a JOIN headers USING (sheet_id, policy_name)
+  WHERE (sheet_id, policy_name) NOT IN (SELECT (sheet_id, policy_name) FROM clashes)),
 granted AS (SELECT *, unnest(list_filter(CASE WHEN policy_type = 'url' THEN {url_access_list("[value]")} ELSE {access_list("[value]")} END,
   lambda x: list_contains({words(SUPPORTED)}, x))) AS access FROM typed WHERE kind = 'permission'),
 items AS (SELECT DISTINCT sheet_id, policy_name, policy_name AS target_policy, item_type AS item_list, role, access, CAST(NULL AS VARCHAR) AS filter_expr FROM granted
@@ -257,16 +260,16 @@ facts AS (SELECT sheet_id, policy_name, count(*) FILTER (WHERE item_list IN ('al
   max(target_policy) FILTER (WHERE item_list = 'rowfilter') AS companion FROM items GROUP BY ALL),
 plan AS (SELECT h.sheet_id, h.policy_name, h.policy_type, CASE WHEN coalesce(grants, 0) = 0 THEN 'failed' WHEN policy_id IS NOT NULL THEN 'updated' ELSE 'created' END AS action,
   CASE WHEN coalesce(grants, 0) > 0 THEN policy_id END AS policy_id, CASE WHEN coalesce(grants, 0) > 0 THEN companion END AS rowfilter_policy_name,
-  CASE WHEN coalesce(grants, 0) = 0 THEN 'no supported access types remain' END AS error
+  CASE WHEN (h.sheet_id, h.policy_name) IN (SELECT (sheet_id, policy_name) FROM clashes) THEN 'conflicting row filters'
+  WHEN coalesce(grants, 0) = 0 THEN 'no supported access types remain' END AS error
   FROM headers h LEFT JOIN facts USING (sheet_id, policy_name) LEFT JOIN existing USING (policy_name))"""
 
 
 def _plan(spark, d, compiled=None):
     compiled = compiled or _compiled(spark, d)
-    items = _items(compiled, _mappings(spark, d))
     events = B.table(spark, d, "events").where("event_type IN ('view', 'click')")
     existing = events.selectExpr("'iceberg.db' || user_id AS policy_name", "'P' || user_id AS policy_id").distinct()
-    return policy.policy_sync_plan(compiled.headers, items, existing)
+    return policy_run.sync_plan(compiled, _mappings(spark, d), existing, SUPPORTED)
 
 
 @query("policy_sync_plan", f"WITH {PLAN} SELECT * FROM plan")

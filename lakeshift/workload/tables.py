@@ -106,40 +106,63 @@ def reconcile_tables(spark, d):
 
 @query(
     "flagship_reconcile",
-    f"""WITH s AS (SELECT 'status_' || o_orderstatus AS source_table, substr(CAST(o_orderdate AS STRING), 1, 7) AS p, count(*) AS n FROM orders GROUP BY ALL),
-    t AS (SELECT 'status_' || o_orderstatus AS source_table, substr(CAST(o_orderdate AS STRING), 1, 7) AS p, count(*) AS n FROM ({B.DEST_ORDERS_SQL}) GROUP BY ALL),
+    f"""WITH s AS (SELECT 'priority_' || o_orderpriority AS source_table, substr(CAST(o_orderdate AS STRING), 1, 7) AS p, count(*) AS n FROM orders GROUP BY ALL),
+    t AS (SELECT 'priority_' || o_orderpriority AS source_table, substr(CAST(o_orderdate AS STRING), 1, 7) AS p, count(*) AS n FROM ({B.DEST_ORDERS_SQL}) GROUP BY ALL),
     j AS (SELECT coalesce(s.source_table, t.source_table) AS source_table, coalesce(s.n, 0) AS sn, coalesce(t.n, 0) AS tn,
     s.n IS NOT NULL AS sp, t.n IS NOT NULL AS tp FROM s FULL OUTER JOIN t ON s.source_table = t.source_table AND s.p = t.p),
     v AS (SELECT source_table, sum(sn)::BIGINT AS source_row_count, sum(tn)::BIGINT AS dest_row_count, count(*) FILTER (WHERE sp) AS source_partition_count,
-    count(*) FILTER (WHERE tp) AS dest_partition_count, count(*) FILTER (WHERE sn <> tn) AS partitions_off FROM j GROUP BY ALL)
+    count(*) FILTER (WHERE tp) AS dest_partition_count, count(*) FILTER (WHERE sn <> tn) AS partitions_off,
+    source_table <> 'priority_3-MEDIUM' AS schema_match,
+    CASE WHEN source_table = 'priority_3-MEDIUM' THEN 'Type mismatch for o_custkey: bigint vs string; Missing column: o_totalprice' ELSE '' END AS schema_differences
+    FROM j GROUP BY ALL)
     SELECT source_table, source_row_count, dest_row_count, source_partition_count, dest_partition_count, partitions_off,
     source_row_count = dest_row_count AS row_count_match, source_partition_count = dest_partition_count AS partition_count_match,
-    CASE WHEN source_row_count = dest_row_count AND source_partition_count = dest_partition_count THEN 'VALIDATED' ELSE 'VALIDATED_WITH_WARNINGS' END AS overall_status
+    schema_match, schema_differences, CASE WHEN source_row_count <> dest_row_count OR source_partition_count <> dest_partition_count THEN 'VALIDATED_WITH_WARNINGS'
+    WHEN schema_match THEN 'VALIDATED' ELSE 'VALIDATION_FAILED' END AS overall_status
     FROM v""",
 )
 def flagship_reconcile(spark, d):
     def side(df):
         return df.select(
-            F.concat(F.lit("status_"), "o_orderstatus").alias("source_table"),
+            F.concat(F.lit("priority_"), "o_orderpriority").alias("source_table"),
             F.substring(F.col("o_orderdate").cast("string"), 1, 7).alias("partition"),
         )
 
-    return copy_run.reconcile_copies(side(B.table(spark, d, "orders")), side(B.dest_orders(spark, d)))
+    orders = B.table(spark, d, "orders")
+    other = T.StructType(
+        [T.StructField(f.name, T.StringType()) if f.name == "o_custkey" else f for f in orders.schema.fields if f.name != "o_totalprice"]
+    )
+    names = {p: f"priority_{p}" for p in ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")}
+    dest = {name: other if p == "3-MEDIUM" else orders.schema for p, name in names.items()}
+    diff = _schema_differences(spark, dict.fromkeys(names.values(), orders.schema), dest)
+    return copy_run.reconcile_copies(side(orders), side(B.dest_orders(spark, d)), diff)
+
+
+def _schema_differences(spark, source_schemas, dest_schemas):
+    diff = ops.schema_diff(ops.schema_frame(spark, source_schemas), ops.schema_frame(spark, dest_schemas))
+    return ops.schema_verdict(diff).withColumnRenamed("table_name", "source_table")
 
 
 @query(
     "convert_snapshot",
     """SELECT o_orderstatus AS source_table, count(*) AS source_hive_row_count, count(*) AS destination_iceberg_row_count, TRUE AS row_count_match,
     count(DISTINCT o_orderpriority) AS source_hive_partition_count, count(DISTINCT o_orderpriority) AS dest_iceberg_partition_count,
-    TRUE AS partition_count_match, 'VALIDATED' AS status FROM orders GROUP BY ALL""",
+    TRUE AS partition_count_match, o_orderstatus <> 'P' AS schema_match, CASE WHEN o_orderstatus = 'P' THEN 'Missing column: o_note' ELSE '' END AS schema_differences,
+    CASE WHEN o_orderstatus = 'P' THEN 'VALIDATION_FAILED' ELSE 'VALIDATED' END AS status FROM orders GROUP BY ALL""",
 )
 def convert_snapshot(spark, d):
-    """The conversion written out, read back and reconciled with its source per order status."""
+    """The conversion written out, read back and reconciled with its source per order status.
+
+    The source of status P is declared with a column that the conversion does not have.
+    """
     orders = B.table(spark, d, "orders")
     path = scratch_dir(spark, "convert_snapshot")
     conversion.write_snapshot(orders, path, ["o_orderpriority"], "orc")
     converted = spark.read.orc(path)
-    return conversion.reconcile_conversion(orders, converted, "o_orderpriority", F.col("o_orderstatus"))
+    declared = {s: source.without_ntz(orders).schema for s in ("F", "O", "P")}
+    declared["P"] = T.StructType([*declared["F"].fields, T.StructField("o_note", T.StringType())])
+    diff = _schema_differences(spark, declared, dict.fromkeys(declared, converted.schema))
+    return conversion.reconcile_conversion(orders, converted, "o_orderpriority", F.col("o_orderstatus"), diff)
 
 
 @query(

@@ -86,10 +86,27 @@ def test_items_and_sync_plan(spark, sample):
     log = {(r.item_list, r.role, r.access) for r in items.collect() if r.policy_name == "iceberg.fuel.log.id"}
     assert log == {(kind, role, access) for kind, role in (("allow", "role_omar"), ("deny", "guest")) for access in ("select", "use")}
     existing = spark.createDataFrame([("iceberg.crew.roster.id", "7")], "policy_name string, policy_id string")
-    plan = {r.policy_name: r.action for r in policy.policy_sync_plan(headers, items, existing).collect()}
+    conflicts = policy.conflicting_policies(applied)
+    plan = {r.policy_name: r.action for r in policy.policy_sync_plan(headers, items, existing, conflicts).collect()}
     assert plan["iceberg.crew.roster.id"] == "updated" and plan["iceberg.crew.log.id"] == "created" and plan["iceberg.flights.legs"] == "failed"
 
 
+def test_conflicting_filters_grant_nothing(spark, sample):
+    _, exploded, members = sample
+    mappings = spark.createDataFrame([("pilot", "cockpit", "group"), ("loader", "ingest", "group")], "role string, principal string, type string")
+    applied = policy.apply_principal_mapping(members, mappings)
+    merged = {r.role: r for r in policy.merge_policy_roles(applied).collect()}
+    assert merged["pilot"].permissions == [] and merged["loader"].permissions == ["read", "write"]
+    headers = policy.policy_headers(exploded)
+    items = policy.policy_items(applied, headers)
+    assert {r.policy_name for r in items.collect()} == {"s3a://hangar/in/*"}
+    existing = spark.createDataFrame([("iceberg.flights.legs", "7")], "policy_name string, policy_id string")
+    plan = {r.policy_name: r for r in policy.policy_sync_plan(headers, items, existing, policy.conflicting_policies(applied)).collect()}
+    legs = plan["iceberg.flights.legs"]
+    assert (legs.action, legs.policy_id, legs.error) == ("failed", None, "conflicting row filters")
+    assert plan["s3a://hangar/in/*"].action == "created"
+
+
 def test_row_checks(spark):
     rows = [
         {"role": "r", "database": "d", "url": "s3a://x", "groups": "g"},

@@ -14,11 +14,11 @@ at once; the overlap with a shared beginning is counted once for all sets below
 left when the elements that remain cannot reach the overlap asked for, or when all of it is known to
 be in the walker's component already. Links are decided on whole sets.
 
-Clusters of more than ``BLOCK`` sets are cut into blocks of sets of like size, each joined by itself; then the blocks'
+Clusters of more than ``BLOCK`` sets, or of more than ``ELEMENTS`` elements in all, are cut into blocks of sets of like size, each joined by itself; then the blocks'
 largest components are joined through one set of each; and whatever still stands apart from its
 cluster's largest component is walked through the tries of all blocks of sizes that it could link with. So the result is exact, a group
 of near copies that holds a third of the table costs a few walks per set, and no task holds more than
-a block.
+a block: sets are made from their texts one block at a time, and walkers come in turns of ``BLOCK``.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeshift.llm.common import REGISTRY, groups_for, kept, split_by, table
@@ -35,6 +35,7 @@ from lakeshift.llm.decontaminate import selected
 from lakeshift.llm.words import NOT_SPACE, mixed, slabs, window_hashes
 
 BLOCK = 1000
+ELEMENTS = 2_000_000
 PACK = 1_000_000
 
 
@@ -271,7 +272,7 @@ def probe_sets(sets, labels, probes, probe_labels, num: int, den: int) -> list[t
 # ------------------------------------------------------------------ the join
 
 
-def linked(docs: DataFrame, n: int, num: int, den: int, key: str = "doc_id", text: str = "text", block: int = BLOCK) -> DataFrame:
+def linked(docs: DataFrame, n: int, num: int, den: int, key: str = "doc_id", text: str = "text", block: int = BLOCK, elements: int = ELEMENTS) -> DataFrame:
     """One row per row of ``docs``: key, n_shingles, component_id, the least key reachable by links.
 
     A-Z are lower-cased; words are `[^\\x20\\x09-\\x0D]+`; a set holds the distinct n-grams of words, or
@@ -311,13 +312,16 @@ def linked(docs: DataFrame, n: int, num: int, den: int, key: str = "doc_id", tex
     edges = packs.withColumn("part", spread).groupBy("bucket", "part").applyInArrow(_cluster_edges, "a long, b long")
     clusters = components(edges)
 
-    sized = clusters.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
     firsts = measured.where("sid is not null").groupBy("sid").agg(F.min("key").alias("key"), F.min("n_shingles").alias("n_shingles"))
     # classes of sizes a little wider than the ratio that links can span, so a link reaches the next class at most
     of_size = F.floor(F.log(F.col("n_shingles")) / float(np.log(den / num)) * 0.999).cast("int") if num < den else F.col("n_shingles").cast("int")
-    members = clusters.join(sized, "root").select(F.col("node").alias("sid"), F.col("root").alias("cluster"), (F.col("size") > block).alias("large"))
-    members = members.join(firsts, "sid").withColumn("class", F.when(F.col("large"), of_size).otherwise(F.lit(0)))
-    counts = members.groupBy("cluster", "class").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    def cuts() -> Column:
+        return F.ceil(F.greatest(F.count(F.lit(1)) / block, F.sum("n_shingles") / elements)).cast("int")
+
+    members = clusters.select(F.col("node").alias("sid"), F.col("root").alias("cluster")).join(firsts, "sid")
+    sized = members.groupBy("cluster").agg((cuts() > 1).alias("large"))
+    members = members.join(sized, "cluster").withColumn("class", F.when(F.col("large"), of_size).otherwise(F.lit(0)))
+    counts = members.groupBy("cluster", "class").agg(cuts().alias("blocks"))
     wanted = members.join(counts, ["cluster", "class"]).withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
     wanted = kept(wanted.select("sid", "cluster", "large", "class", "blocks", "block", F.col("key").alias("_key")))
 
@@ -333,23 +337,22 @@ def linked(docs: DataFrame, n: int, num: int, den: int, key: str = "doc_id", tex
     held = rows.join(wanted, F.col("key").eqNullSafe(F.col("_key"))).select("text", "sid", "cluster", "large", "class", "blocks", "block")
     held = kept(held.mapInArrow(squeeze, "sid long, cluster long, large boolean, class int, blocks int, block int, z binary"))
 
-    def sets_of(rows_) -> list[np.ndarray]:
+    def sets_of(rows_, at: list[int]) -> list[np.ndarray]:
         z = zstandard.ZstdDecompressor()
-        return list(text_sets(pa.array([z.decompress(x) for x in rows_["z"].to_pylist()], pa.large_binary()), n))
+        return list(text_sets(pa.array([z.decompress(x.as_py()) for x in rows_["z"].take(pa.array(at))], pa.large_binary()), n))
 
     def each(rows_, by):
         """Rows of one group of a packed exchange, split by their own group; of a repeated sid the first."""
         at: dict[tuple, dict[int, int]] = {}
         for i, (k, sid) in enumerate(zip(zip(*(rows_[c].to_pylist() for c in by)), rows_["sid"].to_pylist())):
             at.setdefault(k, {}).setdefault(sid, i)
-        sets = sets_of(rows_)
         for k, mine in at.items():
-            yield k, list(mine), [sets[i] for i in mine.values()], list(mine.values())
+            yield k, list(mine), sets_of(rows_, list(mine.values()))
 
     def join_blocks(by):
         def run(key, rows_):
             out = []
-            for k, ids, sets, _ in each(rows_, by):
+            for k, ids, sets in each(rows_, by):
                 labels = join_sets(sets, num, den) if len(sets) > 1 else np.zeros(1, np.int64)
                 least: dict[int, int] = {}
                 for label, sid in zip(labels.tolist(), ids):
@@ -387,12 +390,13 @@ def linked(docs: DataFrame, n: int, num: int, den: int, key: str = "doc_id", tex
             walks, sid, root = (rows_[c].to_pylist() for c in ("walks", "sid", "root"))
             for i, k in enumerate(zip(*(rows_[c].to_pylist() for c in ("cluster", "class", "block")))):
                 at.setdefault(k, [[], []])[walks[i]].append(i)
-            sets, a, b = sets_of(rows_), [], []
+            a, b = [], []
+            pick = lambda x, of: np.array([x[i] for i in of], np.int64)
             for stay, move in at.values():
-                if stay and move:
-                    pick = lambda x, of: np.array([x[i] for i in of], np.int64)
-                    for i, j in probe_sets([sets[i] for i in stay], pick(root, stay), [sets[i] for i in move], pick(root, move), num, den):
-                        a.append(sid[move[i]])
+                sets = sets_of(rows_, stay) if stay and move else []
+                for turn in (move[i : i + block] for i in range(0, len(move) if sets else 0, block)):
+                    for i, j in probe_sets(sets, pick(root, stay), sets_of(rows_, turn), pick(root, turn), num, den):
+                        a.append(sid[turn[i]])
                         b.append(sid[stay[j]])
             return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 

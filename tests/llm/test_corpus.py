@@ -162,8 +162,8 @@ def test_ngram_join_equals_brute_force(spark, small, n, num, den, block):
     assert got == brute_components([(r.doc_id, r.text) for r in docs.collect()], n, num, den)
 
 
-@pytest.mark.parametrize("block", [1000, 8])
-def test_ngram_join_of_chains_and_near_copies(spark, block):
+@pytest.mark.parametrize(("block", "elements"), [(1000, 2_000_000), (8, 2_000_000), (1000, 900)])
+def test_ngram_join_of_chains_and_near_copies(spark, block, elements):
     rng, rows = random.Random(3), []
     for g in range(6):
         base = [f"w{rng.randrange(300)}" for _ in range(rng.choice([12, 40, 120, 300]))]
@@ -173,7 +173,7 @@ def test_ngram_join_of_chains_and_near_copies(spark, block):
             for _ in range(rng.choice([0, 1, 1, 2, 5])):
                 base[rng.randrange(len(base))] = f"w{rng.randrange(300)}"
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = collections.Counter(tuple(r) for r in ngram_join.linked(docs, 3, 80, 100, block=block).collect())
+    got = collections.Counter(tuple(r) for r in ngram_join.linked(docs, 3, 80, 100, block=block, elements=elements).collect())
     assert got == brute_components(rows, 3, 80, 100)
 
 

@@ -18,7 +18,8 @@ Clusters of more than ``BLOCK`` sets, or of more than ``ELEMENTS`` elements in a
 largest components are joined through one set of each; and whatever still stands apart from its
 cluster's largest component is walked through the tries of all blocks of sizes that it could link with. So the result is exact, a group
 of near copies that holds a third of the table costs a few walks per set, and no task holds more than
-a block: sets are made from their texts one block at a time, and walkers come in turns of ``BLOCK``.
+a block: sets are made from their texts one block at a time, walkers a few texts at a time, and a block
+that many walk through is given to several tasks, ``TURN`` blocks' worth of walkers to each.
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ from lakeshift.llm.words import NOT_SPACE, mixed, slabs, window_hashes
 BLOCK = 1000
 ELEMENTS = 2_000_000
 PACK = 1_000_000
+TURN = 8
+UNPACKED = 1 << 22  # bytes of text that are turned into sets at once
 
 
 # ------------------------------------------------------------------ sets
@@ -252,20 +255,24 @@ def join_sets(sets: list[np.ndarray], num: int, den: int) -> np.ndarray:
 
 
 def probe_sets(sets, labels, probes, probe_labels, num: int, den: int) -> list[tuple[int, int]]:
-    """(probe, set) links between sets of different labels, enough to connect what links."""
-    dense, n = _dense([*sets, *probes])
-    trie, member, links = Trie(dense[: len(sets)]), np.zeros(n, bool), []
+    """(probe, set) links between sets of different labels, enough to connect what links. Probes may come one by one.
+
+    An element of a probe that no set has stands at the place of the next greater one, without being a member."""
+    names = np.unique(np.concatenate(sets))
+    trie, member, links = Trie([np.searchsorted(names, s) for s in sets]), np.zeros(len(names), bool), []
     order = np.array(trie.order)
     known, own = labels[order].copy(), probe_labels.copy()
-    for i, x in enumerate(dense[len(sets) :]):
-        member[x] = True
+    for i, probe in enumerate(probes):
+        x = np.searchsorted(names, probe)
+        there = x[names[np.minimum(x, len(names) - 1)] == probe]
+        member[there] = True
         for j in trie.links(x, member, known, own[i], num, den).tolist():
             if known[j] != own[i]:
                 links.append((i, int(order[j])))
                 old, new = known[j], own[i]
                 known[known == old] = new
                 own[own == old] = new
-        member[x] = False
+        member[there] = False
     return links
 
 
@@ -315,31 +322,37 @@ def linked(docs: DataFrame, n: int, num: int, den: int, key: str = "doc_id", tex
     firsts = measured.where("sid is not null").groupBy("sid").agg(F.min("key").alias("key"), F.min("n_shingles").alias("n_shingles"))
     # classes of sizes a little wider than the ratio that links can span, so a link reaches the next class at most
     of_size = F.floor(F.log(F.col("n_shingles")) / float(np.log(den / num)) * 0.999).cast("int") if num < den else F.col("n_shingles").cast("int")
-    def cuts() -> Column:
-        return F.ceil(F.greatest(F.count(F.lit(1)) / block, F.sum("n_shingles") / elements)).cast("int")
+    def cuts(blocks: int = 1) -> Column:
+        return F.ceil(F.greatest(F.count(F.lit(1)) / (blocks * block), F.sum("n_shingles") / (blocks * elements))).cast("int")
 
     members = clusters.select(F.col("node").alias("sid"), F.col("root").alias("cluster")).join(firsts, "sid")
     sized = members.groupBy("cluster").agg((cuts() > 1).alias("large"))
     members = members.join(sized, "cluster").withColumn("class", F.when(F.col("large"), of_size).otherwise(F.lit(0)))
     counts = members.groupBy("cluster", "class").agg(cuts().alias("blocks"))
     wanted = members.join(counts, ["cluster", "class"]).withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
-    wanted = kept(wanted.select("sid", "cluster", "large", "class", "blocks", "block", F.col("key").alias("_key")))
+    names = ["sid", "cluster", "large", "class", "blocks", "block", "n_shingles"]
+    wanted = kept(wanted.select(*names, F.col("key").alias("_key")))
 
     def squeeze(batches):
         z = zstandard.ZstdCompressor(level=1)
         for b in batches:
             ids = [set_id(s) if len(s) else None for s in text_sets(b["text"], n)]
             texts = [z.compress(t.as_buffer().to_pybytes()) for t in b["text"].cast(pa.large_binary())]
-            names = ["sid", "cluster", "large", "class", "blocks", "block"]
             out = pa.RecordBatch.from_arrays([*(b[c] for c in names), pa.array(texts, pa.binary())], [*names, "z"])
             yield out.filter(pa.array([i == s for i, s in zip(ids, b["sid"].to_pylist())], pa.bool_()))
 
-    held = rows.join(wanted, F.col("key").eqNullSafe(F.col("_key"))).select("text", "sid", "cluster", "large", "class", "blocks", "block")
-    held = kept(held.mapInArrow(squeeze, "sid long, cluster long, large boolean, class int, blocks int, block int, z binary"))
+    held = rows.join(wanted, F.col("key").eqNullSafe(F.col("_key"))).select("text", *names)
+    held = kept(held.mapInArrow(squeeze, "sid long, cluster long, large boolean, class int, blocks int, block int, n_shingles long, z binary"))
 
-    def sets_of(rows_, at: list[int]) -> list[np.ndarray]:
-        z = zstandard.ZstdDecompressor()
-        return list(text_sets(pa.array([z.decompress(x.as_py()) for x in rows_["z"].take(pa.array(at))], pa.large_binary()), n))
+    def sets_of(rows_, at: list[int]):
+        z, texts, size = zstandard.ZstdDecompressor(), [], 0
+        for i in at:
+            texts.append(z.decompress(rows_["z"][i].as_py()))
+            size += len(texts[-1])
+            if size >= UNPACKED:
+                yield from text_sets(pa.array(texts, pa.large_binary()), n)
+                texts, size = [], 0
+        yield from text_sets(pa.array(texts, pa.large_binary()), n)
 
     def each(rows_, by):
         """Rows of one group of a packed exchange, split by their own group; of a repeated sid the first."""
@@ -347,7 +360,7 @@ def linked(docs: DataFrame, n: int, num: int, den: int, key: str = "doc_id", tex
         for i, (k, sid) in enumerate(zip(zip(*(rows_[c].to_pylist() for c in by)), rows_["sid"].to_pylist())):
             at.setdefault(k, {}).setdefault(sid, i)
         for k, mine in at.items():
-            yield k, list(mine), sets_of(rows_, list(mine.values()))
+            yield k, list(mine), list(sets_of(rows_, list(mine.values())))
 
     def join_blocks(by):
         def run(key, rows_):
@@ -382,25 +395,28 @@ def linked(docs: DataFrame, n: int, num: int, den: int, key: str = "doc_id", tex
         main = weight.groupBy("cluster").agg(F.max(F.struct("n", "root"))["root"].alias("main"), F.count(F.lit(1)).alias("kinds"))
         tagged = kept(tagged.join(main.where("kinds > 1"), "cluster"))
         walkers = tagged.where("root <> main").drop("blocks", "block").withColumn("class", F.explode(F.array(F.col("class") - 1, F.col("class"), F.col("class") + 1)))
+        turns = walkers.groupBy("cluster", "class").agg(cuts(TURN).alias("turns"))
         walkers = walkers.join(counts, ["cluster", "class"]).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        both = tagged.withColumn("walks", F.lit(False)).unionByName(walkers.withColumn("walks", F.lit(True)))
+        walkers = walkers.join(turns, ["cluster", "class"]).withColumn("turn", F.pmod(F.xxhash64(F.lit("turn"), "sid"), F.col("turns")).cast("int"))
+        stays = tagged.join(turns, ["cluster", "class"]).withColumn("turn", F.explode(F.sequence(F.lit(0), F.col("turns") - 1)))
+        both = stays.withColumn("walks", F.lit(False)).unionByName(walkers.withColumn("walks", F.lit(True)))
+        both = both.withColumn("place", F.pmod(F.xxhash64("cluster", "class", "block", "turn"), F.lit(groups)).cast("int"))
 
         def walk(key, rows_):
             at: dict[tuple, list[list[int]]] = {}
             walks, sid, root = (rows_[c].to_pylist() for c in ("walks", "sid", "root"))
-            for i, k in enumerate(zip(*(rows_[c].to_pylist() for c in ("cluster", "class", "block")))):
+            for i, k in enumerate(zip(*(rows_[c].to_pylist() for c in ("cluster", "class", "block", "turn")))):
                 at.setdefault(k, [[], []])[walks[i]].append(i)
             a, b = [], []
             pick = lambda x, of: np.array([x[i] for i in of], np.int64)
             for stay, move in at.values():
-                sets = sets_of(rows_, stay) if stay and move else []
-                for turn in (move[i : i + block] for i in range(0, len(move) if sets else 0, block)):
-                    for i, j in probe_sets(sets, pick(root, stay), sets_of(rows_, turn), pick(root, turn), num, den):
-                        a.append(sid[turn[i]])
+                if stay and move:
+                    for i, j in probe_sets(list(sets_of(rows_, stay)), pick(root, stay), sets_of(rows_, move), pick(root, move), num, den):
+                        a.append(sid[move[i]])
                         b.append(sid[stay[j]])
             return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-        links = links.unionByName(both.withColumn("place", place).groupBy("place").applyInArrow(walk, "a long, b long"))
+        links = links.unionByName(both.groupBy("place").applyInArrow(walk, "a long, b long"))
 
     final = components(links).select(F.col("node").alias("sid"), "root")
     of = firsts.join(final, "sid", "left").withColumn("root", F.coalesce("root", "sid"))

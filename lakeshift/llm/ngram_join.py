@@ -24,6 +24,8 @@ that many walk through is given to several tasks, ``TURN`` blocks' worth of walk
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -163,7 +165,8 @@ def _cluster_edges(key, rows):
 class Trie:
     """A trie of distinct sets, given as sorted arrays of numbers; a node holds all elements up to the next branch.
 
-    Nodes lie level by level in arrays, the children of a node side by side, the sets below it too."""
+    Long nodes are cut at some fractions of the size of the largest set, so that a walker of which too many
+    elements have been passed without being shared leaves after the first of these. Nodes lie level by level in arrays, the children of a node side by side, the sets below it too."""
 
     def __init__(self, sets: list[np.ndarray]):
         self.order = sorted(range(len(sets)), key=lambda i: sets[i].astype(">i8").tobytes())
@@ -177,15 +180,18 @@ class Trie:
             differ = np.flatnonzero(x[:n] != y[:n])
             common.append(int(differ[0]) if len(differ) else n)
         common = np.array(common + [0])
+        stops = [*(max(1, int(self.sizes.max()) * part // 32) for part in (2, 4, 8, 16)), np.iinfo(np.int64).max]
         nodes, level = [], [(0, len(self.sets), 0)]
         while level:
             below, at = [], len(nodes) + len(level)
             for lo, hi, depth in level:
-                if hi - lo == 1:
-                    end, kids = int(self.sizes[lo]), []
+                inner = common[lo + 1 : hi]
+                end, stop = int(self.sizes[lo] if hi - lo == 1 else inner.min()), stops[bisect_right(stops, depth)]
+                if end > stop:
+                    end, kids = stop, [(lo, hi)]
+                elif hi - lo == 1:
+                    kids = []
                 else:
-                    inner = common[lo + 1 : hi]
-                    end = int(inner.min())
                     cuts = [lo, *(np.flatnonzero(inner == end) + lo + 1).tolist(), hi]
                     kids = list(zip(cuts, cuts[1:]))
                 nodes.append((lo, hi, offsets[lo] + depth, end - depth, end, at + len(below), len(kids)))

@@ -41,6 +41,7 @@ BLOCK = 1000
 ELEMENTS = 2_000_000
 PACK = 1_000_000
 TURN = 8
+FEW = 100_000  # ids that may be broadcast
 UNPACKED = 1 << 22  # bytes of text that are turned into sets at once
 
 
@@ -342,13 +343,14 @@ def linked(docs: DataFrame, n: int, num: int, den: int, key: str = "doc_id", tex
     def squeeze(batches):
         z = zstandard.ZstdCompressor(level=1)
         for b in batches:
-            ids = [set_id(s) if len(s) else None for s in text_sets(b["text"], n)]
+            ids = pa.array([set_id(s) if len(s) else None for s in text_sets(b["text"], n)], pa.int64())
             texts = [z.compress(t.as_buffer().to_pybytes()) for t in b["text"].cast(pa.large_binary())]
-            out = pa.RecordBatch.from_arrays([*(b[c] for c in names), pa.array(texts, pa.binary())], [*names, "z"])
-            yield out.filter(pa.array([i == s for i, s in zip(ids, b["sid"].to_pylist())], pa.bool_()))
+            out = pa.RecordBatch.from_arrays([b["key"], ids, pa.array(texts, pa.binary())], ["_of", "sid", "z"])
+            yield out.filter(ids.is_valid())
 
-    held = rows.join(wanted, F.col("key").eqNullSafe(F.col("_key"))).select("text", *names)
-    held = kept(held.mapInArrow(squeeze, "sid long, cluster long, large boolean, class int, blocks int, block int, n_shingles long, z binary"))
+    squeezed = rows.mapInArrow(squeeze, "_of long, sid long, z binary")
+    same = (squeezed["sid"] == wanted["sid"]) & F.col("_of").eqNullSafe(F.col("_key"))
+    held = kept(squeezed.join(wanted, same).select(*(wanted[c] for c in names), "z"))
 
     def sets_of(rows_, at: list[int]):
         z, texts, size = zstandard.ZstdDecompressor(), [], 0
@@ -388,10 +390,12 @@ def linked(docs: DataFrame, n: int, num: int, den: int, key: str = "doc_id", tex
     links = inner.select(F.col("sid").alias("a"), F.col("root").alias("b")).where("a <> b")
 
     if wanted.where("large").limit(1).count():
-        large = held.where("large")
-        count = inner.join(large.select("sid", "class", "block").distinct(), "sid").groupBy("cluster", "class", "block", "root").agg(F.count(F.lit(1)).alias("n"))
+        large = wanted.where("large").drop("_key")
+        count = inner.join(large.select("sid", "class", "block"), "sid").groupBy("cluster", "class", "block", "root").agg(F.count(F.lit(1)).alias("n"))
         best = count.groupBy("cluster", "class", "block").agg(F.max(F.struct("n", "root"))["root"].alias("sid"))
-        heads = large.join(best.select("sid"), "sid", "left_semi").withColumn("place", F.pmod(F.xxhash64("cluster"), F.lit(groups)).cast("int"))
+        best = kept(best.select("sid"))
+        best = F.broadcast(best) if best.count() <= FEW else best
+        heads = held.join(best, "sid", "left_semi").withColumn("place", F.pmod(F.xxhash64("cluster"), F.lit(groups)).cast("int"))
         across = heads.groupBy("place").applyInArrow(join_blocks(("cluster",)), shape)
         links = kept(links.unionByName(across.select(F.col("sid").alias("a"), F.col("root").alias("b")).where("a <> b")))
 
@@ -406,16 +410,17 @@ def linked(docs: DataFrame, n: int, num: int, den: int, key: str = "doc_id", tex
         walkers = walkers.join(turns, ["cluster", "class"]).withColumn("turn", F.pmod(F.xxhash64(F.lit("turn"), "sid"), F.col("turns")).cast("int"))
         stays = tagged.join(turns, ["cluster", "class"]).withColumn("turn", F.explode(F.sequence(F.lit(0), F.col("turns") - 1)))
         both = stays.withColumn("walks", F.lit(False)).unionByName(walkers.withColumn("walks", F.lit(True)))
+        both = both.select("cluster", "class", "block", "turn", "walks", "sid", "root").join(held.where("large").select("sid", "z"), "sid")
         both = both.withColumn("place", F.pmod(F.xxhash64("cluster", "class", "block", "turn"), F.lit(groups)).cast("int"))
 
         def walk(key, rows_):
-            at: dict[tuple, list[list[int]]] = {}
+            at: dict[tuple, tuple[dict[int, int], dict[int, int]]] = {}
             walks, sid, root = (rows_[c].to_pylist() for c in ("walks", "sid", "root"))
             for i, k in enumerate(zip(*(rows_[c].to_pylist() for c in ("cluster", "class", "block", "turn")))):
-                at.setdefault(k, [[], []])[walks[i]].append(i)
+                at.setdefault(k, ({}, {}))[walks[i]].setdefault(sid[i], i)
             a, b = [], []
             pick = lambda x, of: np.array([x[i] for i in of], np.int64)
-            for stay, move in at.values():
+            for stay, move in ([list(x.values()) for x in both_] for both_ in at.values()):
                 if stay and move:
                     for i, j in probe_sets(list(sets_of(rows_, stay)), pick(root, stay), sets_of(rows_, move), pick(root, move), num, den):
                         a.append(sid[move[i]])

@@ -53,7 +53,10 @@ KINDS = {
 }
 #: Texts in which nothing of this is found hold no entity.
 HINT = r"@|[0-9][0-9]|" + "|".join(HONORIFICS)
+#: After so many rounds in a row that place no entity, the values of a format of fixed length are used up.
 ROUNDS = 20
+#: Family names that one draw can choose (six hex digits each, beside those of the given name).
+PARTS = 20
 
 
 def _pattern() -> str:
@@ -103,15 +106,16 @@ def _pick(values: list[str], draw: Column, at: int) -> Column:
 
 
 def _name(normal: Column, draw: Column, attempt: int) -> Column:
-    """The honorific stays; given and family names of its gender and the name's script, as many as there are."""
+    """The honorific stays; given and family names of its gender and the name's script, as many as there are.
+
+    Each attempt adds a part to the family name, so that there are more names than entities before long."""
     title = F.regexp_extract(normal, r"^([^ ]+) ", 1)
     words = F.size(F.split(normal, " ")) - 1
     gender = F.create_map(*[F.lit(x) for pair in HONORIFICS.items() for x in pair])[F.regexp_replace(title, r"\.$", "")]
     out = None
     for script in FAMILY:
-        family = _pick(FAMILY[script], draw, 1)
-        # later attempts, and names beyond the lists, get a second family name
-        family = F.concat(family, F.lit("-"), _pick(FAMILY[script], draw, 7)) if attempt else family
+        at = [1, 7, *range(19, 128, 6)][: min(attempt + 1, PARTS)]
+        family = F.concat_ws("-", *[_pick(FAMILY[script], draw, i) for i in at])
         for sex in ("m", "f", "n"):
             full = F.when(words > 1, F.concat_ws(" ", title, _pick(GIVEN[script, sex], draw, 13), family)).otherwise(F.concat_ws(" ", title, family))
             test = (gender == sex) & (normal.rlike(r" [\x{410}-\x{42F}\x{401}]") if script == "cyrillic" else ~normal.rlike(r" [\x{410}-\x{42F}\x{401}]"))
@@ -129,7 +133,8 @@ def _surrogate(secret: str, kind: Column, normal: Column, attempt: int) -> Colum
     body = F.substring(led, F.lit(1), n - 1)
     check = F.pmod(_checksum(normal) - _checksum(F.concat(body, F.lit("0"))), F.lit(10)).cast("string")
     octet = lambda i, least, most: (F.pmod(_byte(draw, F.lit(i)), F.lit(most - least + 1)) + least).cast("string")
-    domain = F.concat(F.lit("mail"), digit(40), digit(41), digit(42), F.lit(".example."), F.regexp_extract(normal, r"\.([^.]+)$", 1))
+    # a short name before the @ has few values: each attempt adds a digit to the domain
+    domain = F.concat(F.lit("mail"), *[digit(40 + i) for i in range(3 + min(attempt, 21))], F.lit(".example."), F.regexp_extract(normal, r"\.([^.]+)$", 1))
     email = F.concat(_letters(F.substring_index(normal, "@", 1), draw), F.lit("@"), domain)
     return (
         F.when(kind == "email", email)
@@ -141,10 +146,14 @@ def _surrogate(secret: str, kind: Column, normal: Column, attempt: int) -> Colum
 
 
 def surrogate_table(entities: DataFrame, secret: str) -> DataFrame:
-    """kind, normal, surrogate for distinct entities (kind, normal): no surrogate twice, none equal to an entity."""
-    done, rest = None, entities
+    """kind, normal, surrogate for distinct entities (kind, normal): no surrogate twice, none equal to an entity.
+
+    Rounds go on until no entity is left. Names and addresses have more values in each round; the digits
+    of phones, cards and the like do not, and ROUNDS rounds that place none of them end in an error.
+    """
+    done, rest, attempt, idle = None, entities, 0, 0
     real = entities.select("kind", F.col("normal").alias("surrogate"))
-    for attempt in range(ROUNDS):
+    while True:
         drawn = rest.withColumn("surrogate", _surrogate(secret, F.col("kind"), F.col("normal"), attempt))
         taken = real if done is None else real.unionByName(done.select("kind", "surrogate"))
         free = drawn.join(taken, ["kind", "surrogate"], "left_anti")
@@ -154,7 +163,9 @@ def surrogate_table(entities: DataFrame, secret: str) -> DataFrame:
         rest = kept(rest.join(won.select("kind", "normal"), ["kind", "normal"], "left_anti"))
         if not rest.limit(1).count():
             return done
-    raise ValueError(f"no distinct surrogates after {ROUNDS} rounds: more entities of a kind than its format has values")
+        attempt, idle = attempt + 1, 0 if won.limit(1).count() else idle + 1
+        if idle == ROUNDS:
+            raise ValueError(f"no distinct surrogates in {ROUNDS} rounds: more entities of a kind than its format has values")
 
 
 def _shown(kind: Column, mention: Column, surrogate: Column) -> Column:

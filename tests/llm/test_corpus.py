@@ -88,6 +88,18 @@ def test_surrogates_stay_distinct_when_draws_collide(spark):
     assert len(new) == len(entities) == len(set(new)) and not set(new) & {n for _, n in entities}
 
 
+def test_surrogates_suffice_for_any_number_of_names(spark):
+    tail = lambda i, first: "".join(chr(first + i // 26**k % 26) for k in range(4))
+    entities = [("name", f"Mr A{tail(i, 97)}") for i in range(20_000)] + [("name", f"Frau Eva A{tail(i, 97)}") for i in range(40_000)]
+    entities += [("name", f"Госпожа А{tail(i, 0x430)}") for i in range(10_000)] + [("email", f"\u674e@{tail(i, 97)}.com") for i in range(20_000)]
+    out = surrogates.surrogate_table(spark.createDataFrame(entities, "kind string, normal string"), "k").collect()
+    assert {(r.kind, r.normal) for r in out} == set(entities) and len(out) == len(entities) == len({r.surrogate for r in out})
+    assert not {r.surrogate for r in out} & {n for _, n in entities}
+    for r in out:
+        if r.kind == "name":
+            assert len(r.surrogate.split(" ")) == len(r.normal.split(" ")) and r.surrogate.split(" ")[0] == r.normal.split(" ")[0]
+
+
 def test_surrogates_leave_no_personal_data_and_clean_texts_alone(spark, small):
     pattern = re.compile(r"\S+@\S+\.\w+|\+1 \(\d+\) \d+-\d+|\b\d{1,3}(?:\.\d{1,3}){3}\b")
     old = {r.doc_id: r.text for r in spark.read.parquet(f"{small}/documents.parquet").collect()}

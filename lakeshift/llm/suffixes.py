@@ -3,14 +3,14 @@
 Of every ``SPAN`` neighbouring K-grams the one of least hash is an anchor; any shared run of
 ``SPAN + K - 1`` words or more holds a common anchor. Only the suffixes that begin at anchors are kept,
 and of these only those whose K-gram occurs in several documents. They are sorted by the words that
-follow. In that order the longest match of a suffix with any document of a smaller id is with the
-nearest suffix of such a document before or after it; both matches are extended to the right and to
-the left, and a match of at least ``length`` words gives a span. The same is done in the order of the
-words before. Suffixes carry ``length`` words on
+follow, and again by the words before. Suffixes that agree in r words after the anchor's beginning are
+an interval of the first order, those that agree in l words before it one of the second; those that lie
+in both hold the same window of l + r words. For every split of ``length`` words the least document of
+each such class is taken, and the others' windows give spans: every window that a smaller document has
+is found, whichever documents lie next to it in an order. Suffixes carry ``length`` words on
 either side; a longer passage is covered by the spans of its anchors, which overlap and are joined.
 
-Words around a suffix are carried as 16 bits of their hashes: matches are decided on at least
-``length`` of them, and an end may reach over a differing word once in 65,536 times.
+Words around a suffix are carried as 16 bits of their hashes: windows are decided on all ``length`` of them.
 """
 
 from __future__ import annotations
@@ -62,46 +62,62 @@ def _order(fixed, after):
     return by_id[np.argsort(np.ascontiguousarray(key[by_id]).view(f"S{key.shape[1]}").ravel(), kind="stable")]
 
 
-def _nearest_smaller(ids: list[int], grams: list[int]) -> list[int]:
-    """For each entry the nearest one before it, of the same k-gram, with a smaller id; else -1."""
-    out, stack, now = [], [], None
-    for i, (d, g) in enumerate(zip(ids, grams)):
-        if g != now:
-            stack, now = [], g
-        while stack and ids[stack[-1]] >= d:
-            stack.pop()
-        out.append(stack[-1] if stack else -1)
-        stack.append(i)
-    return out
-
-
 def _common(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Length of the common beginning of each pair of rows."""
     same = x == y
     return np.where(same.all(1), x.shape[1], same.argmin(1)) if len(x) else np.empty(0, np.int64)
 
 
-def spans_of(fixed, after, before, length: int):
-    """(id, uid, start, end, other) of matches of at least ``length`` words with a smaller document.
-
-    Neighbours are taken in the order of the words that follow, and in that of the words before."""
-    out = [np.empty((0, 5), np.int64)]
-    for side in (after, before):
-        order = _order(fixed, side)
-        ids, grams = fixed["id"][order].tolist(), fixed["gram"][order].tolist()
-        n = len(ids)
-        back = np.array(_nearest_smaller(ids, grams), np.int64)
-        ahead = np.array(_nearest_smaller(ids[::-1], grams[::-1]), np.int64)[::-1]
-        for near in (back, np.where(ahead >= 0, n - 1 - ahead, -1)):
-            mine = np.flatnonzero(near >= 0)
-            for part in np.array_split(mine, len(mine) // 50_000 + 1):
-                x, y = order[part], order[near[part]]
-                a, b = fixed[x], fixed[y]
-                r = np.minimum(_common(after[x], after[y]), np.minimum(a["after"], b["after"])).astype(np.int64)
-                lft = np.minimum(_common(before[x], before[y]), np.minimum(a["before"], b["before"])).astype(np.int64)
-                hit = r + lft >= length
-                at = a["at"].astype(np.int64)
-                out.append(np.stack([a["id"], a["uid"].view(np.int64), at - lft, at + r, b["id"]], 1)[hit])
+def _sorted(fixed, side):
+    """The order by k-gram and the words of a side, and for each place the words it has in common with the one before it (-1: another k-gram)."""
+    order = _order(fixed, side)
+    common = np.full(len(order) + 1, -1, np.int64)
+    for part in np.array_split(np.arange(1, len(order)), len(order) // 50_000 + 1):
+        x, y = order[part], order[part - 1]
+        common[part] = np.where(fixed["gram"][x] == fixed["gram"][y], _common(side[x], side[y]), -1)
+    longest = np.empty(len(order), np.int64)
+    longest[order] = np.maximum(common[:-1], common[1:])
+    return order, common[:-1], longest
+
+
+def _classes(order, common, n_words: int):
+    """For each suffix the number of its interval: those that agree in so many words."""
+    out = np.empty(len(order), np.int64)
+    out[order] = np.cumsum(common < n_words)
+    return out
+
+
+def spans_of(fixed, after, before, length: int, k: int):
+    """(id, uid, start, end, other) of the runs of windows of ``length`` words that a smaller document has too.
+
+    A window with l words before its anchor is held by the suffixes that lie in one interval of the order of
+    the words that follow (length - l of them) and in one of that of the words before (l)."""
+    by_id = np.argsort(fixed["id"], kind="stable")
+    fixed, after, before = fixed[by_id], after[by_id], before[by_id]
+    n, ids = len(fixed), fixed["id"]
+    right, left = _sorted(fixed, after), _sorted(fixed, before)
+    most_right, most_left = np.minimum(right[2], fixed["after"]), np.minimum(left[2], fixed["before"])
+    low, high, other = np.full(n, -1, np.int64), np.full(n, -2, np.int64), np.zeros(n, np.int64)
+    out = []
+
+    def done(x):
+        at = fixed["at"][x].astype(np.int64)
+        out.append(np.stack([ids[x], fixed["uid"][x].view(np.int64), at - high[x], at - low[x] + length, other[x]], 1))
+
+    for before_ in range(length - k + 1):
+        x = np.flatnonzero((most_right >= length - before_) & (most_left >= before_))
+        pair = _classes(*right[:2], length - before_)[x] * (n + 1) + _classes(*left[:2], before_)[x]
+        # the least document of a class is its first: suffixes are in the order of documents
+        _, head, group = np.unique(pair, return_index=True, return_inverse=True)
+        least = ids[x[head]][group]
+        hit = ids[x] > least
+        x, least = x[hit], least[hit]
+        goes_on = high[x] == before_ - 1
+        done(x[~goes_on & (low[x] >= 0)])
+        low[x[~goes_on]], other[x[~goes_on]] = before_, least[~goes_on]
+        other[x] = np.minimum(other[x], least)
+        high[x] = before_
+    done(np.flatnonzero(low >= 0))
     return np.concatenate(out)
 
 
@@ -126,7 +142,8 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
     """One row per repeated passage of a document: key, start_word, end_word (exclusive), n_words, first_id.
 
     A passage is a run of at least ``length`` words that a document of a smaller key has too; first_id is
-    the smallest such document among the suffix's neighbours. Words are `[^\\x20\\x09-\\x0D]+`; keys are integers. Documents without
+    the smallest document it was compared with that has ``length`` words of it (suffixes alike in all they
+    carry are combined per task before they are compared). Words are `[^\\x20\\x09-\\x0D]+`; keys are integers. Documents without
     repeated passages have no rows. Nulls: a null text has no words; a null key is greater than any
     other, so it is never a first_id while another is. Rows of equal key do not repeat each other; rows
     equal in key and text are reported once. Empty tables give no rows. Other columns are not looked at.
@@ -189,7 +206,7 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
                 a, b = 8 + m * _FIXED.itemsize, 8 + m * _FIXED.itemsize + 2 * m * length
                 for part, x in zip(parts, (np.frombuffer(p, _FIXED, m, 8), np.frombuffer(p, np.uint16, m * length, a), np.frombuffer(p, np.uint16, m * length, b))):
                     part.append(x if x.dtype == _FIXED else x.reshape(m, length))
-            spans = _merged(spans_of(*(np.concatenate(x) for x in parts), length))
+            spans = _merged(spans_of(*(np.concatenate(x) for x in parts), length, k))
         return pa.table({c: pa.array(spans[:, i], pa.int64()) for i, c in enumerate(_SPANS)})
 
     marks = rows.mapInArrow(first, "bucket int, pack binary").groupBy("bucket").applyInArrow(_meet(n, n, False), "home int, marks binary")

@@ -300,6 +300,32 @@ def test_passages_cover_what_repeats(spark):
             assert got[i][:2] == (start, start + len(passage)) and got[i][2] < i and got[i][2] % 4 == i % 4
 
 
+def brute_passages(rows, size):
+    first, out = {}, {}
+    for key, text in sorted(rows):
+        w, spans = words_of(text), []
+        for i in range(len(w) - size + 1):
+            if first.setdefault(tuple(w[i : i + size]), key) < key:
+                if spans and i <= spans[-1][1]:
+                    spans[-1][1] = i + size
+                else:
+                    spans.append([i, i + size])
+        out[key] = spans
+    return {(key, *s) for key, spans in out.items() for s in spans}
+
+
+@pytest.mark.parametrize(("copies", "edits"), [(20, 0.03), (80, 0.03), (80, 0.05)])
+def test_passages_of_near_copies_equal_brute_force(spark, copies, edits):
+    rng, rows = random.Random(7), []
+    for g in range(3):
+        base = [f"b{g}x{rng.randrange(5000)}" for _ in range(600)]
+        for _ in range(copies):
+            rows.append((len(rows), " ".join(f"e{rng.randrange(10**6)}" if rng.random() < edits else w for w in base)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.start_word, r.end_word) for r in suffixes.repeated_passages(docs).collect()}
+    assert got == brute_passages(rows, 50)
+
+
 def test_passages_of_odd_rows(spark, odd, none):
     got = {(r.doc_id, r.start_word, r.end_word) for r in suffixes.repeated_passages(odd).collect()}
     assert (3, 0, 400) in got and (None, 0, 400) in got and not any(g[0] in (1, 4, 5, 6, 7, 10) for g in got)

@@ -28,12 +28,13 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest id, of each group linked at 0.8 on five-word shingles.
 
-    Of rows that repeat an id and a text one stays. Rows without an id stay.
+    Of rows that repeat an id and a text one stays; different texts of one id are judged each by itself,
+    and those of a group's smallest id all stay. Rows without an id stay.
     """
-    groups = ngram_join.linked(docs.select("doc_id", "text"), n=5, num=80, den=100)
-    gone, again = unused(docs, "_gone", "_again")
-    go = kept(groups.where("doc_id <> component_id").select(F.col("doc_id").alias(gone)).distinct())
-    left = docs.join(go, F.col("doc_id") == F.col(gone), "left_anti")
+    groups = ngram_join.linked(docs.select("doc_id", "text"), n=5, num=80, den=100, prints=True)
+    gone, of, again = unused(docs, "_gone", "_of", "_again")
+    go = kept(groups.where("doc_id <> component_id").select(F.col("doc_id").alias(gone), F.col("print").alias(of)).distinct())
+    left = docs.join(go, (F.col("doc_id") == F.col(gone)) & (_print() == F.col(of)), "left_anti")
     first = F.row_number().over(Window.partitionBy("doc_id", _print()).orderBy(F.lit(0))) == 1
     return left.withColumn(again, first).where(F.col(again) | F.col("doc_id").isNull()).drop(again)
 

@@ -286,7 +286,7 @@ def probe_sets(sets, labels, probes, probe_labels, num: int, den: int) -> list[t
 # ------------------------------------------------------------------ the join
 
 
-def linked(docs: DataFrame, n: int, num: int, den: int, key: str = "doc_id", text: str = "text", block: int = BLOCK, elements: int = ELEMENTS) -> DataFrame:
+def linked(docs: DataFrame, n: int, num: int, den: int, key: str = "doc_id", text: str = "text", block: int = BLOCK, elements: int = ELEMENTS, prints: bool = False) -> DataFrame:
     """One row per row of ``docs``: key, n_shingles, component_id, the least key reachable by links.
 
     A-Z are lower-cased; words are `[^\\x20\\x09-\\x0D]+`; a set holds the distinct n-grams of words, or
@@ -294,16 +294,19 @@ def linked(docs: DataFrame, n: int, num: int, den: int, key: str = "doc_id", tex
     integers. Nulls: a null text has an empty set, as has an empty one, and links with nothing (its
     component is its own key); a null key is never the least of others, and the component of rows
     without keys is null. Rows of equal key are rows like others. Empty tables give no rows. Other
-    columns are not looked at.
+    columns are not looked at. ``prints`` adds a column ``print``, the hash of the text (null as empty),
+    which tells rows of equal key apart.
     """
     rows = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     groups = groups_for(rows, "text", least=12)
+    extra = ["print"] if prints else []
+    printed = rows.withColumn("print", F.xxhash64("text")) if prints else rows
 
     def measure(batches):
         for b in batches:
             sets = list(text_sets(b["text"], n))
             yield pa.RecordBatch.from_arrays(
-                [b["key"], pa.array([len(s) for s in sets], pa.int64()), pa.array([set_id(s) if len(s) else None for s in sets], pa.int64())], ["key", "n_shingles", "sid"]
+                [b["key"], pa.array([len(s) for s in sets], pa.int64()), pa.array([set_id(s) if len(s) else None for s in sets], pa.int64()), *(b[c] for c in extra)], ["key", "n_shingles", "sid", *extra]
             )
 
     def emit(batches):
@@ -320,7 +323,7 @@ def linked(docs: DataFrame, n: int, num: int, den: int, key: str = "doc_id", tex
         if sets:
             yield from _emit(sets, ids, groups, num, den)
 
-    measured = kept(rows.mapInArrow(measure, "key long, n_shingles long, sid long"))
+    measured = kept(printed.mapInArrow(measure, ", ".join(["key long, n_shingles long, sid long", *(f"{c} long" for c in extra)])))
     packs = rows.select("text").mapInArrow(emit, "bucket int, pack binary")
     spread = F.when(F.col("bucket") < 0, F.pmod(F.xxhash64("pack"), F.lit(groups))).otherwise(F.lit(0)).alias("part")
     edges = packs.withColumn("part", spread).groupBy("bucket", "part").applyInArrow(_cluster_edges, "a long, b long")
@@ -435,7 +438,7 @@ def linked(docs: DataFrame, n: int, num: int, den: int, key: str = "doc_id", tex
     named = kept(of.join(least, "root").select("sid", "component_id"))
     out = measured.join(named, "sid", "left")
     own = F.when(F.col("sid").isNull(), F.col("key")).otherwise(F.col("component_id"))
-    return out.select(F.col("key").alias(key), "n_shingles", own.alias("component_id"))
+    return out.select(F.col("key").alias(key), "n_shingles", own.alias("component_id"), *extra)
 
 
 @REGISTRY.query("op3_ngram_components")

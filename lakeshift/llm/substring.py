@@ -77,7 +77,7 @@ class Packer:
         h, t = np.concatenate(self.hashes), np.concatenate(self.texts)
         uid, ids = np.concatenate(self.uid), np.concatenate(self.ids)
         self.hashes, self.texts, self.uid, self.ids, self.count = [], [], [], [], 0
-        order = np.lexsort((ids[t], h))
+        order = np.lexsort((uid[t], ids[t], h))
         h, t = h[order], t[order]
         new = np.concatenate(([True], h[1:] != h[:-1]))
         group = np.cumsum(new) - 1
@@ -87,7 +87,10 @@ class Packer:
         bucket = (mixed(h ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(self.buckets)).astype(np.int64)
         marks, home = _mark(_narrow(h, self.last)[found], uid[t[found]]), uid[t[found]] % np.uint64(self.homes)
         yield from _home_rows(marks, home.astype(np.int64), self.homes, self.buckets)
-        h, t, bucket = h[new], t[new], bucket[new]
+        # one entry stands for a window, but rows that tie for the least id, and are not marked, each need their own
+        other_uid = np.concatenate(([True], uid[t[1:]] != uid[t[:-1]]))
+        sent = new | ~found & other_uid
+        h, t, bucket = h[sent], t[sent], bucket[sent]
         order = np.lexsort((t, bucket))
         h, t, bucket = h[order], t[order], bucket[order]
         cuts = np.searchsorted(bucket, np.arange(self.buckets + 1))

@@ -275,6 +275,28 @@ def test_windows_of_odd_rows(spark, odd, none, size, monkeypatch):
     assert substring.without_repeats(none, size).count() == 0
 
 
+@pytest.fixture
+def ties(spark):
+    """Several texts without an id and of one id, all with one passage, apart from the task of the least document; the passage begins at word i of text i."""
+    passage = " ".join(f"p{i}" for i in range(60))
+    ids = [1, 20, None, None, None, None, 7, 7, 7, 7, None, 7]
+    rows = [(key, " ".join([*(f"a{i}x{k}" for k in range(i)), passage, *(f"z{i}x{k}" for k in range(40))])) for i, key in enumerate(ids)]
+    return rows, spark.createDataFrame(spark.sparkContext.parallelize(rows, 6), "doc_id long, text string")
+
+
+@pytest.mark.parametrize("size", [3, 13, 30])
+def test_windows_of_rows_with_tied_ids(ties, size):
+    rows, docs = ties
+    got = collections.Counter(tuple(r) for r in substring.without_repeats(docs, size).collect())
+    assert got == brute_windows(rows, size)
+
+
+def test_passages_of_rows_with_tied_ids(ties):
+    rows, docs = ties
+    got = collections.Counter((r.doc_id, r.start_word, r.end_word) for r in suffixes.repeated_passages(docs).collect())
+    assert got == collections.Counter((key, i, i + 60) for i, (key, _) in enumerate(rows) if key != 1)
+
+
 def test_the_ladder_doubles():
     for n in range(1, 200):
         steps = substring.ladder(n)
@@ -409,6 +431,13 @@ def test_pipeline_stages_against_brute_force(spark, small, work):
         before = after
 
 
+def test_the_join_stage_judges_texts_of_one_id_each_by_itself(spark, small):
+    text = {c: " ".join(f"{c}{i}" for i in range(40)) for c in "abcde"}
+    rows = [(1, text["a"]), (2, text["a"] + " more"), (2, text["b"]), (3, text["c"]), (3, text["d"]), (3, text["d"]), (None, text["a"]), (None, text["e"])]
+    out = dict(corpus_pipeline.STAGES)["n-gram Jaccard join"](spark, spark.createDataFrame(rows, "doc_id long, text string"), small)
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([rows[0], *rows[2:5], *rows[6:]], key=str)
+
+
 def test_pipeline_stages_of_odd_rows(spark, odd, none, small):
     for docs in (odd, none):
         for name, stage in corpus_pipeline.STAGES[1:]:

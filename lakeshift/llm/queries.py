@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from lakeshift.llm import (  # noqa: F401  (each module registers its query)
+    clustering,
     decontaminate,
+    divergence,
     exact,
     mixing,
     ngram_join,

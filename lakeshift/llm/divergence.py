@@ -130,14 +130,16 @@ def pair_sums(source: np.ndarray, term: np.ndarray, count: np.ndarray, total: np
 
 
 def _compared(key, group):
-    """The pairs of one block: rows without a term are the sources, the others the occurring cells of the block's terms."""
+    """The pairs of one block: rows without a term are the sources, the others the occurring cells of the block's terms.
+
+    ``all_terms`` counts the block's terms, also those that no source of these tiles has."""
     head = group.filter(pa.compute.is_null(group["term"]))
     cells = group.filter(pa.compute.is_valid(group["term"]))
     names = head["source"].combine_chunks()
     n = len(names)
     codes = cells["term"].combine_chunks().dictionary_encode()
     where = pa.compute.index_in(cells["source"], names).to_numpy().astype(np.int64)
-    sums = pair_sums(where, codes.indices.to_numpy(zero_copy_only=False).astype(np.int64), cells["n"].to_numpy(), head["n"].to_numpy(), len(codes.dictionary))
+    sums = pair_sums(where, codes.indices.to_numpy(zero_copy_only=False).astype(np.int64), cells["n"].to_numpy(), head["n"].to_numpy(), head["all_terms"][0].as_py())
     tiles = head["tile"].to_numpy()
     first, second = (k.as_py() for k in key[2:4])
     # pairs within a tile belong to the block of (tile, tile), pairs of two tiles to that of both
@@ -186,12 +188,15 @@ def audited(docs: DataFrame, text: str = "text", lang: str = "lang", source: str
         """Each row to the blocks of all tile pairs that its tile is part of."""
         other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1))
         df = df.withColumn("other", other)
-        return df.select("lang", "block", F.least("tile", "other").alias("a"), F.greatest("tile", "other").alias("b"), "tile", "source", "term", "n")
+        return df.select("lang", "block", F.least("tile", "other").alias("a"), F.greatest("tile", "other").alias("b"), "tile", "source", "term", "n", "all_terms")
 
     block = F.pmod(F.xxhash64("term"), F.col("blocks"))
-    cells = spread(terms.join(groups, ["lang", "source"]).withColumn("block", block))
+    placed = terms.join(groups, ["lang", "source"]).withColumn("block", block)
+    cells = spread(placed.withColumn("all_terms", F.lit(None).cast("long")))
+    in_block = placed.groupBy("lang", "block").agg(F.sum("once").alias("all_terms"))
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    heads = spread(groups.withColumn("block", every).select("*", F.lit(None).cast("string").alias("term"), F.col("total").alias("n")))
+    heads = groups.withColumn("block", every).join(in_block, ["lang", "block"], "left").na.fill(0, ["all_terms"])
+    heads = spread(heads.select("*", F.lit(None).cast("string").alias("term"), F.col("total").alias("n")))
     sums = cells.unionByName(heads).groupBy("lang", "block", "a", "b").applyInArrow(_compared, "lang string, source string, item string, value long")
     pairs = sums.groupBy("lang", "source", "item").agg(F.sum("value").alias("value")).select("lang", "source", F.lit("pair").alias("part"), "item", "value")
 

@@ -7,6 +7,7 @@ from lakeshift.llm import (  # noqa: F401  (each module registers its query)
     decontaminate,
     divergence,
     exact,
+    language,
     mixing,
     ngram_join,
     quality,

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from lakeshift.operators import reconcile as ops
 from lakeshift.operators import report, table_metadata
 from lakeshift.plans import conversion, copy_run
+from lakeshift.sources import metadata
 from lakeshift.sources import tables as source
 from lakeshift.sources.scratch import scratch_dir
 from lakeshift.workload import base as B
@@ -227,12 +228,55 @@ def iceberg_row_count(spark, d):
     return table_metadata.table_facts(_documents(spark, d)).select("c_custkey", "row_count")
 
 
+# table folders, one per supplier: 1 to 13 versions of a document; every tenth has a hint, and of 97 one each has no folder,
+# no document, a broken one, or a hint for a version that is not there
+SUPPLIED = "s_suppkey % 97"
+VERSIONS = "CAST(1 + s_suppkey % 13 AS INT)"
+HINTED = f"CASE WHEN {SUPPLIED} = 4 THEN '99' WHEN s_suppkey % 10 = 0 THEN '1' END"
+ONE_DOCUMENT = (
+    "'{\"current-schema-id\": 0, \"schemas\": [{\"schema-id\": 0, \"fields\": [{\"id\": 1, \"name\": \"k' || s_nationkey || '\", \"type\": \"long\"}, "
+    "{\"id\": 2, \"name\": \"dt\", \"type\": \"date\"}]}], \"default-spec-id\": 0, \"partition-specs\": [{\"spec-id\": 0, \"fields\": "
+    "[{\"source-id\": 2, \"field-id\": 1000, \"name\": \"dt\", \"transform\": \"identity\"}]}], \"current-snapshot-id\": 5, "
+    "\"snapshots\": [{\"snapshot-id\": 5, \"summary\": {\"total-records\": \"' || (s_suppkey * 100 + v) || '\"}}]}'"
+)
+
+
 @query(
     "iceberg_meta_latest",
+    f"""WITH t AS (SELECT s_suppkey, s_nationkey, CASE WHEN {HINTED} = '1' THEN 1 ELSE {VERSIONS} END AS v,
+    CASE {SUPPLIED} WHEN 1 THEN 'no metadata folder' WHEN 2 THEN 'no metadata document'
+    WHEN 3 THEN 'not a JSON document: v' || CASE WHEN {HINTED} = '1' THEN 1 ELSE {VERSIONS} END || '.metadata.json'
+    WHEN 4 THEN 'hinted document does not exist: v99.metadata.json' END AS error FROM supplier)
+    SELECT s_suppkey, CASE WHEN error IS NULL OR s_suppkey % 97 = 3 THEN 'v' || v || '.metadata.json' END AS metadata_file, error,
+    CASE WHEN error IS NULL THEN 'k' || s_nationkey || ':BIGINT,dt:DATE' ELSE '' END AS columns, CASE WHEN error IS NULL THEN 'dt' ELSE '' END AS partition_columns,
+    error IS NULL AS is_partitioned, CASE WHEN error IS NULL THEN s_suppkey * 100 + v ELSE 0 END AS row_count FROM t""",
+)
+def iceberg_meta_latest(spark, d):
+    """Documents written to storage, and the current one of each table read back with its facts."""
+    root = scratch_dir(spark, "iceberg_meta_latest")
+    suppliers = B.table(spark, d, "supplier").withColumn("table_path", F.concat(F.lit(f"{root}/t"), F.col("s_suppkey").cast("string")))
+    versions = suppliers.withColumn("v", F.explode(F.expr(f"sequence(1, {VERSIONS})")))
+    files = versions.where(f"{SUPPLIED} <> 1").selectExpr(
+        "table_path",
+        f"CASE WHEN {SUPPLIED} = 2 THEN 'snap-' || v || '.avro' ELSE 'v' || v || '.metadata.json' END AS file_name",
+        f"CASE WHEN {SUPPLIED} = 3 THEN '{{\"schemas\": [' ELSE {ONE_DOCUMENT} END AS content",
+    )
+    hints = suppliers.where(f"{SUPPLIED} NOT IN (1, 2)").selectExpr("table_path", "'version-hint.text' AS file_name", f"{HINTED} || chr(10) AS content")
+    metadata.write_documents(files.unionByName(hints.where("content IS NOT NULL")))
+    facts = metadata.read_table_facts(suppliers.select("s_suppkey", "table_path"))
+    pairs = F.transform("schema_fields", lambda f: F.concat(f["name"], F.lit(":"), f["type"]))
+    return facts.select(
+        "s_suppkey", "metadata_file", "error", F.array_join(pairs, ",").alias("columns"), F.array_join("partition_columns", ",").alias("partition_columns"),
+        "is_partitioned", "row_count",
+    )
+
+
+@query(
+    "iceberg_meta_names",
     """WITH f AS (SELECT o_custkey AS table_path, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS v FROM orders)
     SELECT table_path, CASE WHEN table_path % 10 = 0 THEN 'v3.metadata.json' ELSE 'v' || max(v) || '.metadata.json' END AS file_name FROM f GROUP BY table_path""",
 )
-def iceberg_meta_latest(spark, d):
+def iceberg_meta_names(spark, d):
     """Metadata files of a table per customer, one version per order; some tables carry a hint."""
     orders = B.table(spark, d, "orders").select(F.col("o_custkey").alias("table_path"), "o_orderkey")
     versions = orders.selectExpr(

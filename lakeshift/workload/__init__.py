@@ -10,6 +10,7 @@ from lakeshift.workload import (  # noqa: F401  (each module registers its queri
     ledgers,
     partitions,
     policies,
+    runs,
     tables,
 )
 from lakeshift.workload.registry import ORACLES, QUERIES

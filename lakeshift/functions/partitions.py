@@ -16,6 +16,8 @@ from lakeshift.functions.cells import col, last_of_key, strip
 LAST_N = r"^last_n_partitions=([0-9]+)$"
 COMPARISON = r"^([a-zA-Z_][a-zA-Z0-9_]*)(>=|<=|>|<)(.+)$"
 INTEGER = r"^\s*[+-]?[0-9]+(_[0-9]+)*\s*$"
+# Fixed value: how a folder names a null partition value.
+HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"
 
 
 def url_decode(c: Column) -> Column:

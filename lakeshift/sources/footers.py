@@ -34,9 +34,9 @@ def footer_session(spark: SparkSession) -> SparkSession:
 def row_counts(
     footers: SparkSession, location: str, fmt: str = "parquet", partition_by: Sequence[str] = (), where: Column | None = None
 ) -> DataFrame:
-    """row_count per value of the partition columns (one row without any), for a session of :func:`footer_session`.
+    """row_count per partition (one row without ``partition_by``), for a session of :func:`footer_session`.
 
-    Partition values come back as they are read; an empty table has a row with zero only if it is unpartitioned.
+    ``partition_by`` names all partition columns: Spark answers from footers for all of them or none. Partition values come back as they are read; an empty table has a row with zero only if it is unpartitioned.
     """
     rows = footers.read.format(fmt.lower()).load(location)
     if where is not None:

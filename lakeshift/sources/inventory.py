@@ -21,7 +21,6 @@ from lakeshift.sources import catalog, files, footers, storage, tables
 from lakeshift.sources.scratch import stored
 
 KEYS = ["source_database", "source_table"]
-HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"
 
 
 @dataclass(frozen=True)
@@ -68,7 +67,7 @@ def catalog_refs(spark: SparkSession, database: str) -> list[TableRef]:
 
 def _partition_text(columns: Sequence[str], value) -> F.Column:
     """``k=v/...`` with plain values, so that listings and footers name a partition alike."""
-    parts = [F.concat(F.lit(f"{c}="), F.coalesce(value(c), F.lit(HIVE_NULL))) for c in columns]
+    parts = [F.concat(F.lit(f"{c}="), F.coalesce(value(c), F.lit(P.HIVE_NULL))) for c in columns]
     return F.concat_ws("/", *parts) if parts else F.lit("")
 
 

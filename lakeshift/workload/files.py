@@ -191,30 +191,56 @@ ORDER_LIST = ", ".join(B.ORDER_COLUMNS)
 
 @query("copy_mirror", f"SELECT {ORDER_LIST} FROM orders")
 def copy_mirror(spark, d):
-    return sink.mirror_rows(B.table(spark, d, "orders"), B.dest_orders(spark, d))
+    """A destination that lost, changed and gained rows, mirrored and read back."""
+    dest = scratch_dir(spark, "copy_mirror")
+    orders = B.table(spark, d, "orders").select(*B.ORDER_COLUMNS)
+    sink.copy_table(B.dest_orders(spark, d), dest)
+    sink.copy_table(orders, dest)
+    return spark.read.parquet(dest).select(*B.ORDER_COLUMNS)
+
+
+CHANGED = "o_orderpriority IN ('1-URGENT', '5-LOW')"
+#: orders of two priorities, some of them moved to a third, against a destination by priority
+MOVED = f"CASE WHEN o_orderstatus = 'P' THEN '2-HIGH' ELSE o_orderpriority END"
 
 
 @query(
     "copy_additive",
-    f"""SELECT {ORDER_LIST} FROM orders UNION ALL SELECT {ORDER_LIST} FROM ({B.DEST_ORDERS_SQL}) t
-    WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders)""",
+    f"""WITH s AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, {MOVED} AS o_orderpriority FROM orders WHERE {CHANGED})
+    SELECT * FROM s UNION ALL SELECT {ORDER_LIST} FROM ({B.DEST_ORDERS_SQL}) t WHERE o_orderkey NOT IN (SELECT o_orderkey FROM s)""",
 )
 def copy_additive(spark, d):
-    return sink.additive_rows(B.table(spark, d, "orders"), B.dest_orders(spark, d), ["o_orderkey"])
+    """The writer over a destination by priority: changed, moved and new orders, read back."""
+    dest = scratch_dir(spark, "copy_additive")
+    by = ["o_orderpriority"]
+    sink.copy_table(B.dest_orders(spark, d).select(*B.ORDER_COLUMNS), dest, partition_by=by)
+    source = B.table(spark, d, "orders").where(CHANGED).withColumn("o_orderpriority", F.expr(MOVED)).select(*B.ORDER_COLUMNS)
+    sink.copy_table(source, dest, mode="additive", partition_by=by, keys=["o_orderkey"])
+    return spark.read.parquet(dest).select(*B.ORDER_COLUMNS)
 
 
 @query(
     "copy_partitions",
     """SELECT l_returnflag AS flag, l_linestatus AS status, count(*) AS row_count, sum(CAST(l_quantity AS BIGINT))::BIGINT AS quantity
-    FROM lineitem WHERE l_returnflag <> 'R' OR l_linestatus = 'F' GROUP BY ALL""",
+    FROM lineitem WHERE (l_returnflag = 'N' AND l_linestatus = 'O' AND l_quantity > 10) OR l_returnflag <> 'N' GROUP BY ALL""",
 )
 def copy_partitions(spark, d):
-    """Two partition-scoped copies into a fresh place; the second must leave the first alone."""
+    """A copy of all partitions, then one of the flag N alone, whose status F has been emptied at the source since."""
     dest = scratch_dir(spark, "copy_partitions")
     lines = B.table(spark, d, "lineitem").withColumnsRenamed({"l_returnflag": "flag", "l_linestatus": "status"})
-    sink.copy_partitions(lines.where("flag = 'A' OR (flag = 'R' AND status = 'F')"), dest, ["flag", "status"])
-    sink.copy_partitions(lines.where("flag = 'N'"), dest, ["flag", "status"])
+    sink.copy_partitions(lines, dest, ["flag", "status"])
+    now = lines.where("flag <> 'N' OR (status = 'O' AND l_quantity > 10)")
+    sink.copy_partitions(now, dest, ["flag", "status"], within=F.col("flag") == "N")
     copied = spark.read.parquet(dest)
     return copied.groupBy("flag", "status").agg(
         F.count(F.lit(1)).alias("row_count"), F.sum(F.col("l_quantity").cast("bigint")).alias("quantity")
     )
+
+
+ADDED_ROWS = f"""SELECT {ORDER_LIST} FROM orders UNION ALL SELECT {ORDER_LIST} FROM ({B.DEST_ORDERS_SQL}) t
+    WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders)"""
+
+
+@query("additive_rows", ADDED_ROWS)
+def additive_rows(spark, d):
+    return sink.additive_rows(B.table(spark, d, "orders"), B.dest_orders(spark, d), ["o_orderkey"])

@@ -56,8 +56,8 @@ EXPECTED = f"""t AS (
     UNION ALL SELECT 'customer_' || lower(c_mktsegment), 'lake_b', count(*), count(*), 0, 0, FALSE FROM customer GROUP BY c_mktsegment)"""
 
 
-def _sheet(spark, database):
-    rows = [(i, database, t, dest, None, None, f) for i, (t, dest, f) in enumerate(SHEET)]
+def _sheet(spark, database, sheet):
+    rows = [(i, database, t, dest, None, None, f) for i, (t, dest, f) in enumerate(sheet)]
     return spark.createDataFrame(rows, "row_index int, database string, table string, dest_database string, bucket string, endpoint string, partition_filter string")
 
 
@@ -82,12 +82,12 @@ def inventory_records(spark, d):
     )
 
 
-def planned_copy(spark, d):
+def planned_copy(spark, d, sheet=SHEET):
     """A copy run over the source tables, not started."""
     database, root = source_tables(spark, d)
     refs = inventory.catalog_refs(spark, database)
     names = spark.createDataFrame([(r.database, r.name) for r in refs], "source_database string, table_name string")
-    planned = copy_run.planned_tables(_sheet(spark, database), names, "s3a://lake")
+    planned = copy_run.planned_tables(_sheet(spark, database, sheet), names, "s3a://lake")
     suffix = database.removeprefix("src")
     planned = planned.withColumn("dest_database", F.concat("dest_database", F.lit(suffix)))
     ledger = VersionedTable(spark, f"{root}/ledger", ledger_schema("migration_table_status"))

@@ -59,15 +59,20 @@ def folded(c: Column) -> Column:
     return F.lower(F.translate(c, FOLD_FROM, FOLD_TO))
 
 
-def matches(c: Column, java_pattern: str, pattern: str, ignore_case: bool = False, fold: Column | None = None) -> Column:
-    """``c`` matches ``java_pattern``; ``pattern`` is the same without inline flags."""
+def may_match(c: Column, pattern: str, ignore_case: bool = False, fold: Column | None = None) -> Column:
+    """False only where no part of ``c`` can match: a literal test, true throughout where the pattern promises no literal."""
     words = required_literals(pattern, re.IGNORECASE if ignore_case else 0)
-    found = c.rlike(java_pattern)
     if not words:
-        return found
+        return F.lit(True)
     if ignore_case:
         seen = folded(c) if fold is None else fold
         tests = [seen.contains(w.translate(str.maketrans(FOLD_FROM, FOLD_TO)).lower()) for w in words]
     else:
         tests = [c.contains(w) for w in words]
-    return reduce(lambda a, b: a | b, tests) & found
+    return reduce(lambda a, b: a | b, tests)
+
+
+def matches(c: Column, java_pattern: str, pattern: str, ignore_case: bool = False, fold: Column | None = None) -> Column:
+    """``c`` matches ``java_pattern``; ``pattern`` is the same without inline flags."""
+    found = c.rlike(java_pattern)
+    return may_match(c, pattern, ignore_case, fold) & found if required_literals(pattern, re.IGNORECASE if ignore_case else 0) else found

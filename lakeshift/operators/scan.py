@@ -1,12 +1,13 @@
 """Rule scan of source text held in a DataFrame of (path, content).
 
-Both passes work inside the row of a file: no shuffle, no (rule x line) join. Patterns are literals,
-so each is compiled once per task. Only the optional Python syntax check leaves the JVM.
+Both passes work inside the row of a file and read it once: no shuffle, no (rule x line) join. Patterns are literals,
+so each is compiled once per task. Only the syntax check of Python files leaves the JVM.
 """
 
 from __future__ import annotations
 
 import ast
+import re
 from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
 
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeshift.functions.cells import strip
-from lakeshift.functions.text import folded, matches
+from lakeshift.functions.text import folded, matches, may_match
 from lakeshift.rules.model import CATEGORIES, SEVERITIES, Rule
 
 HITS = "path string, line_number int, rule_id string, line_text string"
@@ -78,102 +79,161 @@ def _gated(corpus: DataFrame, gates: dict[tuple[str, ...], str]) -> DataFrame:
     return flagged.where(reduce(lambda a, b: a | b, [F.col(g) for g in gates.values()]))
 
 
-def scan_lines(corpus: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Line pass: (path, line_number, rule_id, line_text), at most one row per rule and line."""
-    line_rules = [r for r in rules if not r.whole_text]
-    if not line_rules:
-        return corpus.sparkSession.createDataFrame([], HITS)
-    gates = _gates(line_rules)
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+#: Values that a running total goes through one by one; longer lists are totals of such blocks.
+BLOCK = 256
+
+
+def running_totals(values: Column) -> Column:
+    """The sum of each value and all before it, for a list of any length.
+
+    A list that grows by one is copied, so totals are taken within blocks, and block totals over blocks.
+    """
+    totals = "struct<total:bigint,list:array<bigint>>"
+    start = F.struct(F.lit(0).cast("bigint").alias("total"), F.array().cast("array<bigint>").alias("list")).cast(totals)
+
+    def grow(state: Column, x: Column) -> Column:
+        return F.struct((state["total"] + x).alias("total"), F.array_append(state["list"], state["total"] + x).alias("list")).cast(totals)
+
+    def of_blocks(inner: Column) -> Column:
+        begins = F.aggregate(F.transform(inner, lambda x: x["total"]), start, grow)["list"]
+        return F.flatten(F.transform(inner, lambda x, i: F.transform(x["list"], lambda v: v + F.get(begins, i) - x["total"])))
+
+    def of(values: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor((F.size(values) - 1) / BLOCK).cast("int"))
+        inner = F.transform(numbers, lambda b: F.aggregate(F.slice(values, b * BLOCK + 1, BLOCK), start, grow))
+        return F.when(F.size(values) == 0, F.array().cast("array<bigint>")).otherwise(_bound(inner, of_blocks))
+
+    return _bound(F.transform(values, lambda x: x.cast("bigint")), of)
+
+
+HIT = "array<struct<line_number:int,rule:int,line_text:string>>"
+
+
+def text_hits(content: Column, rule: Rule, number: int) -> Column:
+    """Matches of a pattern that may span lines, with the line on which each begins; the first of a line counts.
+
+    Each match is taken together with the gap before it (``\\G`` ties it to the end of the last one, so a text is gone
+    through once), and line numbers are running totals of the line ends in gaps and matches.
+    """
+    pattern = F.lit(f"(?Uds{rule.flags})\\G(.*?)({rule.pattern})")
+
+    def ends(x: Column) -> Column:
+        return F.length(x) - F.length(F.replace(x, F.lit("\n"), F.lit("")))
+
+    def hits(found: Column, lines: Column) -> Column:
+        rows = F.transform(
+            found, lambda m, i: F.struct((F.get(lines, i) + 1).cast("int").alias("line_number"), F.lit(number).alias("rule"), F.replace(m, F.lit("\n"), F.lit(" ")).alias("line_text"))
+        )
+        return F.filter(rows, lambda r, i: (i == 0) | (F.get(lines, i) != F.get(lines, i - 1)))
+
+    def of(found: Column) -> Column:
+        gaps = F.regexp_extract_all(content, pattern, F.lit(1))
+        before = F.slice(F.concat(F.array(F.lit("")), found), F.lit(1), F.size(found))
+        steps = F.zip_with(gaps, before, lambda g, m: ends(g) + ends(m))
+        return _bound(running_totals(steps), lambda lines: hits(found, lines))
+
+    return _bound(F.regexp_extract_all(content, pattern, F.lit(2)), of).cast(HIT)
+
+
+def _check_spanning(rule: Rule) -> None:
+    if re.search(r"(?<!\\)(?:\\\\)*\\[1-9]", rule.pattern):
+        raise ValueError(f"{rule.rule_id}: a whole-text pattern cannot refer back to its groups")
+    if rule.python_pattern.match(""):
+        raise ValueError(f"{rule.rule_id}: a whole-text pattern must not match an empty text")
+
+
+def _scanned(corpus: DataFrame, rules: Sequence[Rule], max_bytes: int | None = None) -> DataFrame:
+    """(path, line_number, rule, line_text) of both passes, from one reading of the corpus; ``rule`` is a place in ``rules``.
+
+    A row is one file. Whole-text hits are found in it first and travel as an element of their own beside the lines that
+    it is split into. Python sees a text only where a syntax check could drop a hit: Python files with a word that a rule which
+    asks for the check cannot do without.
+    """
+    gates = _gates(rules)
     names = list(gates.values())
+    line_rules = [(n, r) for n, r in enumerate(rules) if not r.whole_text]
+    text_rules = [(n, r) for n, r in enumerate(rules) if r.whole_text]
+    files = _gated(corpus, gates).withColumn("_lines", split_lines("content") if line_rules else F.array().cast("array<string>"))
+
+    def matched(r: Rule, text: Column, low: Column) -> Column:
+        return F.col(gates[r.extensions]) & matches(text, r.java_pattern, r.pattern, "i" in r.flags, low)
+
     unknown = F.array().cast("array<boolean>")
     flags = unknown
-    if any(r.ast_aware for r in line_rules):
-        flags = F.coalesce(executable_lines()(F.when(F.col("path").endswith(".py"), F.col("content"))), unknown)
-    zipped = F.arrays_zip(split_lines("content").alias("line"), flags.alias("runs"))
-    numbered = (
-        _gated(corpus, gates)
-        .select("path", *names, F.posexplode(zipped).alias("pos", "z"))
-        .where(F.col("z.line").isNotNull())
-        .select(
-            "path",
-            *names,
-            (F.col("pos") + 1).alias("line_number"),
-            F.col("z.line").alias("line"),
-            F.coalesce(F.col("z.runs"), F.lit(True)).alias("runs"),
-            folded(F.col("z.line")).alias("folded"),
-        )
+    aware = [r for _, r in line_rules if r.ast_aware and any(".py".endswith(e) or e.endswith(".py") for e in r.extensions)]
+    if aware:
+        wanted = [may_match(F.col("content"), r.pattern, "i" in r.flags, F.col("_low")) for r in aware]
+        files = files.withColumn("_low", folded(F.col("content"))).withColumn("_check", F.col("path").endswith(".py") & reduce(lambda a, b: a | b, wanted))
+        flags = F.coalesce(executable_lines()(F.when(F.col("_check"), F.col("content"))), unknown)
+    spanning = F.array().cast(HIT)
+    if text_rules:
+        for _, r in text_rules:
+            _check_spanning(r)
+        if not aware:
+            files = files.withColumn("_low", folded(F.col("content")))
+        fits = F.lit(True) if max_bytes is None else F.octet_length("content") <= max_bytes
+        each = [F.when(fits & matched(r, F.col("content"), F.col("_low")), text_hits(F.col("content"), r, n)) for n, r in text_rules]
+        files = files.withColumn("_each", F.array(*each))  # a list of its own, as below
+        spanning = F.flatten(F.array_compact("_each"))
+    # element 0 holds the whole-text hits, element n the line n; shorter lists are filled up with nulls
+    zipped = F.arrays_zip(
+        F.concat(F.array(F.lit(None).cast("string")), F.col("_lines")).alias("line"),
+        F.concat(F.array(F.lit(True)), flags).alias("runs"),
+        F.array(spanning).alias("hits"),
     )
+    rows = files.select("path", *names, F.posexplode(zipped).alias("line_number", "z"))
+    rows = rows.where(F.col("z.line").isNotNull() | (F.size("z.hits") > 0)).select(
+        "path", *names, "line_number", F.col("z.line").alias("line"), F.coalesce("z.runs", F.lit(True)).alias("runs"),
+        F.coalesce("z.hits", F.array().cast(HIT)).alias("hits"), folded(F.col("z.line")).alias("folded"),
+    )
 
-    def hit(r: Rule) -> Column:
-        found = F.col(gates[r.extensions]) & matches(
-            F.col("line"), r.java_pattern, r.pattern, "i" in r.flags, F.col("folded")
-        )
-        return F.when(F.col("runs") & found if r.ast_aware else found, r.rule_id)
+    def hit(n: int, r: Rule) -> Column:
+        found = matched(r, F.col("line"), F.col("folded"))
+        return F.when(F.col("runs") & found if r.ast_aware else found, F.lit(n))
 
-    return _exploded_hits(numbered, [hit(r) for r in line_rules])
+    return _exploded_hits(rows, [hit(n, r) for n, r in line_rules])
 
 
-def _exploded_hits(numbered: DataFrame, hits: list[Column]) -> DataFrame:
-    """One row per rule id found in a line.
+def _exploded_hits(rows: DataFrame, hits: list[Column]) -> DataFrame:
+    """One row per rule found in a line, after the whole-text hits that a row may carry.
 
     The line's text passes through a higher-order function, which keeps this projection out of
     whole-stage code generation: hundreds of rule expressions then become many small methods that
     the JIT compiles, where a single huge method would stay interpreted (measured 3 to 4 times
     faster over all rules).
     """
-    marked = numbered.select(
-        "path",
-        "line_number",
-        F.transform(F.array("line"), strip).alias("text"),
-        F.array(*hits).alias("hits"),
-    )
-    return marked.select(
-        "path", "line_number", F.explode(F.array_compact("hits")).alias("rule_id"), F.get("text", F.lit(0)).alias("line_text")
-    )
+    text = F.get(F.transform(F.array("line"), strip), F.lit(0))
+    # the rules stand in a list of their own: within the function that follows they would be interpreted
+    marks = F.array(*hits) if hits else F.array().cast("array<int>")
+    marked = rows.select("path", "line_number", text.alias("text"), "hits", marks.alias("marks"))
+    found = F.transform(F.array_compact("marks"), lambda n: F.struct(F.col("line_number"), n.alias("rule"), F.lit(None).cast("string").alias("line_text")))
+    single = marked.select("path", "text", F.explode(F.concat("hits", found)).alias("h"))
+    return single.select("path", "h.line_number", "h.rule", F.coalesce("h.line_text", "text").alias("line_text"))
+
+
+def _hits(corpus: DataFrame, rules: Sequence[Rule], max_bytes: int | None = None) -> DataFrame:
+    if not rules:
+        return corpus.sparkSession.createDataFrame([], HITS)
+    ids = F.array(*[F.lit(r.rule_id) for r in rules])
+    return _scanned(corpus, rules, max_bytes).select("path", "line_number", F.get(ids, F.col("rule")).alias("rule_id"), "line_text")
+
+
+def scan_lines(corpus: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Line pass: (path, line_number, rule_id, line_text), at most one row per rule and line."""
+    return _hits(corpus, [r for r in rules if not r.whole_text])
 
 
 def scan_whole_text(corpus: DataFrame, rules: Sequence[Rule], max_bytes: int | None = None) -> DataFrame:
     """Whole-text pass for patterns that may span lines, over texts of any size unless ``max_bytes`` is given.
 
-    A text goes to Python, where match offsets exist, only when some rule matches it at all; that
-    test runs in the JVM. Per rule and line the first match counts.
+    Per rule and line the first match counts. Such patterns must match some text and not refer back to their groups.
     """
-    text_rules = [r for r in rules if r.whole_text]
-    if not text_rules:
-        return corpus.sparkSession.createDataFrame([], HITS)
-    gates = _gates(text_rules)
-    sized = corpus if max_bytes is None else corpus.where(F.octet_length("content") <= max_bytes)
-    texts = _gated(sized, gates)
-    any_match = reduce(
-        lambda a, b: a | b,
-        [
-            F.col(gates[r.extensions])
-            & matches(F.col("content"), r.java_pattern, r.pattern, "i" in r.flags, F.col("_folded"))
-            for r in text_rules
-        ],
-    )
-    matched = texts.withColumn("_folded", folded(F.col("content"))).where(any_match).select("path", "content")
-    # plain tuples and nested functions: nothing here needs this package on the workers
-    compiled = [(r.rule_id, r.extensions, r.python_pattern) for r in text_rules]
-
-    def hits(path: str, content: str) -> Iterable[tuple]:
-        for rule_id, extensions, pattern in compiled:
-            if not path.endswith(extensions):
-                continue
-            line, position, reported = 1, 0, 0
-            for match in pattern.finditer(content):
-                line += content.count("\n", position, match.start())
-                position = match.start()
-                if line != reported:
-                    reported = line
-                    yield path, line, rule_id, match.group(0).replace("\n", " ")
-
-    def locate(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
-        for batch in batches:
-            rows = [hit for path, content in zip(batch["path"], batch["content"]) for hit in hits(path, content)]
-            yield pd.DataFrame(rows, columns=["path", "line_number", "rule_id", "line_text"])
-
-    return matched.mapInPandas(locate, HITS)
+    return _hits(corpus, [r for r in rules if r.whole_text], max_bytes)
 
 
 def rule_frame(spark, rules: Sequence[Rule]) -> DataFrame:
@@ -190,14 +250,17 @@ def rule_frame(spark, rules: Sequence[Rule]) -> DataFrame:
 
 
 def scan(corpus: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Both passes with rule facts: one row per (file, rule, line)."""
-    hits = scan_lines(corpus, rules).unionByName(scan_whole_text(corpus, rules))
-    facts = rule_frame(corpus.sparkSession, rules).select("rule_id", "title", "severity", "category")
-    return hits.join(F.broadcast(facts), "rule_id").select(
-        "path", "line_number", "rule_id", "title", "severity", "category", "line_text"
+    """Both passes with rule facts, one row per (file, rule, line), from one reading of the corpus."""
+    facts = F.get(F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in _facts(r).items()]) for r in rules]), F.col("rule"))
+    return _scanned(corpus, rules).select("path", "line_number", facts.alias("f"), "line_text").select(
+        "path", "line_number", *[f"f.{n}" for n in ("rule_id", "title", "severity", "category")], "line_text"
     )
 
 
+def _facts(r: Rule) -> dict[str, str]:
+    return {"rule_id": r.rule_id, "title": r.title, "severity": r.severity, "category": r.category}
+
+
 def dedupe_issues(issues: DataFrame, order: str) -> DataFrame:
     """First issue per (path, rule_id, line_number)."""
     from lakeshift.operators.windows import distinct_first

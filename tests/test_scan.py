@@ -1,6 +1,8 @@
 import ast
+import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from lakeshift.functions.text import required_literals
 from lakeshift.operators import scan as ops
@@ -147,3 +149,44 @@ def test_read_corpus(spark, work):
     got = {r.path: r.content for r in source.read_corpus(spark, work).collect()}
     assert got == {p: "one\ntwo" for p in ("src/a.py", "deep/er/q b.sql", "builder/k.conf")}
     assert ".hql" in CORPUS_EXTENSIONS
+
+
+def test_running_totals_of_long_lists(spark, monkeypatch):
+    monkeypatch.setattr(ops, "BLOCK", 4)
+    rows = [(i, [(i * 7 + k) % 5 for k in range(i)]) for i in (0, 1, 3, 4, 5, 8, 9, 100)]
+    got = spark.createDataFrame(rows, "i int, xs array<int>").select("i", "xs", ops.running_totals(F.col("xs")).alias("t")).collect()
+    assert len(got) == len(rows) and all(r.t == [sum(r.xs[: k + 1]) for k in range(len(r.xs))] for r in got)
+
+
+def test_match_offsets_equal_those_of_a_regex_engine(spark):
+    rng = random.Random(3)
+    texts = ["".join(rng.choices(["a(", ")", "b", "\n", "x", " ", "\r\n", "é", "CREATE TABLE t", "USING", "udf(lambda", ":"], k=rng.randrange(0, 120))) for _ in range(150)]
+    texts += ["", "\n\n", "a(" + "\n" * 5000 + "x)" * 3000]
+    patterns = [r"a\([\s\S]*?\)", r"x\s+x|b+", r"CREATE\s+(?:EXTERNAL\s+)?TABLE\s+(?![\s\S]*USING)", r"udf\s*\(\s*lambda[\s\S]+?:[\s\S]+?\)(?!\s*,)", r"^x", r"(a)(b)?"]
+    rules = [Rule(f"R{i}", "low", "Configuration Changes", "t", p, "im" if i == 2 else "", whole_text=True) for i, p in enumerate(patterns)]
+    want = []
+    for n, text in enumerate(texts):
+        for r in rules:
+            reported = 0
+            for m in r.python_pattern.finditer(text):
+                line = 1 + text.count("\n", 0, m.start())
+                if line != reported:
+                    want.append((f"f{n}.sql", line, r.rule_id, m.group(0).replace("\n", " ")))
+                reported = line
+    df = spark.createDataFrame([(f"f{n}.sql", t) for n, t in enumerate(texts)], "path string, content string")
+    found = ops.scan_whole_text(df, rules)
+    assert sorted(map(tuple, found.collect())) == sorted(want) and len(want) > 200
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "MapIn" not in plan
+    for bad in (r"(a)\1", "x*"):
+        with pytest.raises(ValueError):
+            ops.scan_whole_text(df, [Rule("B", "low", "Configuration Changes", "t", bad, whole_text=True)])
+
+
+def test_a_scan_reads_its_corpus_once(spark, work):
+    rows = [("a.py", "x = 1\ndf.unionAll(y)\n'''\nprint 'in a text'\n'''\n"), ("b.py", "nothing"), ("c.sql", "SET hive.x = 1;")]
+    spark.createDataFrame(rows, "path string, content string").write.parquet(f"{work}/corpus")
+    found = ops.scan(spark.read.parquet(f"{work}/corpus"), migration.ALL_RULES)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Join" not in plan
+    assert {("a.py", 2, "SPARK-009")} <= {(r.path, r.line_number, r.rule_id) for r in found.collect()}

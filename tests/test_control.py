@@ -67,3 +67,38 @@ def test_first_and_last_rows(spark):
 def test_endpoints(spark):
     df = spark.createDataFrame([("s3a://B/x", "https://h-1.x:9"), ("s3a://B/x", "https://h-1.x:9 ")], "dest_bucket string, dest_endpoint string")
     assert [tuple(r) for r in ops.distinct_endpoints(df).collect()] == [("s3a://B/x", "https://h-1.x:9", "b", "H_1_X")]
+
+
+def test_sheets_of_many_splits_number_rows_as_pandas_does(spark, work):
+    import io
+    import os
+    import random
+
+    import pandas as pd
+
+    rng = random.Random(2)
+    cells = ["a", "", "x y", '"q"', '"two\nlines"', '"a,b"', '"say ""hi"""', '"\n\n,\n"', "nan", " pad ", "é", '"cr\r\nlf"']
+    texts = {"one.csv": "Database, Table ,BUCKET\n", "two.csv": "﻿table,Partition Filter,database\r\n", "head.csv": "database,table\n", "short.csv": "database,table,bucket\nd\n\n  \nd2,t2\n"}
+    for name, end in (("one.csv", "\n"), ("two.csv", "\r\n")):
+        for i in range(700):
+            texts[name] += ",".join([f"d{i}", rng.choice(cells), rng.choice(cells)]) + end + (end if rng.random() < 0.1 else "")
+    texts["one.csv"] += "last,row,here"
+    os.makedirs(f"{work}/sheets")
+    for name, text in texts.items():
+        with open(f"{work}/sheets/{name}", "w", encoding="utf-8", newline="") as f:
+            f.write(text)
+    want = []
+    for name, text in texts.items():
+        sheet = pd.read_csv(io.BytesIO(text.encode()), dtype=str, keep_default_na=False)
+        names = [c.strip().lower().replace(" ", "_") for c in sheet.columns]
+        for i, r in enumerate(sheet.astype(object).where(sheet.notna(), None).itertuples(index=False)):
+            row = dict(zip(names, r))
+            want.append((f"file:{work}/sheets/{name}", i, *[row.get(c) for c in sheets.COPY_COLUMNS]))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        got = sheets.read_control_sheet(spark, f"{work}/sheets", sheets.COPY_COLUMNS).collect()
+        assert spark.read.text(f"{work}/sheets/one.csv").rdd.getNumPartitions() > 4
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)

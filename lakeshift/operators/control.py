@@ -133,17 +133,39 @@ def like_pattern(token: Column) -> Column:
     return F.concat(F.lit("(?i)^(?:"), F.replace(F.array_join(parts, "|"), F.lit("*"), F.lit(".*")), F.lit(")$"))
 
 
+# What a shell pattern is made of: a set in brackets, whose first character may be a closing bracket, or one character.
+GLOB_PART = r"(?s)\[!?+\]?+[^\]]*+\]|."
+NEVER = "(?!)"
+
+
+def _code(c: Column) -> Column:
+    return F.concat(F.lit(r"\x{"), F.lower(F.hex(F.ascii(c))), F.lit("}"))
+
+
+def glob_set(part: Column) -> Column:
+    """``[..]`` or ``[!..]`` -> regex. A reversed range stands for no character; a set of none matches nothing, its negation anything."""
+    negated = part.startswith("[!")
+    body = F.substr(part, F.when(negated, 3).otherwise(2), F.length(part) - F.when(negated, 3).otherwise(2))
+    ranges = F.transform(
+        F.regexp_extract_all(body, F.lit("(?s).-.|."), F.lit(0)), lambda r: F.struct(F.substr(r, F.lit(1), F.lit(1)).alias("low"), F.substr(r, F.length(r), F.lit(1)).alias("high"))
+    )
+    real = F.filter(ranges, lambda r: F.ascii(r["low"]) <= F.ascii(r["high"]))
+    members = F.array_join(F.transform(real, lambda r: F.concat(_code(r["low"]), F.lit("-"), _code(r["high"]))), "")
+    return (
+        F.when((members == "") & negated, F.lit("."))
+        .when(members == "", F.lit(NEVER))
+        .otherwise(F.concat(F.when(negated, F.lit("[^")).otherwise(F.lit("[")), members, F.lit("]")))
+    )
+
+
 def glob_pattern(token: Column) -> Column:
-    """Shell pattern (``*``, ``?``, ``[..]``, ``[!..]``) -> anchored regex; a lone ``[`` stands for itself."""
-    quoted = F.regexp_replace(token, r"([.+^$&{}()|\\])", r"\\$1")
-    bracket = F.replace(quoted, F.lit("[[]"), F.lit(r"\["))
-    closed = F.regexp_replace(bracket, r"(?<!\\)\[(?![^\]]*\])", r"\\[")
-    negated = F.replace(closed, F.lit("[!"), F.lit("[^"))
-    return F.concat(
-        F.lit("(?s)^"),
-        F.replace(F.replace(negated, F.lit("*"), F.lit(".*")), F.lit("?"), F.lit(".")),
-        F.lit("$"),
+    """Shell pattern (``*``, ``?``, ``[..]``, ``[!..]``) -> anchored regex; a bracket that nothing closes stands for itself."""
+    parts = F.regexp_extract_all(token, F.lit(GLOB_PART), F.lit(0))
+    text = F.transform(
+        parts,
+        lambda p: F.when(p == "*", F.lit(".*")).when(p == "?", F.lit(".")).when(F.length(p) > 1, glob_set(p)).otherwise(F.regexp_replace(p, r"([^\w])", r"\\$1")),
     )
+    return F.concat(F.lit("(?s)^"), F.array_join(text, ""), F.lit("$"))
 
 
 PATTERNS_PER_LIST = 500
@@ -193,3 +215,20 @@ def resolve_tokens(
     )
     wild = hits.select(*keys, *groups, "table_name", "position")
     return distinct_first(plain.unionByName(wild), [*keys, *groups, "table_name"], "position")
+
+
+def unresolved_tokens(tokens: DataFrame, tables: DataFrame, keys: Sequence[str] = ("source_database",)) -> DataFrame:
+    """Audit of a strict sheet: tokens that no table of their database matches, with a reason.
+
+    Such are names the catalog lacks, patterns that fit none of its names, and patterns that can fit no name at all,
+    like a reversed range.
+    """
+    keys = list(keys)
+    magic = F.col("token").rlike(r"[*?\[]")
+    known = tables.select(*keys, F.col("table_name").alias("token")).distinct()
+    plain = tokens.where(~magic).join(known, [*keys, "token"], "left_anti").withColumn("reason", F.lit("no such table"))
+    patterns = tokens.where(magic).select(*keys, "token", glob_pattern(F.col("token")).alias("regex")).distinct().withColumn("position", F.lit(0))
+    lists = _pattern_lists(patterns, keys, F.struct("token", "regex"))
+    hits = tables.join(lists, keys).select(*keys, F.inline(F.filter("_patterns", lambda p: F.rlike(F.col("table_name"), p["regex"]))))
+    missed = tokens.where(magic).join(hits.select(*keys, "token").distinct(), [*keys, "token"], "left_anti")
+    return plain.unionByName(missed.withColumn("reason", F.lit("pattern matches no table")))

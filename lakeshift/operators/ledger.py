@@ -69,7 +69,7 @@ def duplicate_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def unique_rows(source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The same rows; a key that occurs twice fails the job when its row is used.
+    """The same rows; a key that occurs twice fails the job.
 
     Groups by the keys of the join that follows, so no exchange is added.
     """
@@ -79,7 +79,9 @@ def unique_rows(source: DataFrame, keys: Sequence[str]) -> DataFrame:
         return source.distinct()
     text = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in keys])
     rows = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.any_value(F.struct(*values)).alias("_v"))
-    rows = rows.withColumn("_v", F.when(F.col("_n") > 1, F.raise_error(F.concat(F.lit("key occurs more than once: "), text))).otherwise(F.col("_v")))
+    # a condition on the rows, not part of a value: values that nobody reads are left out of a plan
+    repeated = F.raise_error(F.concat(F.lit("key occurs more than once: "), text)).cast("boolean")
+    rows = rows.where(F.when(F.col("_n") > 1, repeated).otherwise(F.lit(True)))
     return rows.select(*keys, "_v.*").select(*source.columns)
 
 

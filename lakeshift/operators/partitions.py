@@ -55,8 +55,9 @@ def apply_control_filters(
 
     ``groups`` are the columns of the control sheet that tell rows of one table apart, such as its
     destination; they are returned with the partitions. Rows that agree in keys, groups and filter
-    count once. One equi-join on the table keys; the ``last_n`` bound is data, so it is a ranked window
-    over the distinct partitions of the rows that ask for it.
+    count once. One equi-join on the table keys. ``last_n`` is a ranked window over the distinct partitions of the rows that
+    ask for it; the largest number on the sheet, read first, limits it as a literal, so that each task sends on that many
+    partitions of a table at most, and each row's own number follows.
     """
     groups = list(groups)
     wanted = control.select(*keys, *groups, F.col(expr).alias("_expr")).distinct()
@@ -67,12 +68,16 @@ def apply_control_filters(
         F.filter(terms, lambda t: t.rlike(P.LAST_N)), lambda t: F.regexp_extract(t, P.LAST_N, 1).cast("int")
     )
     order = Window.partitionBy(*own).orderBy(F.col(part).desc())
+    most = wanted.agg(F.max(F.array_max(counts))).first()[0]
+    if not most:
+        return rows.where(P.matches_filter(part, F.col("_expr"))).select(*df.columns, *groups)
     newest = (
         rows.withColumn("_n", F.array_max(counts))
         .where(F.col("_n") > 0)
         .select(*own, part, "_n")
         .distinct()
         .withColumn("_rank", F.row_number().over(order))
+        .where(F.col("_rank") <= F.lit(most))
         .where(F.col("_rank") <= F.col("_n"))
         .select(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(own)], F.col(part).alias("_part"), F.lit(True).alias("_newest"))
     )

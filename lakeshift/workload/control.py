@@ -140,7 +140,8 @@ def resolve_tokens(spark, d):
 
 GLOB = (
     "CASE s_suppkey % 6 WHEN 0 THEN 'promo_????_*' WHEN 1 THEN '*_[bg]*' WHEN 2 THEN 'small_[!b]*' WHEN 3 THEN 'economy_red_widget' "
-    "WHEN 4 THEN 'not_there' ELSE CASE WHEN s_nationkey = 3 THEN '*' ELSE 'standard_*' END END"
+    "WHEN 4 THEN CASE s_suppkey % 4 WHEN 0 THEN 'not_there' ELSE '[z-a]*' END "
+    "ELSE CASE WHEN s_nationkey = 3 THEN '*' WHEN s_suppkey % 4 = 1 THEN '[!]*' ELSE 'standard_*' END END"
 )
 
 
@@ -154,6 +155,16 @@ def resolve_tokens_strict(spark, d):
     return ops.resolve_tokens(_tokens(spark, d, GLOB), _catalog(spark, d), strict=True)
 
 
+@query(
+    "unresolved_tokens",
+    f"""WITH t AS ({TOKEN_SQL.replace(TOKEN, GLOB)}), c AS ({CATALOG_SQL})
+    SELECT source_database, token, position, CASE WHEN token = 'not_there' OR token = 'economy_red_widget' THEN 'no such table' ELSE 'pattern matches no table' END AS reason
+    FROM t WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.source_database = t.source_database AND c.table_name GLOB t.token)""",
+)
+def unresolved_tokens(spark, d):
+    return ops.unresolved_tokens(_tokens(spark, d, GLOB), _catalog(spark, d))
+
+
 GROUP_LIST = "dest_database, dest_bucket, source_s3_prefix, dest_s3_prefix"
 META = f"""SELECT row_index, trim(database) AS source_database, {cell('"table"', "'*'")} AS table_cell, {cell("dest_database", "trim(database)")} AS dest_database,
     {s3a(cell("bucket", f"'{BUCKET}'"))} AS dest_bucket, {s3a(cell("source_s3_prefix", "''"))} AS source_s3_prefix,

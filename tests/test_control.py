@@ -1,4 +1,8 @@
 import fnmatch
+import itertools
+
+import pytest
+from pyspark.sql import functions as F
 
 from lakeshift.operators import control as ops
 from lakeshift.operators import windows
@@ -102,3 +106,34 @@ def test_sheets_of_many_splits_number_rows_as_pandas_does(spark, work):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+
+
+def test_shell_patterns_equal_those_of_the_standard_library(spark):
+
+    from lakeshift.operators.control import glob_pattern
+
+    tokens = ["[z-a]*", "[!]*", "[!z-a]x", "[]a]b", "[!]a]b", "[a", "a]", "[a-c]?", "[!a-c]*", "[a-]x", "[-a]x", "*.[.]", "[[]x", "a+(b)|$^{}\\", "[^a]x", "[]", "[]]", "**", "?", "é[é-ü]"]
+    names = ["", "a", "b", "ab", "]b", "x", "zx", "[!]q", "[a", "a]", "a1", "d", "-x", "ax", "q..", "[x", "a+(b)|$^{}\\", "^x", "[]", "]", "éé", "éü", "z", "a\nb"]
+    rows = [(t, n) for t, n in itertools.product(tokens, names)]
+    got = spark.createDataFrame(rows, "t string, n string").select("t", "n", F.rlike(F.col("n"), glob_pattern(F.col("t"))).alias("hit")).collect()
+    wrong = [(r.t, r.n) for r in got if r.hit != fnmatch.fnmatchcase(r.n, r.t)]
+    assert not wrong
+
+
+def test_a_repeated_upsert_key_fails_even_where_no_value_is_read(spark):
+    from lakeshift.operators.ledger import merge_upsert
+
+    target = spark.createDataFrame([(1, "a")], "k int, v string")
+    with pytest.raises(Exception, match="more than once"):
+        merge_upsert(target, spark.createDataFrame([(1, "b"), (1, "c")], "k int, v string"), ["k"]).count()
+
+
+def test_the_largest_number_on_the_sheet_limits_partitions_before_the_shuffle(spark):
+    from lakeshift.operators.partitions import apply_control_filters
+
+    parts = spark.createDataFrame([(t, f"dt={i:03d}") for t in "ab" for i in range(50)], "t string, partition string")
+    sheet = spark.createDataFrame([("a", "last_n_partitions=2"), ("b", "last_n_partitions=3, dt=001")], "t string, partition_filter string")
+    out = apply_control_filters(parts, sheet, ["t"])
+    assert "WindowGroupLimit" in out._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, out.collect())) == [("a", "dt=048"), ("a", "dt=049"), ("b", "dt=001"), ("b", "dt=047"), ("b", "dt=048"), ("b", "dt=049")]
+    assert apply_control_filters(parts, sheet.where("t = 'z'"), ["t"]).count() == 0

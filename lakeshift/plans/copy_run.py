@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from collections import Counter
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, Window
@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from lakeshift.operators import control, ledger, partitions, reconcile
 from lakeshift.operators import files as file_ops
+from lakeshift.plans import destinations
 from lakeshift.plans.stages import Stage, each_table, run_stages
-from lakeshift.sources import catalog, files, inventory, storage
+from lakeshift.sources import files, inventory, storage
 from lakeshift.sources.inventory import TableRef
 from lakeshift.sources.scratch import stored
 from lakeshift.sources.versioned import VersionedTable
@@ -185,40 +186,10 @@ class CopyRun:
     def _create(self, row: Row) -> dict:
         if row.distcp_status != "COMPLETED":
             return {"status": "SKIPPED", "error": "copy did not complete"}
-        ref = self._ref(row)
-        catalog.ensure_databases(self.spark, [row.dest_database])
-        schema = [{"name": n, "type": t} for n, t in ref.schema]
-        existed = catalog.create_external_table(self.spark, row.dest_database, ref.name, schema, ref.partition_by, ref.fmt, row.dest_location, ref.properties)
-        matched = self._matched(row)
-        if matched is None:
-            catalog.repair_table(self.spark, row.dest_database, ref.name)
-        else:
-            catalog.add_partitions(self.spark, row.dest_database, ref.name, (r.partition for r in matched.toLocalIterator()), row.dest_location)
-        return {"existed": existed}
+        return destinations.declared(self.spark, self._ref(row), row.dest_database, row.dest_location, self._matched(row))
 
     def _validate(self, rows: list[Row]) -> DataFrame:
-        """Counts and columns of all created tables against those recorded at discovery, as one job."""
-        keys = ["source_database", "source_table", "dest_database"]
-        refs, source, columns = [], [], {"source": [], "dest": []}
-        for r in rows:
-            ref = self._ref(r)
-            named = self.spark.catalog.listColumns(f"{catalog.quote(r.dest_database)}.{catalog.quote(ref.name)}")
-            refs.append(replace(ref, location=r.dest_location, database=f"{r.source_database}\n{r.dest_database}"))
-            source.append((r.source_database, r.source_table, r.dest_database, r.source_row_count, int(r.source_partition_count)))
-            key = (r.source_database, r.source_table, r.dest_database)
-            columns["source"] += [(*key, n, catalog.hive_type(t)) for n, t in ref.schema]
-            columns["dest"] += [(*key, c.name, catalog.hive_type(c.dataType)) for c in named]
-        names = ", ".join(f"{k} string" for k in keys)
-        counted = inventory.inventory(self.spark, refs)
-        both = F.split("source_database", "\n")
-        dest = counted.select(
-            both[0].alias("source_database"), "source_table", both[1].alias("dest_database"), "row_count", F.col("partition_count").cast("long").alias("partition_count")
-        )
-        theirs, ours = (self.spark.createDataFrame(columns[s], f"{names}, column_name string, data_type string") for s in ("source", "dest"))
-        verdict = reconcile.schema_verdict(reconcile.schema_diff(theirs, ours, keys, case_sensitive=False), keys)
-        sides = self.spark.createDataFrame(source, f"{names}, row_count long, partition_count long")
-        checked = reconcile.reconcile_tables(sides, dest, verdict, keys)
-        return checked.select(F.lit(self.run_id).alias("run_id"), F.lit("COMPLETED").alias("status"), "*")
+        return destinations.checked(self.spark, self.run_id, [(r, self._ref(r), r.dest_location) for r in rows])
 
     def stages(self) -> list[Stage]:
         mine = F.col("run_id") == self.run_id

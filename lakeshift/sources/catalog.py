@@ -185,15 +185,19 @@ def ensure_databases(spark: SparkSession, names: Iterable[str], location: str |
 
 
 def register_table(spark: SparkSession, database: str, table: str, location: str, fmt: str = "parquet") -> str:
-    """Make an existing table's files known under a name, or refresh it when it is; returns the action."""
+    """Make an existing table's files known under a name, with its partitions, or refresh it when it is; returns the action."""
     name = f"{quote(database)}.{quote(table)}"
     if spark.catalog.tableExists(f"{database}.{table}"):
-        spark.sql(f"REFRESH TABLE {name}")
+        if fmt == "iceberg":
+            spark.sql(f"REFRESH TABLE {name}")
+        else:
+            repair_table(spark, database, table)
         return "refreshed"
     if fmt == "iceberg":
         spark.sql(f"CALL spark_catalog.system.register_table(table => {text(database + '.' + table)}, metadata_file => {text(location)})")
     else:
         spark.sql(f"CREATE TABLE {name} USING {fmt} LOCATION {text(location)}")
+        repair_table(spark, database, table)
     return "registered"
 
 

@@ -217,3 +217,18 @@ def test_a_replacement_lost_on_the_way_leaves_a_whole_table(spark, monkeypatch,
     provider = [r.data_type for r in spark.sql(f"DESCRIBE FORMATTED {table}").collect() if r.col_name == "Provider"]
     assert len([n for n in os.listdir(spark.catalog.getDatabase(name).locationUri.removeprefix("file:")) if n.startswith("t-")]) == 1
     assert provider == ["parquet"] and plain(spark.table(table)) == [(i, i % 2) for i in range(10)]
+
+
+def test_metadata_and_conversion_runs_go_on_where_they_stopped(spark, small):
+    run = runs.planned_metadata(spark, small)
+    for n, stage in enumerate(("discover", "presence", "create", "validate"), 1):
+        run.run(stop_after=stage)
+        assert run.ledger.version() == n
+    states = {r.source_table: r.overall_status for r in run.run().collect()}
+    assert run.ledger.version() == 4
+    assert states["customer_machinery"] == "DATA_MISSING" and states["customer_building"] == "VALIDATION_FAILED" and states["lineitem"] == "VALIDATED"
+    assert (run.finalize().first().missing, run.finalize().first().run_status) == (1, "COMPLETED_WITH_FAILURES")
+    run = runs.planned_conversion(spark, small)
+    run.run(stop_after="convert")
+    run.run()
+    assert run.ledger.version() == 3 and {r.status for r in run.ledger.read().where("source_table <> 'gone'").collect()} == {"VALIDATED"}

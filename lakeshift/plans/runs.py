@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,12 +23,13 @@ def run_id(prefix: str = "", at: Column | None = None, token: Column | None = No
     return F.concat(F.lit(f"{prefix}run_"), F.date_format(at, "yyyyMMdd_HHmmss"), F.lit("_"), F.substring(token, 1, 8))
 
 
-def run_records(requests: DataFrame, prefix: str = "") -> DataFrame:
-    """Opened runs, one per request row."""
+def run_records(requests: DataFrame, prefix: str = "", at: Column | None = None, token: Column | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """Opened runs, one per request row; time and token are those of the moment unless given."""
     return requests.select(
-        run_id(prefix).alias("run_id"),
+        *keep,
+        run_id(prefix, at, token).alias("run_id"),
         "excel_file_path",
-        F.current_timestamp().alias("started_at"),
+        (F.current_timestamp() if at is None else at).alias("started_at"),
         F.lit("RUNNING").alias("status"),
         *[F.lit(0).alias(c) for c in ("total_tables", "successful_tables", "failed_tables")],
     )

@@ -100,18 +100,25 @@ def read_table_facts(tables: DataFrame, path: str = "table_path") -> DataFrame:
     return table_facts(read.withColumn("metadata", F.when(F.col("error").isNull(), F.col("metadata"))))
 
 
-def write_documents(files: DataFrame, path: str = "table_path", name: str = "file_name", content: str = "content") -> int:
-    """Write text files below the ``metadata`` folders of tables, whole or not at all; returns how many."""
+def put_texts(files: DataFrame, root: str | None = None, path: str = "path", content: str = "content") -> int:
+    """Write one text file per row, whole or not at all, at ``path`` (below ``root`` if given); returns how many."""
 
     def put(batches):
         for b in batches:
-            for location, file, text in zip(b[path].to_pylist(), b[name].to_pylist(), b[content].to_pylist()):
-                store, base = _split(location.rstrip("/"))
-                store.create_dir(f"{base}/{FOLDER}", recursive=True)
-                temporary = f"{base}/{FOLDER}/.{file}.{uuid.uuid4().hex}"
+            for place, text in zip(b[path].to_pylist(), b[content].to_pylist()):
+                store, target = _split(f"{root.rstrip('/')}/{place}" if root else place)
+                folder, _, name = target.rpartition("/")
+                store.create_dir(folder, recursive=True)
+                temporary = f"{folder}/.{name}.{uuid.uuid4().hex}"
                 with store.open_output_stream(temporary) as stream:
-                    stream.write(text.encode("utf-8"))
-                store.move(temporary, f"{base}/{FOLDER}/{file}")
+                    stream.write((text or "").encode("utf-8"))
+                store.move(temporary, target)
             yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], ["n"])
 
-    return files.select(path, name, content).mapInArrow(put, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return files.select(path, content).mapInArrow(put, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
+def write_documents(files: DataFrame, path: str = "table_path", name: str = "file_name", content: str = "content") -> int:
+    """Write text files below the ``metadata`` folders of tables; returns how many."""
+    place = F.concat(F.rtrim(path, F.lit("/")), F.lit(f"/{FOLDER}/"), F.col(name))
+    return put_texts(files.select(place.alias("path"), F.col(content).alias("content")))

@@ -6,12 +6,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import functions as F
 
+from lakeshift.functions.cells import clip
 from lakeshift.operators import rewrite as rw
 from lakeshift.operators import scan as ops
 from lakeshift.rules import migration
 from lakeshift.rules import rewrite as R
-from lakeshift.rules.model import CORPUS_EXCLUDES, CORPUS_EXTENSIONS, Rule, filter_rules
+from lakeshift.rules.model import CORPUS_EXCLUDES, CORPUS_EXTENSIONS, Rule, filter_rules, rules_from_rows
 from lakeshift.sources import corpus as source
+from lakeshift.sources.metadata import put_texts
+from lakeshift.sources.scratch import scratch_dir
 from lakeshift.workload import base as B
 from lakeshift.workload.registry import query
 
@@ -222,7 +225,7 @@ CODE = [
     "scalaVersion := \"2.11.12\"", "hadoop-client 2.7.3", "pyarrow==0.15", "def f(a, b):", "return a", "w = u'text'",
 ]
 CODE_EXTENSIONS = [".py", ".sql", ".scala", ".conf", ".hql", ".java"]
-SCRIPT_EXTENSIONS = [".sql", ".hql", ".conf", ".scala", ".properties"]
+SCRIPT_EXTENSIONS = [".sql", ".hql", ".conf", ".scala", ".properties", ".java", ".xml", ".sbt", ".yaml"]
 
 
 def _corpus_sql(lines: Sequence[str], index: str, extensions: Sequence[str], folder: str) -> str:
@@ -258,14 +261,14 @@ def scan_code(spark, d):
 
 SCRIPT_RULES = [
     r
-    for r in [*migration.HIVE_RULES, *migration.CONFIG_RULES, *migration.DEPENDENCY_RULES, *migration.PERFORMANCE_RULES]
-    if "(?!" not in r.pattern and "(?<" not in r.pattern
+    for r in migration.ALL_RULES
+    if not r.whole_text and "(?!" not in r.pattern and "(?<" not in r.pattern
 ]
 
 
 @query("scan_scripts", line_hits(_corpus_sql(CODE, CODE_INDEX, SCRIPT_EXTENSIONS, "src"), SCRIPT_RULES))
 def scan_scripts(spark, d):
-    """Rules without look-around over scripts, where SQL can say the same."""
+    """All line rules without look-around over files of every kind but Python, where SQL can say the same."""
     return ops.scan_lines(code(spark, d, SCRIPT_EXTENSIONS), SCRIPT_RULES)
 
 
@@ -396,3 +399,40 @@ def apply_rewrites(spark, d):
 )
 def finding_summary(spark, d):
     return rw.finding_summary(rw.rewrite_findings(dags(spark, d)))
+
+
+# rules as a user's own table holds them, one per lang and word of the corpus
+USER_RULES = [
+    {"rule_id": "OWN-1", "severity": "high", "category": CONFIG, "title": "stop", "pattern": r"thread[.]stop", "extensions": [".py", ".scala"]},
+    {"rule_id": "OWN-2", "severity": "info", "category": PERFORMANCE, "title": "join", "pattern": "cross join", "flags": "i"},
+]
+
+
+@query("user_rules", facts(line_hits(_corpus_sql(CODE, CODE_INDEX, CODE_EXTENSIONS, "src"), rules_from_rows(USER_RULES)), rules_from_rows(USER_RULES)))
+def user_rules(spark, d):
+    return ops.scan(code(spark, d), rules_from_rows(USER_RULES))
+
+
+# DAG files on storage: one per supplier, some in places or with names that a scan leaves out
+DAG_FILE = """CASE s_suppkey % 7 WHEN 1 THEN '.git/' WHEN 2 THEN 'a/__pycache__/' WHEN 3 THEN 'deep/er/' ELSE '' END || 'dag_' || s_suppkey
+    || CASE s_suppkey % 5 WHEN 1 THEN '.py.bak' WHEN 2 THEN '.sql' ELSE '.py' END"""
+DAG_TEXT = "'# ' || s_name || chr(13) || chr(10) || 'x = ' || s_suppkey || chr(10)"
+
+
+@query(
+    "dag_corpus",
+    f"""SELECT path, replace(content, chr(13) || chr(10), chr(10)) AS content FROM (SELECT {DAG_FILE} AS path, {DAG_TEXT} AS content FROM supplier)
+    WHERE ends_with(path, '.py') AND NOT starts_with(path, '.git/') AND NOT contains(path, '__pycache__')""",
+)
+def dag_corpus(spark, d):
+    """Files written from the suppliers and read back as a corpus of DAGs."""
+    root = scratch_dir(spark, "dags")
+    files = B.table(spark, d, "supplier").selectExpr(f"{DAG_FILE} AS path", f"{DAG_TEXT} AS content")
+    put_texts(files, root)
+    return source.read_dag_corpus(spark, root)
+
+
+@query("clip_text", "SELECT doc_id, substr(text, 1, 500) AS short, substr(text, 1, 2000) AS long FROM documents")
+def clip_text(spark, d):
+    """Messages cut to the lengths that the ledgers' columns hold."""
+    return B.table(spark, d, "documents").select("doc_id", clip("text", 500).alias("short"), clip("text", 2000).alias("long"))

@@ -691,12 +691,17 @@ def report_metadata_check(spark, d):
     return report.metadata_check(B.ledger(spark, d))
 
 
-@query("run_id_format")
+@query(
+    "run_id_format",
+    """SELECT c_custkey, 'iceberg_run_' || strftime(TIMESTAMP '2024-02-29 23:59:07' + to_seconds(c_custkey), '%Y%m%d_%H%M%S') || '_' || substr(md5(c_name), 1, 8) AS run_id,
+    'sheet_' || c_custkey AS excel_file_path, 'RUNNING' AS status, 0 AS total_tables, 0 AS successful_tables, 0 AS failed_tables FROM customer""",
+)
 def run_id_format(spark, d):
-    """Run records as a run starts them, one per customer; the id carries a random part."""
+    """Run records as a run starts them, one per customer, each with a time and a token of its own."""
     from lakeshift.plans import runs as run_plans
 
-    return run_plans.run_records(
-        B.table(spark, d, "customer").select(F.concat(F.lit("sheet_"), F.col("c_custkey").cast("string")).alias("excel_file_path")),
-        "iceberg_",
+    customers = B.table(spark, d, "customer").select(
+        "c_custkey", "c_name", F.concat(F.lit("sheet_"), F.col("c_custkey").cast("string")).alias("excel_file_path")
     )
+    at = F.expr("TIMESTAMP '2024-02-29 23:59:07' + make_interval(0, 0, 0, 0, 0, 0, c_custkey)")
+    return run_plans.run_records(customers, "iceberg_", at, F.md5("c_name"), keep=["c_custkey"]).drop("started_at")

@@ -35,7 +35,7 @@ def test_entry(spark):
 def test_registry():
     assert set(oracle_sql()) <= set(queries())
     own = {name for name in set(queries()) - set(oracle_sql()) if not re.match(r"op\d+_|pipeline$", name)}
-    assert own == {"scan_code", "run_id_format"}
+    assert own == {"scan_code"}
 
 
 PLANNED = [

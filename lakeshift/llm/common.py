@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lakeshift.sources.scratch import shared_dir
+
 #: Bytes of text that one group of a packed exchange should hold.
 GROUP_BYTES = 24 << 20
 
@@ -20,12 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def kept(df: DataFrame) -> DataFrame:
     """Compute a result that several branches read once, and cut its lineage, with a reliable checkpoint.
 
-    The files lie in the shared folder of ``spark.checkpoint.dir``; only a session without one, as in
-    tests on one machine, gets a temporary folder.
+    The files lie in the shared folder of ``spark.checkpoint.dir``; only a session on one machine may be without one and
+    gets a temporary folder.
     """
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="run-"))
+        sc.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint(eager=True)
 
 

@@ -25,6 +25,8 @@ that many walk through is given to several tasks, ``TURN`` blocks' worth of walk
 from __future__ import annotations
 
 from bisect import bisect_right
+from fractions import Fraction
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -77,17 +79,20 @@ def enough(shared, a, b, num: int, den: int):
 def schemes(num: int, den: int) -> list[tuple[int, int, int, float]]:
     """(r, w, least size, greatest size): what a set of a size emits. Linked sets agree in one scheme.
 
-    With t = num / den, sets that differ in m >= 1 elements share at least t m / (1 - t), and at least
-    t times the size of the larger, so a run has at least ``run`` elements for all m if the sets are
-    not too small. The second scheme is for small sets, where only the first bound holds.
+    With ratio = num / (den - num), sets that share i elements and differ in m >= 1 have m <= i / ratio, so a run of at least
+    i / (m + 1) >= ratio * i / (i + ratio) elements. That rounds up to ``long_run``, the ratio rounded up, once i exceeds
+    ``enough_shared``; linked sets share num / den of the larger, so sets from ``floor`` on do. The second scheme is for small
+    sets: there m >= 1 alone gives runs of half the ratio. At num = den only equal sets link, which need no candidates.
     """
-    t = num / den
-    ratio = num / (den - num)
-    long_run = max(1, int(np.ceil(ratio - 1e-9)))
-    floor = int(long_run * (long_run - 1) / t) + 1
-    short_run = max(1, int(np.ceil(ratio / 2 - 1e-9)))
+    if num == den:
+        return []
+    ratio = Fraction(num, den - num)
+    long_run = max(1, ceil(ratio))
+    enough_shared = (long_run - 1) * ratio / (ratio - (long_run - 1))
+    floor = int(enough_shared * den / num) + 1
+    short_run = max(1, ceil(ratio / 2))
     r_long = long_run if long_run <= 4 else (long_run + 1) // 2  # long enough that a shared passage alone seldom makes one
-    return [(r_long, long_run - r_long + 1, floor, np.inf), (short_run, 1, long_run, floor / t)]
+    return [(r_long, long_run - r_long + 1, floor, np.inf), (short_run, 1, long_run, floor * den / num)]
 
 
 def signatures(sets: list[np.ndarray], num: int, den: int) -> tuple[np.ndarray, np.ndarray]:

@@ -8,8 +8,8 @@ features of a text's form minimises the non-negative unbiased risk
 
 with the logistic loss l. Negative labels are used for the prior alone.
 
-The model is fitted on the driver on a sample of at most ``SAMPLE_ROWS`` documents in expectation,
-chosen by a hash of their ids; every whole text is scored.
+The model is fitted on the driver on a sample of at most ``POSITIVE_ROWS`` positives and ``UNLABELLED_ROWS`` unlabelled
+documents in expectation, chosen by a hash of their ids; every whole text is scored.
 """
 
 from __future__ import annotations
@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 from lakeshift.llm.common import REGISTRY, table
 from lakeshift.llm.words import NOT_SPACE, byte_class, slabs
 
-SAMPLE_ROWS = 16_000
+#: Rows to learn from, in expectation.
+POSITIVE_ROWS, UNLABELLED_ROWS = 8_000, 8_000
 ACCEPT = 0.7
 ROUNDS, RATE, DECAY = 300, 0.05, 1e-4
 
@@ -131,33 +132,50 @@ def held_out(key: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
-def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", rows: int = SAMPLE_ROWS) -> Model:
-    """Fit on a sample of the rows that are not held out.
+def _drawn(rows: DataFrame, bound: int, of: int) -> DataFrame:
+    """Rows (key) at a rate that gives ``bound`` of ``of`` in expectation, chosen by a hash of their keys."""
+    steps = 1 << 30
+    draw = F.pmod(F.xxhash64(F.lit("sample"), F.col("key")), F.lit(steps))
+    return rows.where(draw < int(min(1.0, bound / max(1, of)) * steps))
 
-    A document with several labels counts as good only if all say so; null labels are left out. Without
-    any label the prior is 1, and so is every score.
+
+def train(
+    docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
+    positives: int = POSITIVE_ROWS, unlabelled: int = UNLABELLED_ROWS,
+) -> Model:
+    """Fit on a sample of the rows that are not held out: so many trusted positives and so many rows without a label, each in expectation.
+
+    The two are drawn apart, so few labels in a large table are all used. Where every row has a label, the unlabelled rows are
+    drawn from all. A document with several labels counts as good only if all say so; null labels and rows without an
+    id are left out; rows that share an id come together. Null and empty texts have features of zeros, texts of any length are
+    read whole, and other columns are not. Without any label the prior is 1, and so is every score; without positives or rows
+    (as in an empty table) every score is the prior.
     """
     known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg(F.min(label).alias("good"))
     learn = known.where(~held_out("key"))
-    prior = learn.agg(F.avg("good")).first()[0]
-    part = min(1.0, rows / max(1, docs.count()))
-    chosen = F.pmod(F.xxhash64(F.lit("sample"), F.col(key)), F.lit(1 << 20)) < int(part * (1 << 20))
-    sample = docs.where(chosen & ~held_out(key)).select(F.col(key).alias("key"), F.col(text).alias("text")).join(learn, "key", "left")
+    ids = docs.where(F.col(key).isNotNull() & ~held_out(key)).select(F.col(key).alias("key"))
+    counts = learn.agg(F.avg("good").alias("prior"), F.count_if(F.col("good") == 1).alias("good")).first()
+    total = ids.join(learn, "key", "left").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("good").isNull()).alias("free")).first()
+    trusted = _drawn(learn.where("good = 1").select("key"), positives, counts.good)
+    rest = _drawn(ids, unlabelled, total.free or total.n)
+    rest = rest.join(learn, "key", "left_anti") if total.free else rest
+    chosen = trusted.select("key", F.lit(1).alias("good")).unionByName(rest.distinct().select("key", F.lit(0).alias("good")))
+    # ids of the sample, whose size is bounded by the two parameters
+    sample = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(F.broadcast(chosen), "key")
 
     def run(batches):
         for b in batches:
             x = features(b["text"]).astype(np.float32)
             yield pa.RecordBatch.from_arrays([b["good"], pa.array([r.tobytes() for r in x], pa.binary())], ["good", "x"])
 
-    rows_ = sample.select("text", F.col("good").cast("int").alias("good")).where("good is null or good = 1").mapInArrow(run, "good int, x binary")
-    got = rows_.toArrow()
+    got = sample.select("text", "good").mapInArrow(run, "good int, x binary").toArrow()
     x = np.frombuffer(b"".join(got["x"].to_pylist()), np.float32).reshape(-1, _KINDS + 13).astype(np.float64)
-    good = np.array(got["good"].is_valid())
-    return fit(x[good], x[~good], 1.0 if prior is None else float(prior))
+    good = got["good"].to_numpy() == 1
+    return fit(x[good], x[~good], 1.0 if counts.prior is None else float(counts.prior))
 
 
 def score(model: Model) -> Column:
-    """A function of a text column: the score from 0 to 1 of each whole text."""
+    """A function of a text column: the score from 0 to 1 of each whole text, null and empty ones too."""
 
     @F.arrow_udf("double")
     def scored(texts: pa.Array) -> pa.Array:

@@ -189,6 +189,21 @@ def test_ngram_join_of_chains_and_near_copies(spark, block, elements):
     assert got == brute_components(rows, 3, 80, 100)
 
 
+@pytest.mark.parametrize("num", [60, 70, 85, 95, 100])
+def test_ngram_join_at_other_ratios(spark, num):
+    rng, rows = random.Random(num), []
+    for size in (2, 3, 5, 8, 12, 17, 20, 21, 30, 60):
+        base = [f"w{size}x{i}" for i in range(size)]
+        for off in range(0, 8):
+            words_ = base[: max(1, size - off)] + [f"n{len(rows)}y{i}" for i in range(rng.randrange(0, off + 1))]
+            rows.append((len(rows), " ".join(rng.sample(words_, len(words_)))))
+    # 14 of 20 words shared: exactly 0.7
+    rows += [(900, " ".join(f"s{i}" for i in range(14)) + " a1 a2 a3"), (901, " ".join(f"s{i}" for i in range(14)) + " b1 b2 b3")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = collections.Counter(tuple(r) for r in ngram_join.linked(docs, 1, num, 100).collect())
+    assert got == brute_components(rows, 1, num, 100)
+
+
 def test_ngram_join_of_odd_rows(spark, odd, none):
     got = collections.Counter(tuple(r) for r in ngram_join.linked(odd, 3, 90, 100).collect())
     assert got == brute_components([(r.doc_id, r.text) for r in odd.collect()], 3, 90, 100)
@@ -391,6 +406,27 @@ def test_quality_of_odd_rows(spark, odd, none):
     assert {r.s >= quality.ACCEPT for r in odd.select(quality.score(unknown)("text").alias("s")).collect()} == {True}
 
 
+def test_quality_learns_from_few_labels_and_where_all_rows_have_one(spark, monkeypatch):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    known = docs.join(labels, "doc_id").where(quality.held_out())
+
+    def right(model):
+        rows = known.select("quality", quality.score(model)("text").alias("s")).collect()
+        assert len({round(r.s, 6) for r in rows}) > 50
+        return sum((r.s >= quality.ACCEPT) == (r.quality == 1) for r in rows) / len(rows)
+
+    seen, keep = [], quality.fit
+    monkeypatch.setattr(quality, "fit", lambda p, u, prior: seen.append((len(p), len(u))) or keep(p, u, prior))
+    everything = docs.join(labels.select("doc_id"), "doc_id", "left_semi")
+    assert right(quality.train(everything, labels)) >= 0.9
+    few = labels.where("doc_id % 9 = 4")
+    assert right(quality.train(docs, few)) >= 0.85
+    assert seen[1][0] == few.where("quality = 1").where(~quality.held_out()).count()
+    quality.train(docs, labels, positives=40, unlabelled=60)
+    assert 15 < seen[2][0] < 75 and 30 < seen[2][1] < 100
+
+
 # ---------------------------------------------------------------- 8 decontamination
 
 

@@ -48,15 +48,20 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """As many copies of each document as the mix takes; those not taken go. Rows that agree in id, text and source are counted as copies of one."""
-    rows = docs.select("doc_id", "source", word_count("text").alias("size"), _print().alias("print"))
-    key, source, text, copies, one = unused(docs, "_key", "_source", "_print", "_copies", "_one")
-    taken = mixing.systematic(rows).groupBy("doc_id", "source", "print").agg(F.sum("copies").alias("copies")).where("copies > 0")
-    taken = taken.toDF(key, source, text, copies)
-    same = F.col("doc_id").eqNullSafe(F.col(key)) & F.col("source").eqNullSafe(F.col(source)) & (_print() == F.col(text))
-    first = F.row_number().over(Window.partitionBy(key, source, text).orderBy(F.lit(0))) == 1
-    out = docs.join(taken, same).withColumn(one, first).where(F.col(one))
-    return out.withColumn(one, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies)))).select(*docs.columns)
+    """As many copies of each document as the mix takes; those not taken go. Rows that agree in id, text and source are counted as copies of one.
+
+    Rows meet their numbers of copies by two hashes of id, source and text, 96 bits in all and never null; the same
+    exchange of texts serves to tell the first of equal rows.
+    """
+    hashes = F.xxhash64("doc_id", "source", "text"), F.hash(F.lit("mix"), "text", "source", "doc_id")
+    rows = docs.select("doc_id", "source", word_count("text").alias("size"), hashes[0].alias("a"), hashes[1].alias("b"))
+    one_a, one_b, copies, first = unused(docs, "_a", "_b", "_copies", "_first")
+    taken = mixing.systematic(rows).groupBy("a", "b").agg(F.sum("copies").alias(copies)).where(F.col(copies) > 0)
+    taken = taken.withColumnsRenamed({"a": one_a, "b": one_b})
+    out = docs.withColumns({one_a: hashes[0], one_b: hashes[1]}).join(taken, [one_a, one_b])
+    number = F.row_number().over(Window.partitionBy(one_a, one_b).orderBy(F.lit(0)))
+    out = out.withColumn(first, number).where(F.col(first) == 1)
+    return out.withColumn(first, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies)))).select(*docs.columns)
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeshift.functions import cells as C
-from lakeshift.operators.windows import distinct_first
+from lakeshift.operators.windows import distinct_first, segments
 
 
 def normalize_header(df: DataFrame, underscore: bool = True) -> DataFrame:
@@ -107,6 +107,11 @@ def group_control(df: DataFrame, keys: Sequence[str], cell: str = "table_cell",
     )
 
 
+def control_segments(df: DataFrame, keys: Sequence[str], cell: str = "table_cell", order: str = "row_index") -> DataFrame:
+    """(group keys, segment, values): ordered, distinct tokens in segments, for groups that name any number of tables."""
+    return segments(control_tokens(df, keys, cell, order), keys, "token", "position")
+
+
 def control_entries(df: DataFrame, keys: Sequence[str], order: str = "row_index") -> DataFrame:
     """(group keys, sheet position, table, path) rows; rows without a table or path drop.
 

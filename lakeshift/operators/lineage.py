@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from lakeshift.functions import access as A
 from lakeshift.operators.principals import ACCESS_GROUP, IDENTITY_GROUP, MAPPING, POLICY, ROLE
+from lakeshift.operators.windows import segments
 
 
 def _blank(c: str) -> Column:
@@ -78,12 +79,19 @@ def principal_policies(policies: DataFrame) -> DataFrame:
 
 def label_policies(objects: DataFrame, kind: str) -> DataFrame:
     """Policies per role (``kind='role'``) or per group (``kind='group'``), read off mapping labels."""
+    return joined_names(label_links(objects, kind), ["run_id", "name"])
+
+
+def policy_segments(links: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, segment, values): distinct policy names per key in segments, for keys with any number of policies."""
+    return segments(links, keys, "policy_name")
+
+
+def label_links(objects: DataFrame, kind: str) -> DataFrame:
+    """(run_id, name, policy_name, policy_id) of roles or groups, read off mapping labels."""
     name = A.label_role("object_name") if kind == "role" else A.label_group("object_name")
     mapped = objects.where((F.col("object_type") == MAPPING) & (F.coalesce("policy_name", F.lit("")) != ""))
-    named = mapped.select("run_id", name.alias("name"), "policy_name", "policy_id").where(
-        F.coalesce("name", F.lit("")) != ""
-    )
-    return joined_names(named, ["run_id", "name"])
+    return mapped.select("run_id", name.alias("name"), "policy_name", "policy_id").where(F.coalesce("name", F.lit("")) != "")
 
 
 def _open() -> Column:

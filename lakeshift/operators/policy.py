@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from lakeshift.functions import access as A
 from lakeshift.functions import cells as C
-from lakeshift.operators.windows import DEFAULT_BLOCK_ROWS, fill_down
+from lakeshift.operators.windows import DEFAULT_BLOCK_ROWS, fill_down, segments
 
 KEYS = ("sheet_id",)
 ROLE = ("policy_name", "role", "item_type")
@@ -267,6 +267,16 @@ def conflicting_policies(members: DataFrame, keys: Sequence[str] = KEYS) -> Data
     return rowfilter_conflicts(members, keys).select(*keys, "policy_name").distinct()
 
 
+def member_segments(members: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """(keys, policy_name, kind, segment, values): users, groups (roles), permissions and row filters of a policy in segments.
+
+    The form of record for policies with any number of members; :func:`policy_initial_status` has one row per policy.
+    """
+    roles_of = members.select(*keys, "policy_name", F.lit("role").alias("kind"), F.col("role").alias("value")).where(~C.null_like("value"))
+    flat = members.where(F.col("kind") != "group").select(*keys, "policy_name", "kind", "value").unionByName(roles_of)
+    return segments(flat, [*keys, "policy_name", "kind"], "value")
+
+
 def policy_initial_status(members: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """RUNNING row per policy: users, groups (its roles), permissions and the row filter."""
     roles_of = members.select(*keys, "policy_name", F.lit("role").alias("kind"), F.col("role").alias("value"))

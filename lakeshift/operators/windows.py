@@ -1,4 +1,4 @@
-"""Row-order operators: fill-down, first seen, last wins."""
+"""Row-order operators: fill-down, first seen, last wins, lists in segments."""
 
 from __future__ import annotations
 
@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeshift.sources.scratch import stored
+
 DEFAULT_BLOCK_ROWS = 100_000
 
 
@@ -70,3 +72,38 @@ def _extreme_row(df: DataFrame, keys: Sequence[str], order: str, pick) -> DataFr
     return best.select(
         *[F.col(c) if c in keys else F.col("_row").getField(c).alias(c) for c in df.columns]
     )
+
+
+#: Values of one segment of a list.
+SEGMENT = 1000
+
+
+def segments(df: DataFrame, keys: Sequence[str], value: str, order: str | None = None, size: int = SEGMENT) -> DataFrame:
+    """(keys, segment, values): a group's values in order, at most ``size`` to a row, for groups of any size.
+
+    Rows are dealt out by ranges of (keys, order), so a large group lies in many tasks, one after the other; counts per
+    task and group give the rank at which each task begins, and no task sorts more than its range. Null keys are
+    values; null values are left out. Without ``order`` values are sorted and distinct; with it they are as the rows
+    have them, and rows of equal order may lie in any order. :func:`whole_lists` puts segments together at a sink.
+    """
+    keys = list(keys)
+    rows = df.where(F.col(value).isNotNull())
+    rows = rows.select(*keys, F.col(value).alias("_value")).distinct() if order is None else rows.select(*keys, F.col(value).alias("_value"), F.col(order).alias("_order"))
+    by = "_value" if order is None else "_order"
+    # written once: where a range begins is drawn from samples, and must not be drawn again
+    placed = stored(rows.repartitionByRange(*keys, by).withColumn("_place", F.spark_partition_id()), "segments")
+    counts = placed.groupBy(*keys, "_place").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)  # a row per task
+    begins = counts.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_place").alias("_p"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_begin"))
+    same = [placed[k].eqNullSafe(begins[f"_k_{k}"]) for k in keys]
+    inside = Window.partitionBy(*keys, "_place").orderBy(by)
+    ranked = placed.withColumn("_row", F.row_number().over(inside)).join(begins, [*same, F.col("_place") == F.col("_p")])
+    rank = F.col("_begin") + F.col("_row") - 1
+    listed = ranked.groupBy(*keys, F.floor(rank / size).alias("segment")).agg(F.sort_array(F.collect_list(F.struct(rank.alias("r"), F.col("_value").alias("v")))).alias("x"))
+    return listed.select(*keys, "segment", F.transform("x", lambda e: e["v"]).alias("values"))
+
+
+def whole_lists(parts: DataFrame, keys: Sequence[str], name: str = "values") -> DataFrame:
+    """One row per group with its whole list, for sinks whose groups are known to be small."""
+    pieces = F.sort_array(F.collect_list(F.struct("segment", "values")))
+    return parts.groupBy(*keys).agg(F.flatten(F.transform(pieces, lambda p: p["values"])).alias(name))

@@ -165,6 +165,17 @@ def unresolved_tokens(spark, d):
     return ops.unresolved_tokens(_tokens(spark, d, GLOB), _catalog(spark, d))
 
 
+@query(
+    "control_segments",
+    f"""WITH t AS ({TOKENS}), s AS (SELECT *, max(token = '*') OVER (PARTITION BY {KEY_LIST}) AS star FROM t),
+    r AS (SELECT *, (row_number() OVER (PARTITION BY {KEY_LIST} ORDER BY pos) - 1) // 1000 AS segment FROM s WHERE NOT star OR token = '*')
+    SELECT {KEY_LIST}, segment, array_to_string(list(token ORDER BY pos), '|') AS tokens FROM r GROUP BY {KEY_LIST}, segment""",
+)
+def control_segments(spark, d):
+    found = ops.control_segments(_parsed(spark, d), KEYS)
+    return found.withColumn("tokens", F.array_join("values", "|")).drop("values")
+
+
 GROUP_LIST = "dest_database, dest_bucket, source_s3_prefix, dest_s3_prefix"
 META = f"""SELECT row_index, trim(database) AS source_database, {cell('"table"', "'*'")} AS table_cell, {cell("dest_database", "trim(database)")} AS dest_database,
     {s3a(cell("bucket", f"'{BUCKET}'"))} AS dest_bucket, {s3a(cell("source_s3_prefix", "''"))} AS source_s3_prefix,

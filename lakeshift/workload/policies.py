@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lakeshift.operators import windows
 from lakeshift.operators import lineage, policy, principals, report
 from lakeshift.plans import policy_run
 from lakeshift.sources.scratch import stored
@@ -618,3 +619,40 @@ def lineage_role_groups(spark, d):
     return lineage.backfill_identity_groups(lineage.backfill_role_groups(lineage.backfill_roles(mapped)))
 
 
+
+
+SEG = 1000
+
+
+def _segment_sql(rows: str, keys: str, value: str, order: str | None = None) -> str:
+    distinct = "DISTINCT " if order is None else ""
+    by = order or value
+    return (
+        f"SELECT {keys}, segment, array_to_string(list({value} ORDER BY {by}), '|') AS members FROM (SELECT *, (row_number() OVER (PARTITION BY {keys} ORDER BY {by}) - 1) // {SEG} AS segment "
+        f"FROM (SELECT {distinct}{keys}, {value}{', ' + order if order else ''} FROM ({rows}) WHERE {value} IS NOT NULL)) GROUP BY {keys}, segment"
+    )
+
+
+def _text(df):
+    return df.withColumn("members", F.array_join("values", "|")).drop("values")
+
+
+@query("principal_policy_segments", f"WITH {LINKS} " + _segment_sql("SELECT * FROM links WHERE trim(principal) <> ''", "run_id, principal", "policy_name"))
+def principal_policy_segments(spark, d):
+    return _text(lineage.policy_segments(lineage.principal_links(_policies(spark, d)), ["run_id", "principal"]))
+
+
+@query(
+    "policy_member_segments",
+    f"WITH {MEMBERS}, flat AS (SELECT sheet_id, policy_name, kind, value FROM members WHERE kind <> 'group' UNION SELECT sheet_id, policy_name, 'role', role FROM members) "
+    + _segment_sql("SELECT * FROM flat", "sheet_id, policy_name, kind", "value"),
+)
+def policy_member_segments(spark, d):
+    return _text(policy.member_segments(_members(spark, d)))
+
+
+# every policy of a run as one list: lists that are long however few principals there are
+@query("run_policy_segments", f"WITH {LINKS} " + _segment_sql("SELECT run_id, policy_name || ' ' || principal AS member FROM links WHERE trim(principal) <> ''", "run_id", "member"))
+def run_policy_segments(spark, d):
+    links = lineage.principal_links(_policies(spark, d)).select("run_id", F.concat_ws(" ", "policy_name", "principal").alias("member"))
+    return _text(windows.segments(links, ["run_id"], "member"))

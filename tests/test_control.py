@@ -137,3 +137,16 @@ def test_the_largest_number_on_the_sheet_limits_partitions_before_the_shuffle(sp
     assert "WindowGroupLimit" in out._jdf.queryExecution().executedPlan().toString()
     assert sorted(map(tuple, out.collect())) == [("a", "dt=048"), ("a", "dt=049"), ("b", "dt=001"), ("b", "dt=047"), ("b", "dt=048"), ("b", "dt=049")]
     assert apply_control_filters(parts, sheet.where("t = 'z'"), ["t"]).count() == 0
+
+
+def test_lists_in_segments(spark, monkeypatch):
+    rows = [("hot", f"v{i % 700:04d}") for i in range(2000)] + [("one", "x"), (None, "y"), (None, None), ("empty", None)]
+    df = spark.createDataFrame(rows, "k string, v string").repartition(6)
+    got = {(r["k"], r["segment"]): r["values"] for r in windows.segments(df, ["k"], "v", size=50).collect()}
+    assert max(map(len, got.values())) == 50 and {k for k, _ in got} == {"hot", "one", None}
+    assert [x for _, v in sorted((s, v) for (k, s), v in got.items() if k == "hot") for x in v] == [f"v{i:04d}" for i in range(700)]
+    ordered = spark.createDataFrame([("a", f"t{i * 7 % 31}", i) for i in range(31)], "k string, v string, o int")
+    parts = windows.segments(ordered, ["k"], "v", "o", size=4)
+    assert windows.whole_lists(parts, ["k"], "all").first()["all"] == [f"t{i * 7 % 31}" for i in range(31)]
+    assert windows.segments(df.limit(0), ["k"], "v").collect() == []
+

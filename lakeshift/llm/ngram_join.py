@@ -7,7 +7,13 @@ Candidates. Two sets that share i elements and differ in m have, in the global o
 at most m + 1 runs of shared elements, so one run is as long as i / (m + 1); the similarity asked for
 bounds that from below. A run stands side by side in both sets. So each set emits the hashes of r
 neighbouring elements, thinned out by keeping the least of every w neighbours: no run of r + w - 1
-shared elements goes without a common one. Sets that have one in common come into one cluster.
+shared elements goes without a common one. Sets that have one in common are listed together.
+
+Chance hits. Each set has a bitmap of about two bits an element, in which an element flips one bit. Two
+bitmaps differ in no more places than their sets differ in elements, so pairs of a list that differ in
+too many cannot link and are let go; what is left of the lists connects sets to clusters. Lists of more than
+``LONG`` sets, and those of which more than ``CROWD`` sets met in one task already, are combined before the
+shuffle and connected as they stand: that makes clusters larger, never smaller.
 
 Join. The sets of a cluster are stored in a trie in the global order. A set walks down all branches
 at once; the overlap with a shared beginning is counted once for all sets below it, and a subtree is
@@ -44,6 +50,9 @@ ELEMENTS = 2_000_000
 PACK = 1_000_000
 TURN = 8
 FEW = 100_000  # ids that may be broadcast
+CROWD = 64
+LONG = 512
+BITMAP_BITS = 1 << 16  # at most, for the largest sets
 UNPACKED = 1 << 22  # bytes of text that are turned into sets at once
 
 
@@ -122,47 +131,113 @@ def _edge_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([pairs.astype(np.int64).tobytes()], pa.binary())], ["bucket", "pack"])
 
 
-def _stars(h: np.ndarray, sid: np.ndarray):
-    """Edges from each entry to the least id of its hash, and the distinct hashes with these."""
-    order = np.lexsort((sid, h))
-    h, sid = h[order], sid[order]
-    new = np.concatenate(([True], h[1:] != h[:-1])) if len(h) else np.empty(0, bool)
-    hub = sid[new][np.cumsum(new) - 1] if len(h) else sid
-    apart = sid != hub
-    return sid[apart], hub[apart], h[new], sid[new]
+def _lists(h: np.ndarray, sid: np.ndarray, sure: np.ndarray):
+    """The distinct entries (hash, set, sure) in order, and where the list of each hash begins."""
+    order = np.lexsort((~sure, sid, h))
+    h, sid, sure = h[order], sid[order], sure[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (sid[1:] != sid[:-1])
+    h, sid, sure = h[new], sid[new], sure[new]
+    first = np.ones(len(h), bool)
+    first[1:] = h[1:] != h[:-1]
+    return h, sid, sure, np.flatnonzero(first)
+
+
+def _stars(sid: np.ndarray, starts: np.ndarray, crowded: np.ndarray):
+    """Edges from each entry of a crowded list to the first of its list."""
+    sizes = np.diff(np.append(starts, len(sid)))
+    hub = np.repeat(sid[starts], sizes)
+    apart = np.repeat(crowded, sizes) & (sid != hub)
+    return sid[apart], hub[apart]
 
 
 def _emit(sets, ids, buckets, num, den):
     h, s = signatures(sets, num, den)
-    a, b, h, sid = _stars(h, np.array(ids, np.int64)[s])
+    h, sid, sure, starts = _lists(h, np.array(ids, np.int64)[s], np.zeros(len(h), bool))
+    sizes = np.diff(np.append(starts, len(h)))
+    crowded = sizes > CROWD
+    a, b = _stars(sid, starts, crowded)
     if len(a):
         yield _edge_batch(a, b)
-    bucket = (mixed(h) % np.uint64(buckets)).astype(np.int64)
-    order = np.lexsort((sid, bucket))
-    h, sid, cuts, rows = h[order].astype(np.uint32), sid[order], np.searchsorted(bucket[order], np.arange(buckets + 1)), []
-    for i, (lo, hi) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
-        if hi > lo:
-            names, sizes = np.unique(sid[lo:hi], return_counts=True)
-            rows.append((i, np.int64(len(names)).tobytes() + names.tobytes() + sizes.astype(np.uint32).tobytes() + h[lo:hi].tobytes()))
+    stays = ~np.repeat(crowded, sizes)
+    stays[starts] = True  # the first of a crowded list stands for it
+    sure[starts] = crowded
+    h, sid, sure = h[stays], sid[stays], sure[stays]
+    bucket, rows = (mixed(h) % np.uint64(buckets)).astype(np.int64), []
+    for flag in (False, True):
+        use = np.flatnonzero(sure == flag)
+        use = use[np.lexsort((sid[use], bucket[use]))]
+        cuts, low = np.searchsorted(bucket[use], np.arange(buckets + 1)), h.astype(np.uint32)
+        for i, (lo, hi) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
+            if hi > lo:
+                names, counts = np.unique(sid[use[lo:hi]], return_counts=True)
+                head = np.array([len(names), flag], np.int64).tobytes()
+                rows.append((i, head + names.tobytes() + counts.astype(np.uint32).tobytes() + low[use[lo:hi]].tobytes()))
     yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int32()), pa.array([p for _, p in rows], pa.binary())], ["bucket", "pack"])
 
 
-def _cluster_edges(key, rows):
-    packs = rows["pack"].to_pylist()
+def _candidates(key, rows):
+    """Of a bucket, the edges of its crowded lists and the distinct other lists; of packs of edges, their edges."""
+    packs, members = rows["pack"].to_pylist(), []
     if key[0].as_py() == -1:
-        pairs = np.unique(np.concatenate([np.frombuffer(p, np.int64).reshape(-1, 2) for p in packs]), axis=0)
-        a, b = pairs[:, 0], pairs[:, 1]
+        pairs = np.concatenate([np.frombuffer(p, np.int64).reshape(-1, 2) for p in packs])
     else:
-        hashes, ids = [], []
+        hashes, ids, flags = [], [], []
         for p in packs:
-            n = int(np.frombuffer(p, np.int64, 1)[0])
-            hashes.append(np.frombuffer(p, np.uint32, -1, 8 + 12 * n))
-            ids.append(np.repeat(np.frombuffer(p, np.int64, n, 8), np.frombuffer(p, np.uint32, n, 8 + 8 * n)))
-        h, sid = np.concatenate(hashes), np.concatenate(ids)
-        a, b, _, _ = _stars(h, sid)
-        pairs = np.unique(np.stack([a, b], 1), axis=0)
-        a, b = pairs[:, 0], pairs[:, 1]
-    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+            n, flag = np.frombuffer(p, np.int64, 2).tolist()
+            hashes.append(np.frombuffer(p, np.uint32, -1, 16 + 12 * n))
+            ids.append(np.repeat(np.frombuffer(p, np.int64, n, 16), np.frombuffer(p, np.uint32, n, 16 + 8 * n)))
+            flags.append(np.full(len(hashes[-1]), bool(flag)))
+        _, sid, sure, starts = _lists(np.concatenate(hashes), np.concatenate(ids), np.concatenate(flags))
+        sizes = np.diff(np.append(starts, len(sid)))
+        crowded = (sizes > LONG) | np.logical_or.reduceat(sure, starts)
+        pairs = np.stack(_stars(sid, starts, crowded), 1)
+        prints = np.add.reduceat(mixed(sid.view(np.uint64)), starts)
+        use = np.flatnonzero(~crowded & (sizes > 1))
+        use = use[np.unique(prints[use], return_index=True)[1]]
+        members = [sid[starts[i] : starts[i] + sizes[i]] for i in use.tolist()]
+    pairs = np.unique(pairs, axis=0)
+    a, b = (np.concatenate([pairs[:, i], np.zeros(len(members), np.int64)]) for i in (0, 1))
+    lists = [None] * len(pairs) + members
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "members": pa.array(lists, pa.list_(pa.int64()))})
+
+
+# ------------------------------------------------------------------ chance hits
+
+
+def bitmap(s: np.ndarray) -> bytes:
+    """One to four bits an element (``BITMAP_BITS`` at most, 64 at least), a power of two; each element flips one."""
+    bits = min(BITMAP_BITS, max(64, 1 << int(1.6 * len(s)).bit_length()))
+    at = (mixed(s ^ np.uint64(0x5A5A5A5A5A5A5A5A)) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits(np.bincount(at, minlength=bits) & 1).tobytes()
+
+
+def _folded(bits: bytes, to: int) -> np.ndarray:
+    """A bitmap of ``to`` bytes of the same set: bits that fall together flip each other."""
+    return np.bitwise_xor.reduce(np.frombuffer(bits, np.uint64).reshape(-1, to // 8), axis=0)
+
+
+def close(sizes: np.ndarray, maps: list[bytes], num: int, den: int) -> list[tuple[int, int]]:
+    """Enough pairs to connect all sets whose sizes and bitmaps do not rule a link out."""
+    length, n = np.array([len(m) for m in maps]), len(maps)
+    may = np.zeros((n, n), bool)
+    for k in np.unique(length).tolist():
+        here, near = np.flatnonzero(length == k), np.flatnonzero((length >= k) & (length * num <= 2 * k * den))
+        a, b = np.stack([_folded(maps[i], k) for i in here]), np.stack([_folded(maps[i], k) for i in near])
+        step = max(1, (1 << 19) // b.size)
+        for lo in range(0, len(here), step):
+            rows = here[lo : lo + step]
+            differ = np.bitwise_count(a[lo : lo + step, None] ^ b[None]).sum(-1, dtype=np.int64)
+            x, y = sizes[rows][:, None], sizes[near][None]
+            may[np.ix_(rows, near)] = (differ * (num + den) <= (x + y) * (den - num)) & (np.minimum(x, y) * den >= np.maximum(x, y) * num)
+    may |= may.T
+    labels, out = np.arange(n), []
+    for i in range(n):
+        for j in (np.flatnonzero(may[i, i + 1 :] & (labels[i + 1 :] != labels[i])) + i + 1).tolist():
+            if labels[j] != labels[i]:
+                out.append((i, j))
+                labels[labels == labels[j]] = labels[i]
+    return out
 
 
 # ------------------------------------------------------------------ tries
@@ -310,9 +385,9 @@ def linked(docs: DataFrame, n: int, num: int, den: int, key: str = "doc_id", tex
     def measure(batches):
         for b in batches:
             sets = list(text_sets(b["text"], n))
-            yield pa.RecordBatch.from_arrays(
-                [b["key"], pa.array([len(s) for s in sets], pa.int64()), pa.array([set_id(s) if len(s) else None for s in sets], pa.int64()), *(b[c] for c in extra)], ["key", "n_shingles", "sid", *extra]
-            )
+            sids, bits = [set_id(s) if len(s) else None for s in sets], [bitmap(s) if len(s) else None for s in sets]
+            columns = [b["key"], pa.array([len(s) for s in sets], pa.int64()), pa.array(sids, pa.int64()), pa.array(bits, pa.binary()), *(b[c] for c in extra)]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "n_shingles", "sid", "bits", *extra])
 
     def emit(batches):
         sets, ids, count = [], [], 0
@@ -328,11 +403,29 @@ def linked(docs: DataFrame, n: int, num: int, den: int, key: str = "doc_id", tex
         if sets:
             yield from _emit(sets, ids, groups, num, den)
 
-    measured = kept(printed.mapInArrow(measure, ", ".join(["key long, n_shingles long, sid long", *(f"{c} long" for c in extra)])))
+    measured = kept(printed.mapInArrow(measure, ", ".join(["key long, n_shingles long, sid long, bits binary", *(f"{c} long" for c in extra)])))
     packs = rows.select("text").mapInArrow(emit, "bucket int, pack binary")
     spread = F.when(F.col("bucket") < 0, F.pmod(F.xxhash64("pack"), F.lit(groups))).otherwise(F.lit(0)).alias("part")
-    edges = packs.withColumn("part", spread).groupBy("bucket", "part").applyInArrow(_cluster_edges, "a long, b long")
-    clusters = components(edges)
+    found = kept(packs.withColumn("part", spread).groupBy("bucket", "part").applyInArrow(_candidates, "a long, b long, members array<long>"))
+    listed = found.where("members is not null").select("members").distinct()
+    listed = listed.select(F.xxhash64("members").alias("list"), F.explode("members").alias("sid"))
+    maps = measured.where("sid is not null").select("sid", "n_shingles", "bits").dropDuplicates(["sid"])
+    listed = listed.join(maps, "sid").withColumn("place", F.pmod(F.xxhash64("list"), F.lit(groups)).cast("int"))
+
+    def compare(key, rows_):
+        lists, sids, sizes, bits = (rows_[c].combine_chunks() for c in ("list", "sid", "n_shingles", "bits"))
+        lists, sids, sizes = (c.to_numpy(zero_copy_only=False) for c in (lists, sids, sizes))
+        order = np.argsort(lists, kind="stable")
+        a, b = [], []
+        for at in np.split(order, np.flatnonzero(np.diff(lists[order])) + 1):
+            for i, j in close(sizes[at], [bits[k].as_py() for k in at.tolist()], num, den):
+                a.append(sids[at[i]])
+                b.append(sids[at[j]])
+        pairs = np.unique(np.stack([np.array(a, np.int64), np.array(b, np.int64)], 1), axis=0)
+        return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
+
+    edges = listed.groupBy("place").applyInArrow(compare, "a long, b long")
+    clusters = components(edges.unionByName(found.where("members is null").select("a", "b")))
 
     firsts = measured.where("sid is not null").groupBy("sid").agg(F.min("key").alias("key"), F.min("n_shingles").alias("n_shingles"))
     # classes of sizes a little wider than the ratio that links can span, so a link reaches the next class at most
@@ -441,7 +534,7 @@ def linked(docs: DataFrame, n: int, num: int, den: int, key: str = "doc_id", tex
     of = firsts.join(final, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     least = of.groupBy("root").agg(F.min("key").alias("component_id"))
     named = kept(of.join(least, "root").select("sid", "component_id"))
-    out = measured.join(named, "sid", "left")
+    out = measured.drop("bits").join(named, "sid", "left")
     own = F.when(F.col("sid").isNull(), F.col("key")).otherwise(F.col("component_id"))
     return out.select(F.col("key").alias(key), "n_shingles", own.alias("component_id"), *extra)
 

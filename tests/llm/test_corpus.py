@@ -7,6 +7,8 @@ import re
 import zlib
 
 import duckdb
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -204,6 +206,58 @@ def test_ngram_join_at_other_ratios(spark, num):
     assert got == brute_components(rows, 1, num, 100)
 
 
+@pytest.mark.parametrize(("num", "den"), [(60, 100), (80, 100), (90, 100)])
+def test_bitmaps_rule_out_no_link(num, den):
+    rng, sets = np.random.default_rng(num), []
+    for size in (1, 2, 5, 30, 38, 42, 45, 160, 200, 700):
+        base = rng.integers(1, 1 << 63, size, dtype=np.uint64)
+        for off in (0, 0.02, 0.06, 0.1, 0.2, 0.3):
+            fresh = rng.integers(1, 1 << 63, int(size * off), dtype=np.uint64)
+            sets += [np.unique(np.concatenate([base[len(fresh) :], fresh])), np.unique(np.concatenate([base, fresh]))]
+    sets = list({ngram_join.set_id(s): s for s in sets}.values())
+    n, group = len(sets), np.arange(len(sets))
+    for i, j in ngram_join.close(np.array([len(s) for s in sets]), [ngram_join.bitmap(s) for s in sets], num, den):
+        group[group == group[j]] = group[i]
+    pairs = [(i, j, len(np.intersect1d(sets[i], sets[j]))) for i in range(n) for j in range(i)]
+    linked = [(i, j) for i, j, shared in pairs if ngram_join.enough(shared, len(sets[i]), len(sets[j]), num, den)]
+    assert len(linked) > 40 and all(group[i] == group[j] for i, j in linked)
+    assert len(set(group.tolist())) > 5  # and sets that share nothing stay apart
+
+
+def test_crowded_lists_connect_what_they_hold(monkeypatch):
+    """Lists that met in one task, or are too long, become stars; the others come as they are. None is lost in between."""
+    monkeypatch.setattr(ngram_join, "CROWD", 3)
+    monkeypatch.setattr(ngram_join, "LONG", 5)
+    rng = np.random.default_rng(9)
+    lists = [rng.integers(1, 1 << 63, 8, dtype=np.uint64) for _ in range(12)]
+    packs, holds = [], collections.defaultdict(set)
+    for p in range(4):
+        sets = []
+        for i in range(12):
+            mine = [e for e in range(12) if rng.random() < (0.05 + 0.04 * e)]
+            sets.append(np.unique(np.concatenate([rng.integers(1, 1 << 63, 6, dtype=np.uint64), *(lists[e] for e in mine)])))
+        ids = list(range(100 * p, 100 * p + len(sets)))
+        hashes, owner = ngram_join.signatures(sets, 80, 100)
+        for h, s in zip(hashes.tolist(), owner.tolist()):
+            holds[h].add(ids[s])
+        for batch in ngram_join._emit(sets, ids, 3, 80, 100):
+            packs += batch.to_pylist()
+    edges, whole = set(), set()
+    for bucket in {r["bucket"] for r in packs}:
+        rows = pa.table({"pack": pa.array([r["pack"] for r in packs if r["bucket"] == bucket], pa.binary())})
+        for r in ngram_join._candidates((pa.scalar(bucket),), rows).to_pylist():
+            if r["members"] is None:
+                edges.add((r["a"], r["b"]))
+            else:
+                whole.add(tuple(r["members"]))
+    group = {i: i for ids in holds.values() for i in ids}
+    for a, b in edges:
+        group = {k: group[a] if v == group[b] else v for k, v in group.items()}
+    shared = [sorted(ids) for ids in holds.values() if len(ids) > 1]
+    assert edges and whole and max(map(len, whole)) <= 5
+    assert all(tuple(ids) in whole or len({group[i] for i in ids}) == 1 for ids in shared)
+
+
 def test_ngram_join_of_odd_rows(spark, odd, none):
     got = collections.Counter(tuple(r) for r in ngram_join.linked(odd, 3, 90, 100).collect())
     assert got == brute_components([(r.doc_id, r.text) for r in odd.collect()], 3, 90, 100)

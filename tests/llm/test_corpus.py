@@ -290,6 +290,26 @@ def test_shards_match_the_mixture(spark, small):
         assert all(abs(here[s] - n / 40) < 2 for s, n in of.items())
 
 
+@pytest.mark.parametrize("cell", [1000, 7])
+def test_shards_equal_brute_force(spark, small, monkeypatch, cell):
+    """Rank by seeded hash within each source, order by fractional rank, cut into equal stretches; all in plain lists."""
+    monkeypatch.setattr(sharding, "CELL_ROWS", cell)
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "source", F.xxhash64(F.lit(4), "doc_id").alias("h")).collect()
+    cells, of = max(1, len(docs) // cell), collections.defaultdict(list)
+    for r in docs:
+        of[r.source].append(((r.h >> 20) % cells, r.h, r.doc_id))
+    line = []
+    for source, rows in of.items():
+        for rank, (_, h, doc_id) in enumerate(sorted(rows)):
+            line.append(((rank + 0.5) / len(rows), source is None, source or "", h, doc_id))
+    begin = [-(-s * len(line) // 40) for s in range(40)]
+    want = {}
+    for place, (*_, doc_id) in enumerate(sorted(line)):
+        shard = place * 40 // len(line)
+        want[doc_id] = (shard, place - begin[shard])
+    assert {r.doc_id: (r.shard, r.slot) for r in QUERIES["op4_interleaved_shards"](spark, small).collect()} == want
+
+
 def test_shards_of_odd_rows(spark, odd, none, monkeypatch):
     monkeypatch.setattr(sharding, "CELL_ROWS", 2)
     out = sharding.interleave(odd, 4).collect()

@@ -26,6 +26,11 @@ def words_of(text, lower=False):
     return NOT_SPACE.findall(data.lower() if lower else data)
 
 
+def benchmark_words(text):
+    lowered = bytes(b + 32 if 65 <= b <= 90 else b for b in (text or "").encode())
+    return re.findall(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_its_sql(spark, small, name):
     con = duckdb.connect()
@@ -290,11 +295,9 @@ def test_shards_match_the_mixture(spark, small):
         assert all(abs(here[s] - n / 40) < 2 for s, n in of.items())
 
 
-@pytest.mark.parametrize("cell", [1000, 7])
-def test_shards_equal_brute_force(spark, small, monkeypatch, cell):
-    """Rank by seeded hash within each source, order by fractional rank, cut into equal stretches; all in plain lists."""
-    monkeypatch.setattr(sharding, "CELL_ROWS", cell)
-    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "source", F.xxhash64(F.lit(4), "doc_id").alias("h")).collect()
+def brute_shards(rows, cell):
+    """Rank by seeded hash within each source, order by fractional rank, cut into 40 equal stretches; all in plain lists."""
+    docs = rows.select("doc_id", "source", F.xxhash64(F.lit(4), "doc_id").alias("h")).collect()
     cells, of = max(1, len(docs) // cell), collections.defaultdict(list)
     for r in docs:
         of[r.source].append(((r.h >> 20) % cells, r.h, r.doc_id))
@@ -303,11 +306,15 @@ def test_shards_equal_brute_force(spark, small, monkeypatch, cell):
         for rank, (_, h, doc_id) in enumerate(sorted(rows)):
             line.append(((rank + 0.5) / len(rows), source is None, source or "", h, doc_id))
     begin = [-(-s * len(line) // 40) for s in range(40)]
-    want = {}
-    for place, (*_, doc_id) in enumerate(sorted(line)):
-        shard = place * 40 // len(line)
-        want[doc_id] = (shard, place - begin[shard])
-    assert {r.doc_id: (r.shard, r.slot) for r in QUERIES["op4_interleaved_shards"](spark, small).collect()} == want
+    places = ((doc_id, place, place * 40 // len(line)) for place, (*_, doc_id) in enumerate(sorted(line)))
+    return collections.Counter((doc_id, shard, place - begin[shard]) for doc_id, place, shard in places)
+
+
+@pytest.mark.parametrize("cell", [1000, 7])
+def test_shards_equal_brute_force(spark, small, monkeypatch, cell):
+    monkeypatch.setattr(sharding, "CELL_ROWS", cell)
+    got = QUERIES["op4_interleaved_shards"](spark, small).select("doc_id", "shard", "slot").collect()
+    assert collections.Counter(map(tuple, got)) == brute_shards(spark.read.parquet(f"{small}/documents.parquet"), cell)
 
 
 def test_shards_of_odd_rows(spark, odd, none, monkeypatch):
@@ -529,15 +536,31 @@ def test_pipeline_stages_against_brute_force(spark, small, work):
             groups = brute_components([(r.doc_id, r.text) for r in before], 5, 80, 100)
             assert sorted(r.doc_id for r in after) == sorted(c for i, _, c in groups if i == c)
         if name == "benchmark decontamination":
-            hit = {r.doc_id for r in decontaminate.hits(spark.createDataFrame(before), spark.read.parquet(f"{small}/benchmark.parquet")).where("n_hit > 0").collect()}
+            windows = collections.defaultdict(set)  # by their number of words
+            for r in spark.read.parquet(f"{small}/benchmark.parquet").select(F.col("text")).collect():
+                w = tuple(benchmark_words(r.text))
+                windows[min(len(w), 10)] |= {w[i : i + 10] for i in range(max(1, len(w) - 9))} if w else set()
+            hit = set()
+            for r in before:
+                w = tuple(benchmark_words(r.text))
+                if any(w[i : i + n] in found for n, found in windows.items() if n for i in range(len(w) - n + 1)):
+                    hit.add(r.doc_id)
+            assert hit
             assert {r.doc_id for r in after} == {r.doc_id for r in before} - hit
         if name == "mixing sources to target weights":
-            assert max(collections.Counter(r.doc_id for r in after).values()) <= 2
+            copies = collections.Counter(r.doc_id for r in after)
+            con = duckdb.connect()
+            con.sql(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{work}/{k - 1}/*.parquet')")
+            mix = con.sql(f"SELECT doc_id, size, taken FROM ({ORACLES['op10_systematic_mix']})").fetchall()
+            assert {i: n // size for i, size, n in mix if n} == {i: copies[i] for i, size, _ in mix if size and copies[i]}
+            assert max(copies.values()) <= 2
             total = sum(len(words_of(r.text)) for r in before)
             assert abs(sum(len(words_of(r.text)) for r in after) - 1.5 * total) < 0.1 * total
         if name == "sharding":
             sizes = collections.Counter(r.shard for r in after)
             assert len(after) == len(before) and max(sizes.values()) - min(sizes.values()) <= 1
+            given = spark.read.parquet(f"{work}/{k - 1}")
+            assert collections.Counter((r.doc_id, r.shard, r.slot) for r in after) == brute_shards(given, sharding.CELL_ROWS)
         before = after
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,6 +19,11 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 # The characters that Python's str.strip removes.
 WHITESPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
 
@@ -59,8 +66,12 @@ def csv_array(c: Column | str) -> Column:
 
 def last_of_key(entries: Column) -> Column:
     """An array of (key, value) without the entries whose key comes again later."""
-    later = lambda e, i: F.exists(F.slice(entries, i + 2, F.size(entries)), lambda x: x["key"] == e["key"])
-    return F.filter(entries, lambda e, i: ~later(e, i))
+    def last(known: Column) -> Column:
+        later = lambda e, i: F.exists(F.slice(known, i + 2, F.size(known)), lambda x: x["key"] == e["key"])
+        return F.filter(known, lambda e, i: ~later(e, i))
+
+    # the lambdas name the list for every element: it must not be computed anew each time
+    return bound(entries, last)
 
 
 def clip(c: Column | str, n: int) -> Column:

@@ -10,7 +10,7 @@ from urllib.parse import unquote
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lakeshift.functions.cells import col, last_of_key, strip
+from lakeshift.functions.cells import bound, col, last_of_key, strip
 
 # Fixed formats of the filter language.
 LAST_N = r"^last_n_partitions=([0-9]+)$"
@@ -51,7 +51,7 @@ def partition_value(part: Column | str, key: Column | str) -> Column:
     """Decoded value of one key, null when the key is absent (last occurrence wins)."""
     key = F.lit(key) if isinstance(key, str) else key
     hit = F.filter(_segments(col(part)), lambda s: _segment_key(s) == key)
-    return _segment_value(F.try_element_at(hit, F.lit(-1)))
+    return bound(F.try_element_at(hit, F.lit(-1)), _segment_value)
 
 
 def filter_terms(expr: str | None) -> list[str]:

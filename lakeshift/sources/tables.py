@@ -156,6 +156,28 @@ def copy_partitions(
         remove_partitions(spark, dest, theirs.join(ours, [F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in partition_by], "left_anti"))
 
 
+# Fixed value: partitions that a task of write_whole_partitions writes side by side; further ones are sorted first.
+OPEN_FILES = 32
+
+
+def write_whole_partitions(df: DataFrame, dest: str, partition_by: Sequence[str], fmt: str = "parquet") -> None:
+    """Write a new partitioned folder with one file per partition.
+
+    Rows go to their files as they come. Without the setting a task would sort all its rows by partition before, and
+    hold as many of them in memory as it is given.
+    """
+    spark, setting = df.sparkSession, "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(setting, None)
+    spark.conf.set(setting, OPEN_FILES)
+    try:
+        df.repartition(*partition_by).write.partitionBy(*partition_by).format(fmt).save(dest)
+    finally:
+        if before is None:
+            spark.conf.unset(setting)
+        else:
+            spark.conf.set(setting, before)
+
+
 def partition_values(spark: SparkSession, root: str, partition_by: Sequence[str]) -> DataFrame:
     """Values, as text, of the partitions that hold files below ``root``."""
     folders = file_manifest(spark, root).select("partition").distinct()

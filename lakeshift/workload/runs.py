@@ -19,15 +19,22 @@ from lakeshift.workload.registry import query
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
 
-def source_tables(spark, d):
-    """(database, root): line items and orders by partition, a customer table per segment, and a table whose files are gone."""
+def source_tables(spark, d, one_file=False):
+    """(database, root): line items and orders by partition, a customer table per segment, and a table whose files are gone.
+
+    With ``one_file`` each partition is a single file, so that file counts are known; else many tasks write a large one.
+    """
     root, database = scratch_dir(spark, "source_tables"), f"src_{uuid.uuid4().hex[:10]}"
     catalog.ensure_databases(spark, [database])
 
     def put(name, df, fmt, by=()):
         df = source.without_ntz(df)
-        # one file per partition value, so that file counts are known
-        (df.repartition(*by).write.partitionBy(*by) if by else df.coalesce(1).write).format(fmt).save(f"{root}/{name}")
+        if not by:
+            df.coalesce(1).write.format(fmt).save(f"{root}/{name}")
+        elif one_file:
+            source.write_whole_partitions(df, f"{root}/{name}", by, fmt)
+        else:
+            df.hint("rebalance", *by).write.partitionBy(*by).format(fmt).save(f"{root}/{name}")
         ordered = [f for f in df.schema.fields if f.name not in by] + [f for f in df.schema.fields if f.name in by]
         schema = [{"name": f.name, "type": f.dataType.simpleString()} for f in ordered]
         catalog.create_external_table(spark, database, name, schema, list(by), fmt.upper(), f"{root}/{name}")
@@ -71,7 +78,7 @@ def _sheet(spark, database, sheet):
     FROM t WHERE dest <> 'lake_c' UNION ALL SELECT 'gone', 'PARQUET', '', FALSE, 0, 0, 0, FALSE, FALSE, 0, 0, 0, FALSE, 'location does not exist'""",
 )
 def inventory_records(spark, d):
-    database, _ = source_tables(spark, d)
+    database, _ = source_tables(spark, d, one_file=True)
     refs = inventory.catalog_refs(spark, database)
     wanted = [(database, "lineitem", SHEET[0][2]), (database, "orders", SHEET[2][2]), (database, "customer_building", "x=1")]
     filters = spark.createDataFrame(wanted, "source_database string, source_table string, partition_filter string")
@@ -85,7 +92,7 @@ def inventory_records(spark, d):
 
 def planned_copy(spark, d, sheet=SHEET):
     """A copy run over the source tables, not started."""
-    database, root = source_tables(spark, d)
+    database, root = source_tables(spark, d, one_file=True)
     refs = inventory.catalog_refs(spark, database)
     names = spark.createDataFrame([(r.database, r.name) for r in refs], "source_database string, table_name string")
     planned = copy_run.planned_tables(_sheet(spark, database, sheet), names, "s3a://lake")
@@ -128,7 +135,7 @@ def planned_metadata(spark, d):
     """A metadata run over the source tables, not started; files were put at the destination by other means."""
     database, root = source_tables(spark, d)
     refs = inventory.catalog_refs(spark, database)
-    source.without_ntz(B.table(spark, d, "lineitem")).repartition("l_returnflag", "l_linestatus").write.partitionBy("l_returnflag", "l_linestatus").parquet(f"{root}/there/lineitem")
+    source.without_ntz(B.table(spark, d, "lineitem")).hint("rebalance", "l_returnflag", "l_linestatus").write.partitionBy("l_returnflag", "l_linestatus").parquet(f"{root}/there/lineitem")
     customers = B.table(spark, d, "customer")
     for s in SEGMENTS:
         if s != ABSENT:

@@ -11,3 +11,24 @@ def test_partition_string_is_split_once(spark):
     assert row.m == {"a": "2", "b": "/"} and row.a == "2"
     for c in (P.partition_map("p"), P.partition_value("p", "a")):
         assert str(c).count("split(") == 1
+
+
+def test_whole_partitions_are_written_without_a_sort(spark, work, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    from lakeshift.sources.tables import write_whole_partitions
+
+    setting, seen, save = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.save
+
+    def spy(self, *args, **options):
+        seen.append(int(spark.conf.get(setting, "0")))
+        return save(self, *args, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "save", spy)
+    before = spark.conf.get(setting, None)
+    rows = spark.range(0, 1000, 1, 4).selectExpr("id", "id % 3 AS k")
+    write_whole_partitions(rows, f"{work}/t", ["k"])
+    assert seen and min(seen) > 0 and spark.conf.get(setting, None) == before
+    for k in range(3):
+        assert len([f for f in os.listdir(f"{work}/t/k={k}") if f.endswith(".parquet")]) == 1
+    assert spark.read.parquet(f"{work}/t").count() == 1000

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lakeshift.functions.cells import cell_str, col, csv_array, null_like, strip
+from lakeshift.functions.cells import bound, col, csv_array, null_like, strip
 
 # Access types that the three named permissions stand for.
 READ_ACCESS = ["select", "use", "execute", "show", "read_sysinfo"]
@@ -39,7 +39,7 @@ def _words(values: Sequence[str]) -> Column:
 def permission_array(c: Column | str) -> Column:
     """Lower-cased permission list, ``['read']`` when none is given; unknown words stay."""
     parts = F.transform(csv_array(c), F.lower)
-    return F.when(F.size(parts) == 0, _words(["read"])).otherwise(parts)
+    return bound(parts, lambda found: F.when(F.size(found) == 0, _words(["read"])).otherwise(found))
 
 
 def access_types(permission: Column) -> Column:
@@ -141,5 +141,4 @@ def label_group(c: Column | str) -> Column:
 
 def label_list(c: Column | str) -> Column:
     """Policy labels of a cell; null when there are none."""
-    parts = csv_array(cell_str(c, ""))
-    return F.when(F.size(parts) > 0, parts)
+    return bound(csv_array(c), lambda parts: F.when(F.size(parts) > 0, parts))

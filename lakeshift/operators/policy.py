@@ -34,20 +34,23 @@ def fill_context(
     ``*``. A row with a url but no database opens a url block and clears the database. Labels are
     never reset.
     """
-    new_db, new_url = ~C.null_like("database"), _is_url("url")
-    value = {c: C.strip(c) for c in ("database", "url", "tables", "columns", "policy_label")}
+    # each cell is stripped once: the text of a cell that holds one, else null
+    cells = ("database", "url", "tables", "columns", "policy_label")
+    stripped = sheet.withColumns({f"_v_{c}": C.cell_str(c) for c in cells})
+    value = {c: F.col(f"_v_{c}") for c in cells}
+    new_db, new_url = value["database"].isNotNull(), value["url"].isNotNull() & ~value["url"].isin("-", "*")
 
     def listed(c: str) -> Column:
-        return F.when(~C.null_like(c), value[c]).when(new_db, F.lit("*"))
+        return F.coalesce(value[c], F.when(new_db, F.lit("*")))
 
     events = {
         "database": F.when(new_db, value["database"]).when(new_url, F.lit("")),
         "url": F.when(new_url, value["url"]).when(new_db, F.lit("")),
         "tables": listed("tables"),
         "columns": listed("columns"),
-        "policy_label": F.when(~C.null_like("policy_label"), value["policy_label"]),
+        "policy_label": value["policy_label"],
     }
-    filled = fill_down(sheet, events, order, keys, block_rows)
+    filled = fill_down(stripped, events, order, keys, block_rows)
     defaults = {"database": "", "url": "", "tables": "*", "columns": "*"}
     return filled.withColumns({c: F.coalesce(F.col(c), F.lit(d)) for c, d in defaults.items()}).select(*sheet.columns)
 
@@ -156,7 +159,6 @@ def roles(members: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
 
 def explode_resources(checked: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """Accepted rows spread over database x table x column (or the url) and role binding."""
-    ok = checked.where(~F.col("rejected"))
     bindings = F.when(
         F.col("role") != "", F.array(F.struct(F.col("role").alias("role"), F.col("users").alias("users")))
     ).otherwise(
@@ -164,17 +166,25 @@ def explode_resources(checked: DataFrame, keys: Sequence[str] = KEYS) -> DataFra
     )
 
     def parts(c: str) -> Column:
-        listed = C.csv_array(c)
-        return F.when(F.size(listed) > 0, listed).otherwise(F.array(F.lit("*")))
+        return C.bound(C.csv_array(c), lambda listed: F.when(F.size(listed) > 0, listed).otherwise(F.array(F.lit("*"))))
 
     is_url = F.col("has_url")
     one = F.array(F.lit("*"))
     databases = F.filter(C.csv_array("database"), lambda d: ~C.null_like(d))
+    # lists are made once per sheet row, before it is spread
+    ok = checked.where(~F.col("rejected")).withColumns(
+        {
+            "_databases": F.when(is_url, one).otherwise(databases),
+            "_tables": F.when(is_url, one).otherwise(parts("tables")),
+            "_columns": F.when(is_url, one).otherwise(parts("columns")),
+            "_labels": A.label_list("policy_label"),
+        }
+    )
     spread = (
         ok.withColumn("binding", F.explode(bindings))
-        .select("*", F.posexplode(F.when(is_url, one).otherwise(databases)).alias("p1", "schema_name"))
-        .select("*", F.posexplode(F.when(is_url, one).otherwise(parts("tables"))).alias("p2", "table_name"))
-        .select("*", F.posexplode(F.when(is_url, one).otherwise(parts("columns"))).alias("p3", "column_name"))
+        .select("*", F.posexplode("_databases").alias("p1", "schema_name"))
+        .select("*", F.posexplode("_tables").alias("p2", "table_name"))
+        .select("*", F.posexplode("_columns").alias("p3", "column_name"))
     )
     table_only = lambda c: F.when(~is_url, F.col(c))
     return spread.select(
@@ -189,7 +199,7 @@ def explode_resources(checked: DataFrame, keys: Sequence[str] = KEYS) -> DataFra
         table_only("table_name").alias("table_name"),
         table_only("column_name").alias("column_name"),
         F.when(is_url, F.col("url")).alias("url"),
-        A.label_list("policy_label").alias("labels"),
+        F.col("_labels").alias("labels"),
         F.col("binding.role").alias("role"),
         "item_type",
         "permissions",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 
@@ -16,26 +17,27 @@ from lakeshift.sources.scratch import stored
 class CompiledSheet:
     """Compiled policies of one or more sheets.
 
-    ``members`` and ``headers`` both read the stored expansion of the sheet, so the fill-down and
-    the expansion run once however many plans are made from them.
+    ``members`` and ``headers`` both read the stored expansion of the sheet, and are stored
+    themselves, so all of it runs once however many plans are made from them.
     """
 
     exploded: DataFrame
     keys: Sequence[str]
 
-    @property
+    @cached_property
     def members(self) -> DataFrame:
-        return policy.policy_members(self.exploded, self.keys)
+        return stored(policy.policy_members(self.exploded, self.keys), "policy_members")
 
-    @property
+    @cached_property
     def headers(self) -> DataFrame:
-        return policy.policy_headers(self.exploded, self.keys)
+        return stored(policy.policy_headers(self.exploded, self.keys), "policy_headers")
 
 
 def compile_sheet(
     sheet: DataFrame, keys: Sequence[str] = policy.KEYS, order: str = "row_index", block_rows: int = DEFAULT_BLOCK_ROWS
 ) -> CompiledSheet:
-    checked = policy.check_rows(policy.fill_context(sheet, keys, order, block_rows))
+    # stored: a filter on what the checks found would be pushed below them, and compute each cell again for every use
+    checked = stored(policy.check_rows(policy.fill_context(sheet, keys, order, block_rows)).drop("reasons"), "policy_checked")
     return CompiledSheet(stored(policy.explode_resources(checked, keys), "policy_rows"), keys)
 
 

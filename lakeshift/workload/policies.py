@@ -192,7 +192,7 @@ def rowfilter_conflicts(spark, d):
     SELECT * EXCLUDE (n, f), policy_name AS policy_id, CASE WHEN n = 1 THEN f END AS rowfilter, 'RUNNING' AS status FROM s""",
 )
 def policy_initial_status(spark, d):
-    return policy.policy_initial_status(_members(spark, d)).select(
+    return policy.policy_initial_status(_compiled(spark, d).members).select(
         *KEYS, "policy_name", "policy_id", "rowfilter", "status",
         *[F.array_join(c, ",").alias(f"{c}_list") for c in ("users", "groups", "permissions")],
     )

@@ -32,3 +32,13 @@ def test_whole_partitions_are_written_without_a_sort(spark, work, monkeypatch):
     for k in range(3):
         assert len([f for f in os.listdir(f"{work}/t/k={k}") if f.endswith(".parquet")]) == 1
     assert spark.read.parquet(f"{work}/t").count() == 1000
+
+
+def test_compiled_policies_are_stored_once(spark):
+    from lakeshift.plans import policy_run
+
+    columns = ["role", "database", "tables", "columns", "url", "permissions", "groups", "users", "rowfilter", "policy_label", "item_type"]
+    sheet = spark.createDataFrame([("s", 1, "r", "d", "t, u", None, None, "read", "g", "a, b", None, " x ,y", None)], "sheet_id string, row_index long, " + ", ".join(f"`{c}` string" for c in columns))
+    compiled = policy_run.compile_sheet(sheet)
+    assert compiled.members is compiled.members and all("policy_members" in f for f in compiled.members.inputFiles())
+    assert {(r.policy_name, tuple(r.labels)) for r in compiled.headers.collect()} == {("iceberg.d.t", ("x", "y")), ("iceberg.d.u", ("x", "y"))}

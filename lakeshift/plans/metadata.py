@@ -29,11 +29,13 @@ def planned_tables(strategy: str, sheet: DataFrame, default_bucket: str, tables:
     table_name, location) and drops names the catalog lacks; ``iceberg`` takes one table path per
     sheet row.
     """
-    parsed = control.parse_metadata_control(sheet, default_bucket)
+    # stored: tokens and entries read the parsed cells many times, and their filters would be pushed below the parsing
+    parsed = stored(control.parse_metadata_control(sheet, default_bucket), "parsed_sheet")
     keys = ["source_database", *GROUPS]
     if strategy == "hive":
+        tokens = stored(control.control_tokens(parsed, keys), "tokens")  # plain names and patterns are taken from it, the latter twice
         found = control.resolve_tokens(
-            control.control_tokens(parsed, keys), tables.select("source_database", "table_name"), ["source_database"], GROUPS, strict=True
+            tokens, tables.select("source_database", "table_name"), ["source_database"], GROUPS, strict=True
         ).join(tables, ["source_database", "table_name"])
     elif strategy == "iceberg":
         found = control.control_entries(parsed, keys).withColumnRenamed("source_table_path", "location")

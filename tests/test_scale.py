@@ -42,3 +42,13 @@ def test_compiled_policies_are_stored_once(spark):
     compiled = policy_run.compile_sheet(sheet)
     assert compiled.members is compiled.members and all("policy_members" in f for f in compiled.members.inputFiles())
     assert {(r.policy_name, tuple(r.labels)) for r in compiled.headers.collect()} == {("iceberg.d.t", ("x", "y")), ("iceberg.d.u", ("x", "y"))}
+
+
+def test_metadata_sheet_is_parsed_once(spark):
+    from lakeshift.plans import metadata
+
+    columns = ["database", "table", "dest_database", "dest_bucket", "source_s3_prefix", "dest_s3_prefix", "source_table_path"]
+    sheet = spark.createDataFrame([(1, "d", "t", None, None, None, None, "s3://b/t")], "row_index long, " + ", ".join(f"`{c}` string" for c in columns))
+    found = metadata.planned_tables("iceberg", sheet, "s3a://lake")
+    assert [r.location for r in found.collect()] == ["s3a://b/t"]
+    assert found.inputFiles() and all("parsed_sheet" in f for f in found.inputFiles())

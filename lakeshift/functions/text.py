@@ -7,6 +7,8 @@ bytes. Most lines hold none of the words a rule is about, so the literal test an
 from __future__ import annotations
 
 import re
+from collections import Counter
+from collections.abc import Sequence
 from functools import reduce
 from re import _constants as ops
 from re import _parser as parser
@@ -56,7 +58,38 @@ def _required(tokens) -> list[str] | None:
 
 def folded(c: Column) -> Column:
     """Text as ignore-case matching sees it."""
-    return F.lower(F.translate(c, FOLD_FROM, FOLD_TO))
+    # characters are looked up one by one, which texts of single-byte characters do not need
+    return F.lower(F.when(F.octet_length(c) == F.length(c), c).otherwise(F.translate(c, FOLD_FROM, FOLD_TO)))
+
+
+#: Length of the shortest text that stands for a group of words.
+SHORTEST_PART = 3
+
+
+def shared_parts(words_of: Sequence[Sequence[str]]) -> list[tuple[str | None, list[int]]]:
+    """(part, numbers) groups: ``part``, in lower case, stands in every word of every entry numbered; None for entries that share none.
+
+    Where a lower-cased text lacks the part, none of the group's words is in it: one test answers for the group.
+    """
+    def parts(words: Sequence[str]) -> set[str]:
+        if not words or not all(w.isascii() for w in words):
+            return set()
+        low = [w.lower() for w in words]
+        first = min(low, key=len)
+        found = {first[i:j] for i in range(len(first)) for j in range(i + SHORTEST_PART, len(first) + 1)}
+        return {p for p in found if all(p in w for w in low)}
+
+    left = {n: parts(words) for n, words in enumerate(words_of)}
+    groups: list[tuple[str | None, list[int]]] = []
+    while True:
+        counts = Counter(p for ps in left.values() for p in ps)
+        # many entries, but also a long part, which fewer texts hold by chance
+        best = max((p for p in counts if counts[p] > 1), key=lambda p: ((counts[p] - 1) * min(len(p), 8), p), default=None)
+        if best is None:
+            break
+        groups.append((best, [n for n, ps in left.items() if best in ps]))
+        left = {n: ps for n, ps in left.items() if best not in ps}
+    return [*groups, (None, list(left))] if left else groups
 
 
 def may_match(c: Column, pattern: str, ignore_case: bool = False, fold: Column | None = None) -> Column:

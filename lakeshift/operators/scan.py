@@ -16,14 +16,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeshift.functions.cells import strip
-from lakeshift.functions.text import folded, matches, may_match
+from lakeshift.functions.cells import bound, strip
+from lakeshift.functions.text import folded, matches, may_match, required_literals, shared_parts
 from lakeshift.rules.model import CATEGORIES, SEVERITIES, Rule
+from lakeshift.sources.scratch import stored
 
 HITS = "path string, line_number int, rule_id string, line_text string"
 # Characters that end a line, as Python's str.splitlines sees them.
-LINE_ENDS = r"\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029"
-LINE_WITH_END = rf"[^{LINE_ENDS}]*(?:\r\n|[{LINE_ENDS}])|[^{LINE_ENDS}]+"
+LINE_ENDS = r"\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028-\u2029"
+# A run of other characters is followed by a line end or nothing, so no match ever goes back.
+LINE_WITH_END = rf"[^{LINE_ENDS}]+(?:\r\n|[{LINE_ENDS}]|\z)|\r\n|[{LINE_ENDS}]"
 
 
 def split_lines(content: Column | str) -> Column:
@@ -79,11 +81,6 @@ def _gated(corpus: DataFrame, gates: dict[tuple[str, ...], str]) -> DataFrame:
     return flagged.where(reduce(lambda a, b: a | b, [F.col(g) for g in gates.values()]))
 
 
-def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with the value computed once, however often ``use`` names it."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 #: Values that a running total goes through one by one; longer lists are totals of such blocks.
 BLOCK = 256
 
@@ -106,9 +103,9 @@ def running_totals(values: Column) -> Column:
     def of(values: Column) -> Column:
         numbers = F.sequence(F.lit(0), F.floor((F.size(values) - 1) / BLOCK).cast("int"))
         inner = F.transform(numbers, lambda b: F.aggregate(F.slice(values, b * BLOCK + 1, BLOCK), start, grow))
-        return F.when(F.size(values) == 0, F.array().cast("array<bigint>")).otherwise(_bound(inner, of_blocks))
+        return F.when(F.size(values) == 0, F.array().cast("array<bigint>")).otherwise(bound(inner, of_blocks))
 
-    return _bound(F.transform(values, lambda x: x.cast("bigint")), of)
+    return bound(F.transform(values, lambda x: x.cast("bigint")), of)
 
 
 HIT = "array<struct<line_number:int,rule:int,line_text:string>>"
@@ -135,9 +132,9 @@ def text_hits(content: Column, rule: Rule, number: int) -> Column:
         gaps = F.regexp_extract_all(content, pattern, F.lit(1))
         before = F.slice(F.concat(F.array(F.lit("")), found), F.lit(1), F.size(found))
         steps = F.zip_with(gaps, before, lambda g, m: ends(g) + ends(m))
-        return _bound(running_totals(steps), lambda lines: hits(found, lines))
+        return bound(running_totals(steps), lambda lines: hits(found, lines))
 
-    return _bound(F.regexp_extract_all(content, pattern, F.lit(2)), of).cast(HIT)
+    return bound(F.regexp_extract_all(content, pattern, F.lit(2)), of).cast(HIT)
 
 
 def _check_spanning(rule: Rule) -> None:
@@ -196,11 +193,17 @@ def _scanned(corpus: DataFrame, rules: Sequence[Rule], max_bytes: int | None = N
         found = matched(r, F.col("line"), F.col("folded"))
         return F.when(F.col("runs") & found if r.ast_aware else found, F.lit(n))
 
-    return _exploded_hits(rows, [hit(n, r) for n, r in line_rules])
+    # rules whose words share a part are looked at only where the part is in the line
+    words = [required_literals(r.pattern, re.IGNORECASE if "i" in r.flags else 0) for _, r in line_rules]
+    marks = []
+    for part, numbers in shared_parts(words):
+        each = F.array(*[hit(*line_rules[n]) for n in numbers])
+        marks.append(each if part is None else F.when(F.col("folded").contains(part), each))
+    return _exploded_hits(rows, marks)
 
 
 def _exploded_hits(rows: DataFrame, hits: list[Column]) -> DataFrame:
-    """One row per rule found in a line, after the whole-text hits that a row may carry.
+    """One row per rule found in a line, after the whole-text hits that a row may carry; ``hits`` are lists of rules.
 
     The line's text passes through a higher-order function, which keeps this projection out of
     whole-stage code generation: hundreds of rule expressions then become many small methods that
@@ -209,9 +212,9 @@ def _exploded_hits(rows: DataFrame, hits: list[Column]) -> DataFrame:
     """
     text = F.get(F.transform(F.array("line"), strip), F.lit(0))
     # the rules stand in a list of their own: within the function that follows they would be interpreted
-    marks = F.array(*hits) if hits else F.array().cast("array<int>")
+    marks = F.array(*hits) if hits else F.array().cast("array<array<int>>")
     marked = rows.select("path", "line_number", text.alias("text"), "hits", marks.alias("marks"))
-    found = F.transform(F.array_compact("marks"), lambda n: F.struct(F.col("line_number"), n.alias("rule"), F.lit(None).cast("string").alias("line_text")))
+    found = F.transform(F.array_compact(F.flatten(F.array_compact("marks"))), lambda n: F.struct(F.col("line_number"), n.alias("rule"), F.lit(None).cast("string").alias("line_text")))
     single = marked.select("path", "text", F.explode(F.concat("hits", found)).alias("h"))
     return single.select("path", "h.line_number", "h.rule", F.coalesce("h.line_text", "text").alias("line_text"))
 
@@ -336,7 +339,8 @@ def group_rank(by: str, c: str) -> Column:
 def ordered_issues(issues: DataFrame, by: str) -> DataFrame:
     """Issues sorted by group, then place: the grouped list as rows."""
     column = GROUP_COLUMN[by]
-    return issues.withColumn("group_label", F.col(column)).orderBy(
+    # a sort reads its input twice, first to draw the ranges: the scan must not run for both
+    return stored(issues, "issues").withColumn("group_label", F.col(column)).orderBy(
         group_rank(by, column), column, "path", "line_number", "rule_id"
     )
 

@@ -52,3 +52,15 @@ def test_metadata_sheet_is_parsed_once(spark):
     found = metadata.planned_tables("iceberg", sheet, "s3a://lake")
     assert [r.location for r in found.collect()] == ["s3a://b/t"]
     assert found.inputFiles() and all("parsed_sheet" in f for f in found.inputFiles())
+
+
+def test_rules_share_tests_and_sorts_do_not_scan_twice(spark):
+    from lakeshift.functions.text import shared_parts
+    from lakeshift.operators import scan
+
+    groups = shared_parts([["hive.exec"], ["hive.x", "y.hive."], ["print"], []])
+    assert [(p, sorted(n)) for p, n in groups] == [("hive.", [0, 1]), (None, [2, 3])]
+    issues = spark.createDataFrame([("b", 2, "R", "t", "low", "c", "x"), ("a", 1, "R", "t", "low", "c", "x")], "path string, line_number int, rule_id string, title string, severity string, category string, line_text string")
+    ordered = scan.ordered_issues(issues, "category")
+    assert [r.path for r in ordered.collect()] == ["a", "b"]
+    assert ordered.inputFiles() and all("/issues-" in f for f in ordered.inputFiles())

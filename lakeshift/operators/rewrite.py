@@ -9,13 +9,14 @@ from __future__ import annotations
 
 import re
 from functools import reduce
+from itertools import groupby
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeshift.functions.cells import WHITESPACE, strip
-from lakeshift.functions.text import matches
+from lakeshift.functions.cells import WHITESPACE, bound, strip
+from lakeshift.functions.text import folded, matches, shared_parts
 from lakeshift.operators.scan import LINE_ENDS, LINE_WITH_END
 from lakeshift.rules import rewrite as R
 
@@ -217,8 +218,31 @@ def _findings(s: Column) -> Column:
         )
         for c in line_checks(s)
     ]
-    imported = import_finding(s)
-    return F.array(F.when(imported["new_code"] != s, imported), *others)
+    imported = bound(import_finding(s), lambda f: F.when(f["new_code"] != s, f))
+    # checks of a kind share few words, and most lines hold none of them
+    kinds = [list(g) for _, g in groupby(zip(line_checks(s), others), key=lambda x: x[0].category)]
+    blocks = [F.array(*[finding for _, finding in g]) for g in kinds]
+    guards = [KIND_WORDS.get(g[0][0].category) for g in kinds]
+    low = folded(s)
+    return F.flatten(F.array_compact(F.array(F.array(imported), *[b if w is None else F.when(_any_part(low, w), b) for w, b in zip(guards, blocks)])))
+
+
+# Words of which one stands in every line that a check of the kind finds something in.
+KIND_WORDS = {
+    "DAG Parameters": list(R.DAG_PARAMETERS),
+    "Context Variables": ["context", "kwargs"],
+    "Trigger Rules": ["TriggerRule."],
+    "Operator Rename": list(R.OPERATOR_CLASSES),
+    "Connection Parameters": list(R.CONNECTION_PARAMETERS),
+}
+
+
+def _any_part(low: Column, words: list[str]) -> Column:
+    """False only where the lower-cased text holds none of the words; one test for words that share a part."""
+    parts = []
+    for part, numbers in shared_parts([[w] for w in words]):
+        parts += [words[n].lower() for n in numbers] if part is None else [part]
+    return reduce(lambda a, b: a | b, [low.contains(p) for p in parts])
 
 
 # Words of which at least one stands in every line some check is about.
@@ -230,8 +254,8 @@ TRIGGERS = [
 
 
 def worth_checking(s: Column) -> Column:
-    """Cheap test that rules out most lines: one pass for all trigger words."""
-    return s.rlike(U + r"from\s+airflow|" + "|".join(re.escape(w) for w in TRIGGERS))
+    """Cheap test that rules out most lines: parts of the trigger words."""
+    return s.rlike(U + r"from\s+airflow") | _any_part(folded(s), TRIGGERS)
 
 
 def code_lines(corpus: DataFrame) -> DataFrame:

@@ -64,3 +64,13 @@ def test_rules_share_tests_and_sorts_do_not_scan_twice(spark):
     ordered = scan.ordered_issues(issues, "category")
     assert [r.path for r in ordered.collect()] == ["a", "b"]
     assert ordered.inputFiles() and all("/issues-" in f for f in ordered.inputFiles())
+
+
+def test_import_chain_stands_once_in_a_finding(spark):
+    from pyspark.sql import functions as F
+
+    from lakeshift.operators import rewrite
+
+    assert str(rewrite._findings(F.col("s"))).count("SimpleHttpOperator") <= str(rewrite.import_finding(F.col("s"))).count("SimpleHttpOperator") + str(rewrite.line_checks(F.col("s"))).count("SimpleHttpOperator")
+    found = rewrite.rewrite_findings(spark.createDataFrame([("f", "x = 1\r\nt = DummyOperator(fail_stop=1)")], "path string, content string"))
+    assert [(r.line_number, r.category) for r in found.orderBy("finding_number").collect()] == [(2, "DAG Parameters"), (2, "Operator Rename")]

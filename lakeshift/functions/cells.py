@@ -28,6 +28,13 @@ def bound(value: Column, use: Callable[[Column], Column]) -> Column:
 WHITESPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
 
 
+# The same as regular expressions: a null-like cell, and what lies between parts of a comma list or around it. Neither goes back;
+# common characters are told apart by the first class alone.
+_W = r"[[^!-~]&&[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]]"
+NULL_CELL = rf"^{_W}*+(?:(?i:nan|null|none))?+{_W}*+\z"
+BETWEEN_PARTS = rf",{_W}*+|(?<!{_W}){_W}++(?:,{_W}*+|\z)|^{_W}++"
+
+
 def strip(c: Column | str) -> Column:
     """Trim all whitespace, not only blanks, so cells pasted with tabs or newlines match."""
     return F.btrim(col(c).cast("string"), F.lit(WHITESPACE))
@@ -36,7 +43,7 @@ def strip(c: Column | str) -> Column:
 def null_like(c: Column | str) -> Column:
     """True for null, blank and null-word cells; never null itself."""
     c = col(c)
-    return c.isNull() | F.lower(strip(c)).isin(NULL_WORDS)
+    return c.isNull() | c.cast("string").rlike(NULL_CELL)
 
 
 def cell_str(c: Column | str, default: Column | str | None = None) -> Column:
@@ -58,10 +65,9 @@ def parse_setting(c: Column | str, default: bool = True) -> Column:
 
 def csv_array(c: Column | str) -> Column:
     """Comma list -> trimmed, non-empty parts in order; empty array for a null-like cell."""
-    parts = F.transform(F.split(col(c).cast("string"), ","), strip)
-    return F.when(null_like(c), F.array().cast("array<string>")).otherwise(
-        F.filter(parts, lambda x: x != "")
-    )
+    # whitespace goes from the whole cell: a lambda per part would be interpreted
+    bare = F.regexp_replace(col(c).cast("string"), BETWEEN_PARTS, ",")
+    return F.when(null_like(c), F.array().cast("array<string>")).otherwise(F.array_remove(F.split(bare, ","), ""))
 
 
 def last_of_key(entries: Column) -> Column:

@@ -157,6 +157,25 @@ def roles(members: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     return members.select(*keys, "role").distinct()
 
 
+def resource_lists(checked: DataFrame) -> DataFrame:
+    """Checked rows with the lists that :func:`explode_resources` spreads, made once per sheet row."""
+    is_url = F.col("has_url")
+    one = F.array(F.lit("*"))
+    databases = F.filter(C.csv_array("database"), lambda d: ~C.null_like(d))
+    lists = checked.withColumns(
+        {"_databases": F.when(is_url, one).otherwise(databases), "_tables": C.csv_array("tables"), "_columns": C.csv_array("columns"), "_labels": C.csv_array("policy_label")}
+    )
+
+    def parts(c: str) -> Column:
+        return F.when(~is_url & (F.size(c) > 0), F.col(c)).otherwise(one)
+
+    return lists.withColumns({"_tables": parts("_tables"), "_columns": parts("_columns"), "_labels": F.when(F.size("_labels") > 0, F.col("_labels"))})
+
+
+#: What :func:`explode_resources` reads of rows that have their lists, beside the keys.
+LISTED = ("row_index", "role", "item_type", "permissions", "groups", "users", "rowfilter", "url", "has_url", "rejected", "_databases", "_tables", "_columns", "_labels")
+
+
 def explode_resources(checked: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """Accepted rows spread over database x table x column (or the url) and role binding."""
     bindings = F.when(
@@ -164,24 +183,12 @@ def explode_resources(checked: DataFrame, keys: Sequence[str] = KEYS) -> DataFra
     ).otherwise(
         F.transform("users", lambda u: F.struct(F.concat(F.lit("role_"), u).alias("role"), F.array(u).alias("users")))
     )
-
-    def parts(c: str) -> Column:
-        return C.bound(C.csv_array(c), lambda listed: F.when(F.size(listed) > 0, listed).otherwise(F.array(F.lit("*"))))
-
     is_url = F.col("has_url")
-    one = F.array(F.lit("*"))
-    databases = F.filter(C.csv_array("database"), lambda d: ~C.null_like(d))
-    # lists are made once per sheet row, before it is spread
-    ok = checked.where(~F.col("rejected")).withColumns(
-        {
-            "_databases": F.when(is_url, one).otherwise(databases),
-            "_tables": F.when(is_url, one).otherwise(parts("tables")),
-            "_columns": F.when(is_url, one).otherwise(parts("columns")),
-            "_labels": A.label_list("policy_label"),
-        }
-    )
+    ok = checked.where(~F.col("rejected"))
+    if "_databases" not in checked.columns:
+        ok = resource_lists(ok)
     spread = (
-        ok.withColumn("binding", F.explode(bindings))
+        ok.select(*keys, *LISTED).withColumn("binding", F.explode(bindings))
         .select("*", F.posexplode("_databases").alias("p1", "schema_name"))
         .select("*", F.posexplode("_tables").alias("p2", "table_name"))
         .select("*", F.posexplode("_columns").alias("p3", "column_name"))
@@ -221,17 +228,15 @@ def policy_headers(exploded: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame
 
 def policy_members(exploded: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """Distinct members of every (policy, role, item_type)."""
-    def tagged(c: str, kind: str) -> Column:
-        return F.transform(c, lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value")))
-
-    rowfilter = F.filter(F.array("rowfilter"), lambda v: v != "")
-    values = F.concat(
-        tagged("permissions", "permission"),
-        tagged("groups", "group"),
-        tagged("users", "user"),
-        F.transform(rowfilter, lambda v: F.struct(F.lit("rowfilter").alias("kind"), v.alias("value"))),
-    )
-    return exploded.select(*keys, *ROLE, F.inline(values)).distinct()
+    kinds = ("permission", "group", "user", "rowfilter")
+    listed = exploded.dropna(subset=["permissions", "groups", "users"])
+    rowfilter = F.when(F.col("rowfilter") != "", F.array("rowfilter"))
+    lists = F.array("permissions", "groups", "users", rowfilter)
+    # lists of a row one after the other, then their values: nothing is built or tagged per value
+    by_kind = listed.select(*keys, *ROLE, F.posexplode(lists).alias("_kind", "_values"))
+    rows = by_kind.select(*keys, *ROLE, "_kind", F.explode("_values").alias("value"))
+    kind = F.get(F.array(*[F.lit(k) for k in kinds]), F.col("_kind"))
+    return rows.distinct().select(*keys, *ROLE, kind.alias("kind"), "value")
 
 
 def _sorted_values(kind: str) -> Column:
@@ -289,18 +294,20 @@ def member_segments(members: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame
 
 def policy_initial_status(members: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """RUNNING row per policy: users, groups (its roles), permissions and the row filter."""
-    roles_of = members.select(*keys, "policy_name", F.lit("role").alias("kind"), F.col("role").alias("value"))
-    flat = members.select(*keys, "policy_name", "kind", "value").unionByName(roles_of.where(C.null_like("value") == False))  # noqa: E712
+    own = ~C.null_like("role")
+
+    def values(kind: str) -> Column:
+        return F.sort_array(F.collect_set(F.when(F.col("kind") == kind, F.col("value"))))
+
     filters = F.col("_filters")
     return (
-        flat.where(F.col("kind") != "group")
-        .distinct()
+        members.where((F.col("kind") != "group") | own)
         .groupBy(*keys, "policy_name")
         .agg(
-            _sorted_values("user").alias("users"),
-            _sorted_values("role").alias("groups"),
-            _sorted_values("permission").alias("permissions"),
-            _sorted_values("rowfilter").alias("_filters"),
+            values("user").alias("users"),
+            F.sort_array(F.collect_set(F.when(own, F.col("role")))).alias("groups"),
+            values("permission").alias("permissions"),
+            values("rowfilter").alias("_filters"),
         )
         .withColumns(
             {

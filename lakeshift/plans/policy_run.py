@@ -17,8 +17,8 @@ from lakeshift.sources.scratch import stored
 class CompiledSheet:
     """Compiled policies of one or more sheets.
 
-    ``members`` and ``headers`` both read the stored expansion of the sheet, and are stored
-    themselves, so all of it runs once however many plans are made from them.
+    ``members`` and ``headers`` both spread the stored rows of the sheet and their lists, each only with the columns that
+    it needs, and are stored themselves, so all of it runs once however many plans are made from them.
     """
 
     exploded: DataFrame
@@ -37,8 +37,8 @@ def compile_sheet(
     sheet: DataFrame, keys: Sequence[str] = policy.KEYS, order: str = "row_index", block_rows: int = DEFAULT_BLOCK_ROWS
 ) -> CompiledSheet:
     # stored: a filter on what the checks found would be pushed below them, and compute each cell again for every use
-    checked = stored(policy.check_rows(policy.fill_context(sheet, keys, order, block_rows)).drop("reasons"), "policy_checked")
-    return CompiledSheet(stored(policy.explode_resources(checked, keys), "policy_rows"), keys)
+    checked = policy.resource_lists(policy.check_rows(policy.fill_context(sheet, keys, order, block_rows)))
+    return CompiledSheet(policy.explode_resources(stored(checked.select(*keys, *policy.LISTED), "policy_checked"), keys), keys)
 
 
 def sync_plan(

@@ -75,3 +75,21 @@ def test_import_chain_stands_once_in_a_finding(spark):
     assert 0 < findings == chain
     found = rewrite.rewrite_findings(spark.createDataFrame([("f", "x = 1\r\nt = DummyOperator(fail_stop=1)")], "path string, content string"))
     assert [(r.line_number, r.category) for r in found.orderBy("finding_number").collect()] == [(2, "DAG Parameters"), (2, "Operator Rename")]
+
+
+def test_policy_rows_are_spread_from_their_lists_and_listed_in_one_pass(spark, column):
+    from lakeshift.functions import cells as C
+    from lakeshift.operators import policy
+    from lakeshift.plans import policy_run
+
+    cells = ["a , , b", "　x,\ty\n", " nan ", ",", "a b,c", "nan,", None]
+    assert column(C.csv_array, cells) == [["a", "b"], ["x", "y"], [], [], ["a b", "c"], ["nan"], []]
+    assert "lambda" not in str(C.csv_array("c"))
+    columns = ["role", "database", "tables", "columns", "url", "permissions", "groups", "users", "rowfilter", "policy_label", "item_type"]
+    rows = [("s", 1, "r", "d", "t", None, None, "read", "g", "a, b", "x = 1", None, None), ("s", 2, "q", "d", "t", None, None, "write", None, "b", None, None, None)]
+    compiled = policy_run.compile_sheet(spark.createDataFrame(rows, "sheet_id string, row_index long, " + ", ".join(f"`{c}` string" for c in columns)))
+    assert all("policy_checked" in f for f in compiled.exploded.inputFiles())
+    initial = policy.policy_initial_status(compiled.members)
+    assert initial._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+    (row,) = initial.collect()
+    assert (row.users, row.groups, row.permissions, row.rowfilter) == (["a", "b"], ["q", "r"], ["read", "write"], "x = 1")
